@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, prose
+from .common import materialise, prose, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what a word is, after lower-casing A-Z.
@@ -104,11 +104,6 @@ def rarest_pairs(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
     return best.filter("a.cf > 0").select("item_id", "n", F.col("a.j").alias("j1"), F.col("a.term").alias("term1"), F.col("b.j").alias("j2"), F.col("b.term").alias("term2")).distinct()
 
 
-def small(df: DataFrame, most_rows: int) -> DataFrame:
-    """df, to be broadcast if it has at most most_rows rows; otherwise Spark shuffles both sides."""
-    return F.broadcast(df) if df.count() <= most_rows else df
-
-
 def first_two(index: DataFrame, pairs: DataFrame, most_rows: int) -> DataFrame:
     """Lists of the two rarest words, joined in the same document: item_id, n, KEY, p1 - j1 as start
     and the distance of the second word from its place."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from .decontaminate import op10_decontamination
 from .packing import op5_best_fit_packing
+from .similarity_join import op9_ngram_jaccard_join
 from .secrets import op7_secret_scan
 from .token_files import op2_token_files
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_best_fit_packing, op7_secret_scan, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_best_fit_packing, op7_secret_scan, op9_ngram_jaccard_join, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
