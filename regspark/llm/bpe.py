@@ -12,11 +12,14 @@ import re
 
 import numpy as np
 
-#: Fixed value: the word pattern of this kind of vocabulary, in the form of the re module.
-WORDS = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Fixed value: the word pattern of this kind of vocabulary, in the form of the re module; its letters
+#: are the Latin ones.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+WORDS = re.compile(rf" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
 #: Texts with other characters (their classes differ between regex libraries) or with the special
 #: token's string go to the library whole.
-UNUSUAL = re.compile(r"[^\t-\r -~¡-±´-¸º»¿-ԯ‐-‧‰-⁞€]|<\|endoftext\|>")
+UNUSUAL = re.compile(r"[^\t-\r -~¡-±´-¸º»¿-ɏ‐-‧‰-⁞€]")
+SPECIAL = "<|endoftext|>"
 
 
 class WordTable(dict):
@@ -35,12 +38,15 @@ class WordTable(dict):
 class Encoder:
     """encode(texts) -> one array of ids per text. most_words bounds the memory of the word table."""
 
-    def __init__(self, path: str, most_words: int = 500_000) -> None:
+    def __init__(self, path: str, most_words: int = 800_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words = most_words
+        spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        spaced[[k for token, k in self.tokenizer.get_vocab().items() if token[0] == "Ġ"]] = True
+        self.spaced = spaced
         self.clear()
 
     def clear(self) -> None:
@@ -48,22 +54,37 @@ class Encoder:
         self.ids, self.lengths, self.offsets = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def learn(self) -> None:
+        """Encode the unseen words. Those of a space and other characters go in groups: each of their
+        words starts where a token starts with a space."""
         new, self.words.unseen = self.words.unseen, []
         if not new:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-        self.offsets = np.concatenate([self.offsets, len(self.ids) + np.cumsum(lengths) - lengths])
+        grouped = np.fromiter((w[0] == " " and len(w) > 1 and w[1] > " " for w in new), bool, len(new))
+        alone = [w for w, g in zip(new, grouped, strict=True) if not g]
+        together = [w for w, g in zip(new, grouped, strict=True) if g]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        some = self.tokenizer.encode_batch_fast(["".join(together[k : k + 64]) for k in range(0, len(together), 64)], add_special_tokens=False)
+        ids = np.array([i for own in found for i in own], np.uint32)
+        more = np.concatenate([np.empty(0, np.uint32), *(np.array(e.ids, np.uint32) for e in some)])
+        starts = np.flatnonzero(self.spaced[more])
+        if len(starts) != len(together):
+            raise ValueError("the vocabulary does not start words at spaces")
+        lengths = np.empty(len(new), np.int64)
+        lengths[~grouped] = [len(own) for own in found]
+        lengths[grouped] = np.diff(np.append(starts, len(more)))
+        offsets = np.empty(len(new), np.int64)
+        offsets[~grouped] = len(self.ids) + np.cumsum(lengths[~grouped]) - lengths[~grouped]
+        offsets[grouped] = len(self.ids) + len(ids) + starts
+        self.offsets = np.concatenate([self.offsets, offsets])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, ids, more])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > self.most_words:
             self.clear()
         rows: list[np.ndarray | None] = []
         for text in texts:
-            if UNUSUAL.search(text):
+            if UNUSUAL.search(text) or SPECIAL in text:
                 rows.append(None)
             else:
                 words = WORDS.findall(text)
