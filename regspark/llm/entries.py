@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from .additive_ann import op1_additive_ann
 from .decontaminate import op10_decontamination
+from .language import op4_language_id
 from .packing import op5_best_fit_packing
-from .similarity_join import op9_ngram_jaccard_join
+from .quality import op6_quality_ranking
 from .secrets import op7_secret_scan
+from .similarity_join import op9_ngram_jaccard_join
+from .substring_dedup import op8_substring_dedup
 from .token_files import op2_token_files
+from .wrappers import op3_html_wrappers
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_best_fit_packing, op7_secret_scan, op9_ngram_jaccard_join, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_additive_ann, op2_token_files, op3_html_wrappers, op4_language_id, op5_best_fit_packing,
+        op6_quality_ranking, op7_secret_scan, op8_substring_dedup, op9_ngram_jaccard_join, op10_decontamination,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
