@@ -1,18 +1,5 @@
-"""Queries over the given tables."""
+"""Registered queries: one or more for each operator, on the given tables, with the SQL that must agree."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from .registry import query
-
-
-@query("top_orders_per_customer", """
-SELECT o_custkey AS custkey, CAST(rn AS INTEGER) AS place, o_orderkey AS orderkey FROM (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'O') DESC, o_totalprice DESC, o_orderkey) rn FROM orders
-) WHERE rn <= 100""")
-def top_orders_per_customer(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("o_custkey").orderBy((F.col("o_orderstatus") == "O").desc(), F.desc("o_totalprice"), "o_orderkey")
-    o = spark.read.parquet(f"{sf}/orders.parquet").withColumn("place", F.row_number().over(w)).filter("place <= 100")
-    return o.select(F.col("o_custkey").alias("custkey"), "place", F.col("o_orderkey").alias("orderkey"))
+from . import derived_queries, quality_queries, source_queries, table_queries  # noqa: F401

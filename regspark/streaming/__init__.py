@@ -1,0 +1 @@
+"""No operator here needs a stream; refreshing from changed sources is batch work (operators.refresh)."""
