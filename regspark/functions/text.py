@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that a join key keeps as letters or digits.
 KEY_LETTERS = {"º": "o", "ª": "a", "™": "tm", "²": "2", "³": "3"}
@@ -92,7 +93,7 @@ def decode_cp1252(c: str | Column) -> Column:
     return F.translate(F.decode(col(c), "ISO-8859-1"), "".join(map(chr, range(0x80, 0xA0))), CP1252)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else ENTITY.sub(lambda m: html.unescape(m[0]), t))
 
