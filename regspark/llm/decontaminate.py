@@ -1,13 +1,16 @@
 """Operator 10. Benchmark decontamination over a distributed positional inverted index.
 
-The index holds, for every word that the test items use, one posting per document: the word, the
-document and the positions. Its size follows the corpus; it is written to the shared folder and
-never leaves the executors. For each window of consecutive item words, the lists of its two
-rarest words (by occurrences in the whole corpus) are intersected after subtracting their offsets;
-what is left is intersected with the lists of the item's other words, which gives the exact
-matches. Other distances between the two rarest words give the proximity matches.
-
-A document is known by its id and a hash of its text, so rows that share an id stay apart.
+The index is partitioned by documents: each block of documents has its own sorted posting lists, one
+for each word that the test items use, with the positions of all its documents on one scale (a free
+place between two documents, so that no phrase crosses). It is a table in the shared folder; its
+size follows the corpus. For each window of consecutive item words, the lists of the two rarest
+words (by occurrences in the whole corpus) are intersected after subtracting their offsets, block by
+block; what is left is intersected with the lists of all other words of the item, which gives exact
+matches. Nothing is shuffled but the counts of words. Proximity matches allow the two rarest words
+other distances.
+
+Test items come to the driver and to the tasks in parts of at most ``most_words`` words; each part is
+a pass over the index.
 
 Defined cases: null and empty texts have no words; an item without words matches nothing, one
 shorter than the window is one window; repeated rows each get their own result; an empty corpus
@@ -18,154 +21,208 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, prose, small
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Fixed value: what a word is, after lower-casing A-Z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-INDEX = "doc_id long, text_hash long, term long, positions array<int>"
-KEY = ["doc_id", "text_hash"]
-
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BLOCK = "block string, doc_ids array<bigint>, hashes array<bigint>, n_words array<int>, words array<string>, counts array<int>, positions array<int>"
+RESULT = "block string, place int, doc_id long, text_hash long, n_words long, hits array<int>, items array<string>"
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
+def words_of(text: str | None) -> list[str]:
+    return WORD.findall((text or "").translate(LOWER))
 
-def item_words(items: DataFrame) -> DataFrame:
-    """item_id, n (words), j (from 0), word, term: one row per word of each item."""
-    own = items.select(F.col("item_id"), words(F.coalesce("text", F.lit(""))).alias("w"))
-    return own.select("item_id", F.size("w").alias("n"), F.posexplode("w").alias("j", "word")).withColumn("term", F.xxhash64("word"))
 
+def item_parts(items: DataFrame, most_words: int) -> list[list[tuple]]:
+    """The items (id, words) in parts of bounded size; those without words are left out."""
+    own = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    parts, size = [[]], 0
+    for r in own.toLocalIterator():
+        found = words_of(r["text"])
+        if found:
+            if size + len(found) > most_words and parts[-1]:
+                parts.append([])
+                size = 0
+            parts[-1].append((r["item_id"], found))
+            size += len(found)
+    return parts
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return prose(docs).withColumn("text_hash", F.xxhash64("text"))
 
-
-def build_index(docs: DataFrame, terms: DataFrame, most_terms: int = 1_000_000) -> DataFrame:
-    """Postings of the words in terms (word, term), and for every document a row with a null term
-    and the number of its words. Up to most_terms words are looked up in each task's memory;
-    beyond that the words are joined."""
-    if terms.count() > most_terms:
-        return index_by_join(docs, terms)
-    table = docs.sparkSession.sparkContext.broadcast({r["word"]: r["term"] for r in terms.collect()})
-    upper, pattern = str.maketrans(UPPER, LOWER), re.compile(WORD)
+def build_index(docs: DataFrame, vocabulary: set[str], block_chars: int = 4_000_000) -> DataFrame:
+    """The posting lists of the words in vocabulary, a row per block of documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(sorted(vocabulary))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = {w: k for k, w in enumerate(table.value, 1)}
-        ids = np.array([0, *table.value.values()], np.int64)
+        from pyspark import TaskContext
+
+        names = shared.value
+        code = {w: k for k, w in enumerate(names, 1)}
+        task, number = TaskContext.get().partitionId(), 0
+
+        def block(ids: list, hashes: list, found: list[np.ndarray]) -> pa.RecordBatch:
+            sizes = [len(f) for f in found]
+            joined = np.concatenate([np.append(f, 0) for f in found])
+            at = np.flatnonzero(joined)
+            order = np.argsort(joined[at], kind="stable")
+            there, counts = np.unique(joined[at], return_counts=True)
+            row = [f"{task}-{number}", ids, hashes, sizes, [names[k - 1] for k in there], counts, at[order]]
+            types = (pa.string(), *map(pa.list_, (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32())))
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["block", "doc_ids", "hashes", "n_words", "words", "counts", "positions"])
+
+        ids, hashes, found, size = [], [], [], 0
+        for batch in batches:
+            for doc_id, text_hash, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "text")), strict=True):
+                own = words_of(text)
+                found.append(np.fromiter((code.get(w, 0) for w in own), np.int32, len(own)))
+                ids.append(doc_id)
+                hashes.append(text_hash)
+                size += len(text) + 50
+                if size >= block_chars:
+                    yield block(ids, hashes, found)
+                    number, ids, hashes, found, size = number + 1, [], [], [], 0
+        if ids:
+            yield block(ids, hashes, found)
+
+    return prose(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(build, BLOCK)
+
+
+def word_counts(index: DataFrame, vocabulary: set[str]) -> dict[str, int]:
+    """Occurrences in the corpus of the given words; as many rows as the vocabulary has."""
+    each = index.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("x.words").agg(F.sum("x.counts").alias("n"))
+    return {w: n for w, n in each.collect() if w in vocabulary}
+
+
+def rarest_pairs(words: list[str], counts: dict[str, int], window: int) -> set[tuple[int, int]]:
+    """The places of the two rarest words of each window; a window with a word that the corpus lacks
+    occurs nowhere. A window of one word has its place twice."""
+    w, found = min(window, len(words)), set()
+    for s in range(len(words) - w + 1):
+        order = sorted(range(s, s + w), key=lambda j: (counts.get(words[j], 0), j))
+        if counts.get(words[order[0]], 0):
+            found.add((order[0], order[1] if w > 1 else order[0]))
+    return found
+
+
+class Block:
+    """One block's lists, read from its row."""
+
+    def __init__(self, row: dict) -> None:
+        self.row = row
+        positions, ends = np.asarray(row["positions"], np.int64), np.cumsum(row["counts"])
+        self.lists = dict(zip(row["words"], np.split(positions, ends[:-1]) if len(ends) else [], strict=True))
+        self.bases = np.cumsum([0, *(n + 1 for n in row["n_words"])])
+        self.none = np.empty(0, np.int64)
+
+    def list(self, word: str) -> np.ndarray:
+        return self.lists.get(word, self.none)
+
+    def doc_of(self, positions: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.bases, positions, "right") - 1
+
+
+def has(sorted_list: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(sorted_list, values), max(len(sorted_list) - 1, 0))
+    return sorted_list[at] == values if len(sorted_list) else np.zeros(len(values), bool)
+
+
+def phrases(block: Block, words: list[str], pairs: set[tuple[int, int]], window: int) -> np.ndarray:
+    """Positions hit by any occurrence of a window of the item."""
+    starts = [np.intersect1d(block.list(words[a]) - a, block.list(words[b]) - b, assume_unique=True) for a, b in pairs]
+    starts = np.unique(np.concatenate([block.none, *starts]))
+    if not len(starts):
+        return starts
+    there = np.stack([has(block.list(w), starts + j) for j, w in enumerate(words)])
+    w = min(window, len(words))
+    ends = np.cumsum(np.vstack([np.zeros((1, len(starts)), np.int64), there]), 0)
+    first, which = np.nonzero(ends[w:] - ends[:-w] == w)
+    return np.unique((starts[which] + first)[:, None] + np.arange(w)) if len(first) else block.none
+
+
+def search(index: DataFrame, part: list[tuple], counts: dict[str, int], window: int) -> DataFrame:
+    """RESULT: a row per document of the index."""
+    plan = index.sparkSession.sparkContext.broadcast([(str(k), w, pairs) for k, w in part if (pairs := rarest_pairs(w, counts, window))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, sizes, own, valid = [], [], [], [], []
-            for k, text in enumerate(batch["text"].to_pylist()):
-                found = pattern.findall(text.translate(upper))
-                codes = np.fromiter((code.get(w, 0) for w in found), np.int32, len(found))
-                at = np.flatnonzero(codes)
-                order = at[np.argsort(codes[at], kind="stable")]
-                different, counts = np.unique(codes[at], return_counts=True)
-                rows.append(np.full(1 + len(different), k))
-                own.append(np.append(np.int64(0), ids[different]))
-                valid.append(np.arange(1 + len(different)) == 0)
-                sizes.append(np.append(1, counts))
-                places.append(np.append(np.int32(len(found)), order))
-            if not rows:
-                continue
-            row = pa.array(np.concatenate(rows))
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), pa.int32())
-            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32()))
-            term = pa.array(np.concatenate(own), pa.int64(), mask=np.concatenate(valid))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), batch["text_hash"].take(row), term, lists], ["doc_id", "text_hash", "term", "positions"])
-
-    return keyed(docs).mapInArrow(build, INDEX)
-
-
-def index_by_join(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    own = keyed(docs).select(*KEY, words(F.col("text")).alias("w"))
-    each = own.select(*KEY, F.posexplode("w").alias("position", "word")).join(terms.select("word", "term"), "word")
-    lists = each.groupBy(*KEY, "term").agg(F.sort_array(F.collect_set("position")).alias("positions"))
-    totals = own.select(*KEY, F.lit(None).cast("long").alias("term"), F.array(F.size("w")).alias("positions"))
-    return lists.select("doc_id", "text_hash", "term", "positions").unionByName(totals)
-
-
-def rarest_pairs(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
-    """item_id, n, j1, term1, j2, term2: the two rarest places of each window, once each. A window of
-    one word has the same place twice."""
-    counts = index.filter("term is not null").groupBy("term").agg(F.sum(F.size("positions")).alias("cf"))
-    rated = items.join(counts, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
-    place = F.struct("cf", "j", "term")
-    starts = rated.withColumn("start", F.explode(F.sequence(F.greatest(F.col("j") - window + 1, F.lit(0)), F.least(F.col("j"), F.greatest(F.col("n") - window, F.lit(0))))))
-    best = starts.groupBy("item_id", "n", "start").agg(F.min(place).alias("a"), F.sort_array(F.collect_list(place)).alias("all"))
-    best = best.withColumn("b", F.coalesce(F.get("all", F.lit(1)), F.col("a")))
-    # a window with a word that the corpus lacks occurs nowhere
-    return best.filter("a.cf > 0").select("item_id", "n", F.col("a.j").alias("j1"), F.col("a.term").alias("term1"), F.col("b.j").alias("j2"), F.col("b.term").alias("term2")).distinct()
-
-
-def first_two(index: DataFrame, pairs: DataFrame, most_rows: int) -> DataFrame:
-    """Lists of the two rarest words, joined in the same document: item_id, n, KEY, p1 - j1 as start
-    and the distance of the second word from its place."""
-    lists = index.filter("term is not null")
-    rarest = lists.join(small(pairs, most_rows), F.col("term") == F.col("term1"))
-    rarest = rarest.select("item_id", "n", *KEY, "j1", "j2", "term2", F.col("positions").alias("p1"))
-    rarest = materialise(rarest, "rarest-lists")
-    second = lists.select(*KEY, F.col("term").alias("term2"), F.col("positions").alias("p2"))
-    return second.join(small(rarest, most_rows), [*KEY[1:], "term2"]).filter(second["doc_id"].eqNullSafe(rarest["doc_id"])).select("item_id", "n", rarest["doc_id"], "text_hash", "j1", "j2", "p1", "p2")
-
-
-def phrase_candidates(both: DataFrame) -> DataFrame:
-    """item_id, n, KEY, start where the two rarest words stand at their places."""
-    starts = F.array_intersect(F.transform("p1", lambda p: p - F.col("j1")), F.transform("p2", lambda p: p - F.col("j2")))
-    return both.select("item_id", "n", *KEY, F.explode(starts).alias("start")).distinct()
-
-
-def proximity_matches(index: DataFrame, pairs: DataFrame, slop: int, most_rows: int = 100_000) -> DataFrame:
-    """doc_id, item_id, position, distance: the two rarest words of a window at most slop away from
+            for row in batch.to_pylist():
+                block, n = Block(row), len(row["doc_ids"])
+                hits, items = [], [set() for _ in range(n)]
+                for item_id, words, pairs in plan.value:
+                    found = phrases(block, words, pairs, window)
+                    if len(found):
+                        hits.append(found)
+                        for d in np.unique(block.doc_of(found)):
+                            items[d].add(item_id)
+                every = np.unique(np.concatenate([block.none, *hits]))
+                cuts = np.searchsorted(every, block.bases[1:-1])
+                own = [h - base for h, base in zip(np.split(every, cuts), block.bases, strict=False)]
+                columns = [[row["block"]] * n, list(range(n)), row["doc_ids"], row["hashes"], row["n_words"], own, [sorted(s) for s in items]]
+                types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "place", "doc_id", "text_hash", "n_words", "hits", "items"])
+
+    return index.mapInArrow(run, RESULT)
+
+
+def proximity_matches(index: DataFrame, items: DataFrame, slop: int, window: int = 13, most_words: int = 500_000) -> DataFrame:
+    """doc_id, item_id, position, distance: the two rarest words of a window at most slop words away from
     their distance in the item (0: as in the item)."""
-    both = first_two(index, pairs, most_rows)
-    near = F.transform("p1", lambda p: F.struct(p.alias("position"), F.array_min(F.transform("p2", lambda q: F.abs((q - p) - (F.col("j2") - F.col("j1"))))).alias("distance")))
-    return both.select("doc_id", "item_id", F.explode(near).alias("m")).select("doc_id", "item_id", "m.*").filter(F.col("distance") <= slop).groupBy("doc_id", "item_id", "position").agg(F.min("distance").alias("distance"))
-
-
-def phrase_matches(index: DataFrame, items: DataFrame, window: int, most_rows: int = 100_000) -> DataFrame:
-    """item_id, KEY, hits: positions of document words in an occurring window of the item."""
-    candidates = materialise(phrase_candidates(first_two(index, rarest_pairs(items, index, window), most_rows)), "candidates")
-    places = candidates.join(small(items.select("item_id", "j", "term"), most_rows), "item_id")
-    lists = index.filter("term is not null").select(F.col("doc_id").alias("own_id"), "text_hash", "term", "positions")
-    places = small(places, most_rows)
-    there = lists.join(places, ["text_hash", "term"]).filter(F.col("own_id").eqNullSafe(F.col("doc_id")) & F.array_contains("positions", F.col("start") + F.col("j")))
-    runs = there.groupBy("item_id", "n", *KEY, "start").agg(F.sort_array(F.collect_set("j")).alias("js"))
-    w = F.least(F.lit(window), F.col("n"))
-    firsts = F.filter("js", lambda x, i: F.get("js", i + w - 1) == x + w - 1)
-    hits = F.array_distinct(F.flatten(F.transform(firsts, lambda s: F.sequence(F.col("start") + s, F.col("start") + s + w - 1))))
-    return runs.select("item_id", *KEY, hits.alias("hits")).filter(F.size("hits") > 0)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, most_rows: int = 100_000) -> DataFrame:
+    found = None
+    for part in item_parts(items, most_words):
+        counts = word_counts(index, {w for _, words in part for w in words})
+        plan = [(k, [(words[a], words[b], b - a) for a, b in rarest_pairs(words, counts, window)]) for k, words in part]
+
+        def run(batches: Iterator[pa.RecordBatch], plan: list = plan) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    block, out = Block(row), {}
+                    for item_id, pairs in plan:
+                        for one, two, apart in pairs:
+                            first, second = block.list(one), block.list(two)
+                            for off in range(-slop, slop + 1):
+                                for p in first[has(second, first + apart + off) & (block.doc_of(first) == block.doc_of(first + apart + off))]:
+                                    d = int(block.doc_of(p))
+                                    key = (row["doc_ids"][d], item_id, int(p - block.bases[d]))
+                                    out[key] = min(out.get(key, slop), abs(off))
+                    rows = [(*k, v) for k, v in out.items()]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "item_id", "position", "distance"])
+
+        own = index.mapInArrow(run, "doc_id long, item_id long, position int, distance int")
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, most_words: int = 500_000) -> DataFrame:
     """Per document row: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated (at
     least one word in one_in is hit)."""
-    items = materialise(item_words(benchmark), "item-words")
-    index = materialise(build_index(docs, items.select("word", "term").distinct()), "postings")
-    found = phrase_matches(index, items, window, most_rows)
-    per_doc = found.groupBy(*KEY).agg(F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("n_hit"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    totals = index.filter("term is null").select(*KEY, F.get("positions", F.lit(0)).cast("long").alias("n_words"))
-    per_doc = per_doc.select(F.col("doc_id").alias("own_id"), "text_hash", "n_hit", "items")
-    joined = totals.join(per_doc, (totals["text_hash"] == per_doc["text_hash"]) & totals["doc_id"].eqNullSafe(per_doc["own_id"]), "left").drop(per_doc["text_hash"])
-    n_hit, items_of = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
-    return joined.select(
-        "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"),
+    parts = item_parts(benchmark, most_words)
+    vocabulary = {w for part in parts for _, words in part for w in words}
+    index = materialise(build_index(docs, vocabulary), "positional-index")
+    counts = word_counts(index, vocabulary)
+    result = reduce(DataFrame.unionByName, [search(index, part, counts, window) for part in parts])
+    if len(parts) > 1:
+        once = [F.first(c).alias(c) for c in ("doc_id", "text_hash", "n_words")]
+        every = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("hits", "items")]
+        result = result.groupBy("block", "place").agg(*once, *every)
+    n_hit = F.size("hits").cast("long")
+    return result.select(
+        "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * one_in >= F.col("n_words"))).alias("contaminated"),
     )
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """docs less the contaminated rows, other columns as they are."""
-    bad = contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
+    bad = materialise(contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "contaminated")
     own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, (own == bad["_bad_hash"]) & docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]), "left_anti")
+    return docs.join(small(bad, 500_000), (own == bad["_bad_hash"]) & docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"]), "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
