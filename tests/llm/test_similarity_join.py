@@ -54,8 +54,8 @@ def test_brute_force(spark, sf_dir):
     assert rows(op9_ngram_jaccard_join(spark, sf_dir)) == brute(docs, 3, 90)
 
 
-@pytest.mark.parametrize(("hot", "group_size", "percent", "most_broadcast"), [(1, 2, 90, 1000), (3, 4, 80, 0), (48, 16, 80, 1000)])
-def test_families_passages_and_odd_rows(spark, hot, group_size, percent, most_broadcast):
+@pytest.mark.parametrize(("hot", "group_tokens", "percent", "most_broadcast"), [(1, 150, 90, 1000), (3, 300, 80, 0), (48, 16384, 80, 1000)])
+def test_families_passages_and_odd_rows(spark, hot, group_tokens, percent, most_broadcast):
     rng = random.Random(hot)
     vocabulary = [f"w{k}" for k in range(400)]
     text = lambda n: rng.choices(vocabulary, k=n)
@@ -81,7 +81,7 @@ def test_families_passages_and_odd_rows(spark, hot, group_size, percent, most_br
     table += [(None, "a"), (None, None), (500, None), (501, ""), (502, " \n "), (1, table[0][1]), (900, "l " * 3000), (901, "l " * 3000), table[3], table[3]]
     df = spark.createDataFrame([(*x, 1, "c") for x in table], "doc_id long, text string, n int, class string")
     k = 3 if percent == 90 else 2
-    assert rows(near_duplicates(df, k, percent, hot, group_size, most_broadcast)) == brute(table, k, percent)
+    assert rows(near_duplicates(df, k, percent, hot, group_tokens, most_broadcast)) == brute(table, k, percent)
 
 
 def test_empty_table_and_choice(spark):
