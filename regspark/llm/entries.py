@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage."""
+"""The registered queries of this subpackage, with SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -20,4 +20,27 @@ QUERIES = {
         op6_quality_ranking, op7_secret_scan, op8_substring_dedup, op9_ngram_jaccard_join, op10_decontamination,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL = {
+    "op9_ngram_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN c c1 ON c1.doc_id = x JOIN c c2 ON c2.doc_id = y WHERE 100 * k >= 90 * (c1.n + c2.n - k)),
+t(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT t.x, e.y FROM t JOIN e ON e.x = t.y)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(y) AS component_id FROM d LEFT JOIN c USING (doc_id) JOIN t ON t.x = d.doc_id GROUP BY d.doc_id, n""",
+    "op10_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
+h AS (SELECT dw.r, dw.i, dw.n, item_id FROM dw JOIN bw USING (n, win)),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS s FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS v FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r)""",
+}
