@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..sources import dialect, pages, sinks
+from ..sources import dialect, pages, prices, sinks, substances
 from ..sources.spec import TableSpec
 from .registry import query
 from .table_queries import read
@@ -119,3 +119,26 @@ def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
     c = read(spark, sf, "customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_nationkey")).alias("n"))
     c = c.withColumn("unknown", F.col("n").isNull())
     return stable_row_number(c, ["unknown", "n", "c_custkey"], "place").select("c_custkey", "place")
+
+
+@query("price_file_roundtrip", "SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name, CAST(round(p_retailprice * 100) AS INTEGER) AS pf_12, p_size % 5 = 0 AS marked FROM part")
+def price_file_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    shown = F.concat(F.translate(F.format_number("p_retailprice", 2), ",.", ".,"), F.when(F.col("p_size") % 5 == 0, "*").otherwise(""))
+    path = scratch(spark, "prices")
+    read(spark, sf, "part").select(F.col("p_partkey").alias("Código"), F.col("p_name").alias(" produto"), shown.alias("PF 12 %"), F.lit("x").alias("obs")).write.option("sep", ";").option("header", True).csv(path)
+    got = prices.read_wide(spark, path, {"CÓDIGO": "code", "PRODUTO": "name"}, r"PF ([0-9,]+)%( ALC)?", "pf", {"OBS"})
+    return prices.priced(got, ["pf_12"], "marked")
+
+
+@query("cell_grid_entries", """
+WITH n AS (SELECT *, sum(CASE WHEN p_partkey % 3 <> 2 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS e FROM part)
+SELECT p_brand AS sheet, CAST(min(p_partkey) AS INTEGER) AS number, arg_min(p_name, p_partkey) AS name, string_agg(p_type, ' | ' ORDER BY p_partkey) AS notes, count(*) AS rows FROM n WHERE e > 0 GROUP BY p_brand, e""")
+def cell_grid_entries(spark: SparkSession, sf: str) -> DataFrame:
+    p = read(spark, sf, "part")
+    cell = lambda c: F.struct(c.cast("string").alias("text"), F.lit(False).alias("is_date"))
+    starts = F.col("p_partkey") % 3 != 2
+    rows = p.select(F.col("p_brand").alias("sheet"), (F.col("p_partkey") + 1).alias("row_no"), F.array(cell(F.when(starts, F.concat("p_partkey", F.lit(".0")))), cell(F.when(starts, F.col("p_name"))), cell(F.col("p_type"))).alias("cells"))
+    heads = p.select("p_brand").distinct().select(F.col("p_brand").alias("sheet"), F.lit(0).cast("long").alias("row_no"), F.array(*(cell(F.lit(t)) for t in ("No", "Name", "Note"))).alias("cells"))
+    body = substances.after_header(rows.unionByName(heads), "sheet", 3)
+    out = substances.named_entries(body, "sheet", ["number", "name"], 2)
+    return out.select("sheet", substances.whole_number(F.col("number")).alias("number"), "name", "notes", "rows")
