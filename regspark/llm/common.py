@@ -35,7 +35,17 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again."""
+    for table in tables:
+        jvm, jsc = table.sparkSession._jvm, table.sparkSession._jsc
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(column: str | Column, modulus: int) -> Column:
