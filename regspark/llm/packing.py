@@ -100,7 +100,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, salts: int = 256, most_broadcast: int = 200_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, salts: int = 64, most_broadcast: int = 200_000) -> DataFrame:
     """pieces (with doc_id, piece, length, ids_crc32 and any others) and their sequence_id, offset."""
     spark = pieces.sparkSession
     keyed = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
