@@ -43,7 +43,8 @@ from .components import connected_components
 #: Fixed value: a word, after lower-casing A-Z.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-MOST_WORDS = 1_000_000
+#: Words that a task remembers the hash of.
+MOST_WORDS = 200_000
 
 
 class WordHashes(dict):
@@ -105,10 +106,10 @@ def shingle_sets(docs: DataFrame, words: int, percent: int, whole: bool = False,
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, met = WordHashes(), set()
         for batch in batches:
-            if len(table) > MOST_WORDS:
-                table.clear()
             sizes, classes, tokens = [], [], []
             for text in batch["text"].to_pylist():
+                if len(table) > MOST_WORDS:
+                    table.clear()
                 own = shingles(text, words, table)
                 n, key = len(own), None
                 if n:
