@@ -39,7 +39,7 @@ def test_query(spark, sf_dir, tables, name):
         assert sorted(names) == sorted(df.columns)
         want = sorted(repr([plain(dict(zip(names, r, strict=True))[c]) for c in sorted(names)]) for r in cur.fetchall())
         assert got == want
-    assert got or name == "exact_copies"
+    assert got or name in ("exact_copies", "search_page")  # too few rows for a second page here
 
 
 def test_plans_have_no_cross_product(spark, sf_dir):
