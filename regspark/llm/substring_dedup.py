@@ -1,18 +1,27 @@
-"""Operator 8. Repeated passages by content-defined chunking with a gear rolling hash.
+"""Operator 8. Repeated passages by content-defined chunks of a gear rolling hash, then exact comparison.
 
-The rolling hash h = 2h + G[byte], of 16 bits, depends on the last 16 bytes only; a chunk ends where its top
-five bits are zero, some 32 bytes apart. Cuts move with the text, so what stands before a passage
-does not change the chunks inside it. Chunks are compared by a digest. One that more than one document
-has is repeated; neighbouring repeated chunks form a span, and spans of at least ``least_words``
-words count. A passage loses some 16 bytes and two part chunks at its ends, so passages of more than
-50 words keep far more than the default 15.
+``repeated_passages`` does the job: every passage of ``least_words`` (15) whole words or more that two documents
+share, letter by letter with the white space between its words, is found whole.
 
-The first document (smallest doc_id) that has a chunk keeps it. Digests have 64 bits; a chance
-equality cannot make a span, which has several chunks.
+1. A gear hash over words, h = 2^s h + G[word] in 64 bits, depends on the last k (8) words only. Of every
+   ``least_words - k + 1`` neighbouring positions, the one with the least hash (the last of equals) ends a
+   chunk of k words, so any ``least_words`` words have a chunk wherever they stand: two documents with
+   the same ``least_words`` words have an equal digest. This also holds for repeated phrases and lines.
+2. Chunks find candidates only. Digests that more than one document has go back to their documents, and each
+   window of ``least_words`` words whose chunk is among them is compared by a digest of its own text.
+   Overlapping and adjoining repeated windows form a span, which thus ends at the exact word.
+
+The first document (smallest doc_id) that has a window keeps it. Digests have 64 bits; two different
+windows of the corpus share one with a chance of 2^-64.
+
+``repeated_spans`` is the coarser search by byte chunks alone: its hash h = 2h + G[byte], of 16 bits, depends on the
+last 16 bytes, a chunk ends where its top five bits are zero, and whole chunks with at least ``least_words``
+words form a span. It loses part chunks at both ends of a passage, and so some passages; no query uses it.
 
 Defined cases: null and empty texts have no chunks; a row without doc_id takes no part; equal rows
 of one doc_id are one document; repeats inside one document do not count; an empty table gives no
-rows; other columns are ignored. Positions are code points, ends exclusive.
+rows; other columns are ignored. Positions are code points, ends exclusive. Words are what white
+space of ASCII separates.
 """
 
 from __future__ import annotations
@@ -25,10 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, prose, small
+from .common import discard, materialise, prose, small
 
 #: The gear: a random 16-bit number for each byte.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 20) & 0xFFFF for b in range(256)], np.uint16)
+#: White space of ASCII, as bytes.split() has it.
+SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def cuts(data: np.ndarray, bits: int = 5) -> np.ndarray:
@@ -86,9 +97,100 @@ def repeated_spans(docs: DataFrame, least_words: int = 15) -> DataFrame:
     return spans.filter(F.col("n_words") >= least_words).drop("run")
 
 
+def word_chunks(raw: bytes, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Starts and ends (bytes) of the words, for each window of least_words words which chunk it has, and
+    the chunks' digests. None if there is no window."""
+    words = raw.split()
+    if len(words) < least_words:
+        return None
+    space = SPACE[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    k = min(8, (least_words + 1) // 2)
+    gear = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    h = gear[k - 1 :].copy()  # of the k words from each word on
+    for t in range(1, k):
+        h += gear[k - 1 - t : len(gear) - t] << np.uint64(64 // k * t)
+    width = least_words - k + 1
+    at = np.arange(width - 1, len(h)) - np.lib.stride_tricks.sliding_window_view(h, width)[:, ::-1].argmin(1)
+    firsts, which = np.unique(at, return_inverse=True)
+    digests = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[firsts].tolist(), ends[firsts + k - 1].tolist(), strict=True)], np.uint64)
+    return starts, ends, which, digests.view(np.int64)
+
+
+def repeated_digests(table: DataFrame, name: str) -> DataFrame:
+    """digest, first: of the digests that more than one document has."""
+    each = table.select(F.explode("digests").alias("digest"), "doc_id").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    return materialise(each.filter(F.col("first") < F.col("last")).select("digest", "first"), name)
+
+
+def joined(at: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """First and last of the runs in at (ascending first words of windows) that overlap or adjoin."""
+    breaks = np.flatnonzero(np.diff(at) > length)
+    return list(zip([0, *(breaks + 1).tolist()], [*breaks.tolist(), len(at) - 1], strict=True))
+
+
+def repeated_passages(docs: DataFrame, least_words: int = 15) -> DataFrame:
+    """doc_id, key, start, end, n_words, first_doc_id, removed: the passages of least_words words or more that
+    other documents have as well; removed lists the parts that an earlier document has."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [word_chunks(text.encode("utf-8", "replace"), least_words) for text in batch["text"].to_pylist()]
+            digests = pa.array([np.unique(x[3]) if x else [] for x in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], digests], ["doc_id", "key", "digests"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists: tuple[list, ...] = ([], [], [], [])
+            for text, hits in zip(batch["text"].to_pylist(), batch["hits"], strict=True):
+                raw = text.encode("utf-8", "replace")
+                starts, ends, which, digests = word_chunks(raw, least_words)
+                at = np.flatnonzero(np.isin(digests, hits.values.to_numpy())[which])
+                a, b = starts[at], ends[at + least_words - 1]
+                own = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.uint64)
+                points = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+                for held, x in zip(lists, (own.view(np.int64), at, points[a] - 1, points[b - 1]), strict=True):
+                    held.append(x)
+            arrays = [pa.array(x, pa.list_(t)) for x, t in zip(lists, (pa.int64(), *[pa.int32()] * 3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], *arrays], ["doc_id", "key", "digests", "at", "starts", "ends"])
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for k in range(batch.num_rows):
+                doc_id, key = batch["doc_id"][k].as_py(), batch["key"][k].as_py()
+                at, starts, ends = (batch[c][k].values.to_numpy() for c in ("at", "starts", "ends"))
+                marks = batch["marks"][k].values
+                i, first = marks.field("i").to_numpy(), marks.field("first").to_numpy()
+                at, starts, ends = at[i], starts[i], ends[i]
+                for x, y in joined(at, least_words):
+                    own = slice(x, y + 1)
+                    gone = np.flatnonzero(first[own] < doc_id) + x
+                    removed = [{"start": int(starts[gone[a]]), "end": int(ends[gone[b]])} for a, b in joined(at[gone], least_words)] if len(gone) else []
+                    rows.append((doc_id, key, int(starts[x]), int(ends[y]), int(at[y] - at[x]) + least_words, int(first[own].min()), removed))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["doc_id", "key", "start", "end", "n_words", "first_doc_id", "removed"])
+
+    own = prose(docs).filter("doc_id is not null and text <> ''").withColumn("key", F.xxhash64("doc_id", "text"))
+    sampled = materialise(own.mapInArrow(sample, "doc_id long, key long, digests array<bigint>"), "chunks")
+    repeated = repeated_digests(sampled, "repeated-chunks")
+    places = sampled.select("key", F.explode("digests").alias("digest")).join(repeated.select("digest"), "digest")
+    hits = materialise(places.groupBy("key").agg(F.collect_set("digest").alias("hits")), "hits")
+    discard(sampled, repeated)
+    # a document is one row from here on
+    windows = materialise(own.join(hits, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "hits").mapInArrow(compare, "doc_id long, key long, digests array<bigint>, at array<int>, starts array<int>, ends array<int>"), "windows")
+    discard(hits)
+    repeated = repeated_digests(windows, "repeated-windows")
+    places = windows.select("key", F.posexplode("digests").alias("i", "digest")).join(repeated, "digest").select("key", "i", "first")
+    marks = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("marks"))
+    schema = "doc_id long, key long, start int, end int, n_words int, first_doc_id long, removed array<struct<start:int,end:int>>"
+    return marks.join(windows.drop("digests"), "key").select("doc_id", "key", "at", "starts", "ends", "marks").mapInArrow(spans, schema)
+
+
 def without_repeats(docs: DataFrame, least_words: int = 15) -> DataFrame:
     """docs with each repeated passage left in the first document that has it alone."""
-    gone = repeated_spans(docs, least_words).groupBy("key").agg(F.sort_array(F.flatten(F.collect_list("removed"))).alias("removed")).filter(F.size("removed") > 0)
+    gone = repeated_passages(docs, least_words).groupBy("key").agg(F.sort_array(F.flatten(F.collect_list("removed"))).alias("removed")).filter(F.size("removed") > 0)
     gone = gone.withColumnRenamed("key", "_key").withColumnRenamed("removed", "_removed")
     key = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     both = docs.join(small(gone, 100_000), key == gone["_key"], "left")
@@ -103,5 +205,5 @@ def without_repeats(docs: DataFrame, least_words: int = 15) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    spans = repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return spans.select("doc_id", "start", "end", "n_words", "first_doc_id", (F.size("removed") == 0).alias("kept"))

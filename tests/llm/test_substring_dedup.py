@@ -1,8 +1,9 @@
 import random
+import re
 
 import numpy as np
 
-from regspark.llm.substring_dedup import GEAR, cuts, repeated_spans, without_repeats
+from regspark.llm.substring_dedup import GEAR, cuts, repeated_passages, repeated_spans, without_repeats
 
 
 def brute_cuts(raw):
@@ -67,3 +68,48 @@ def test_brute_force_and_insertions(spark):
 
 def test_empty_table(spark):
     assert repeated_spans(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def brute_passages(docs, least):
+    """Every window of least words, as plain text; the spans that repeated ones cover."""
+    where, own = {}, {}
+    for doc_id, text in docs:
+        places = [m.span() for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text)]
+        own[doc_id, text] = [(j, places[j][0], places[j + least - 1][1]) for j in range(len(places) - least + 1)]
+        for _, a, b in own[doc_id, text]:
+            where.setdefault(text[a:b], set()).add(doc_id)
+    out = set()
+    for (doc_id, text), windows in own.items():
+        run = []
+        for j, a, b in [*windows, (10**9, 0, 0)]:
+            if run and j > run[-1][0] + least and (j == 10**9 or len(where[text[a:b]]) > 1):
+                out.add((doc_id, run[0][1], run[-1][2], run[-1][0] - run[0][0] + least, min(min(where[text[x:y]]) for _, x, y in run)))
+                run = []
+            if j < 10**9 and len(where[text[a:b]]) > 1:
+                run.append((j, a, b))
+    return out
+
+
+def test_every_shared_passage_is_found_whole(spark):
+    rng = random.Random(9)
+    many = ["".join(rng.choices("abcdefghéß", k=rng.randrange(1, 10))) for _ in range(5000)]
+    text = lambda n, own=many: " ".join(rng.choices(own, k=n))
+    docs, planted = [], []
+    for k in range(300):
+        words = (many, many[:3], ["a", "b"], ["line of", "the same"])[k % 4] if k % 2 else many
+        passage = ("x " * 26 + text(25, words)) if k % 5 == 0 else text((51, 15, 60, 100)[k % 4], words)
+        mark = f"q{k} " + passage + f" z{k}"
+        docs += [(2 * k, f"{text(rng.randrange(0, 60))} l{k} {mark} r{k}"), (2 * k + 1, f"{text(30)}\n{mark} {text(rng.randrange(0, 60))}")]
+        planted.append(mark)
+    docs += [(2000, docs[7][1]), (2001, docs[9][1] + " \n"), (2001, text(40) + " " + planted[3]), (2002, text(14)), (2003, text(14)), (2004, planted[5].replace(" ", "  "))]
+    rows = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start"], r["end"], r["n_words"], r["first_doc_id"]) for r in rows} == brute_passages(docs, 15)
+    for k, mark in enumerate(planted):
+        for doc_id in (2 * k, 2 * k + 1):
+            at = dict(docs)[doc_id].index(mark)
+            assert any(r["doc_id"] == doc_id and r["start"] <= at and at + len(mark) <= r["end"] for r in rows)
+
+
+def test_passages_of_no_documents(spark):
+    assert repeated_passages(spark.createDataFrame([(1, None), (2, ""), (3, "one"), (None, "x " * 40), (4, "x " * 40)], "doc_id long, text string")).collect() == []
+    assert repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
