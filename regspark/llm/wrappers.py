@@ -9,8 +9,10 @@ page alone is a wrapper of itself, so inference is the same step from two pages
 2. Wrappers of a host are folded in salted groups, then once more. What moves is wrappers, whose
    size depends on the template, not on the number of pages; no group of pages is collected.
 3. Wrappers decide: nodes of menus, headers, footers, asides, notices, adverts, forms, comments and
-   scripts are out; so is text that all of several pages share; of the rest, the article (or main)
-   node is in, or else the node that holds most of the words in slots.
+   scripts are out; of the rest, the article (or main) node is in, or else the lowest node that holds all
+   words in slots, less text (but headings) that most of a host's pages share. Inside, a name puts a node
+   out only if it is a class or role for adverts, comments or navigation, or if all its text is shared
+   or most of it links: ids and other names are free and may come from the article's own headings.
 4. Each page is read again with its host's wrapper, and its texts under what is in are joined.
 
 Defined cases: null and empty html give an empty text; a url without host is a host of its own; broken
@@ -49,9 +51,16 @@ OUT_NAMES = re.compile(
     re.I,
 )
 
+#: Classes and roles that are no main text inside an article either.
+OUT_INSIDE = re.compile(
+    r"(?:^|\s)(?:(?:ads?|advert\w*|advertisement)(?:[_-]\S*)?|\S+[_-]ads?|sponsored|promo|promotion|comments?|comments?[_-](?:list|section|area|box|thread|form|wrapper|container)|replies|disqus|nav|navbar|navigation|menu|breadcrumbs?|sidebar|share|sharing|social|related|recommended|newsletter|subscribe|pagination|pager|toolbar|cookies?|popup|modal|complementary|contentinfo|search)(?=$|\s)",
+    re.I,
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption legend summary".split())
+
 
 def stream(page: str) -> Iterator[tuple[str, str, str]]:
-    """(open, tag, class and id names), (close, tag, ''), (text, raw text, '')."""
+    """(open, tag, class, role and #id names), (close, tag, ''), (text, raw text, '')."""
     at = 0
     while at < len(page):
         m = TOKEN.search(page, at)
@@ -67,7 +76,7 @@ def stream(page: str) -> Iterator[tuple[str, str, str]]:
         if m[1]:
             yield "close", tag, ""
             continue
-        names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(m[3])) if m[3] else ""
+        names = " ".join(("#" if n.lower() == "id" else "") + (a or b or c).strip() for n, a, b, c in ATTRIBUTE.findall(m[3])) if m[3] else ""
         yield "open", tag, re.sub(r"\d+", "", names).strip().lower()
         if tag in ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -186,27 +195,54 @@ def expression(node: dict, key: str = "", parent_pages: int | None = None) -> st
     return f"(<{key}>{inner}</>){sign}" if sign else f"<{key}>{inner}</>"
 
 
-def is_out(key: str, inside: bool) -> bool:
+def is_out(key: str, node: dict, inside: bool) -> bool:
     """Whether a node is left out; an article's own header belongs to it."""
     tag, _, names = key.partition(".")
-    if tag == "header" and inside:
+    if tag in OUT:
+        return not (tag == "header" and inside)
+    if not names or tag in ("body", "html"):
         return False
-    return tag in OUT or bool(names and tag not in ("body", "html") and OUT_NAMES.search(names))
+    named = bool(OUT_NAMES.search(names.replace("#", " ")))
+    if not inside:
+        return named
+    if OUT_INSIDE.search(" ".join(n for n in names.split() if not n.startswith("#"))):
+        return True
+    if not named:
+        return False
+    slots = list(all_slots(node))
+    shared = node["pages"] > 1 and all(s["fixed"] for s in slots) and not has_heading(node)
+    return shared or 2 * sum(s["links"] for s in slots) > sum(s["words"] for s in slots)
+
+
+def all_slots(node: dict) -> Iterator[dict]:
+    yield from node["slots"].values()
+    for kid in node["kids"].values():
+        yield from all_slots(kid)
+
+
+def has_heading(node: dict) -> bool:
+    return any(key.partition(".")[0] in HEADINGS or has_heading(kid) for key, kid in node["kids"].items())
+
+
+def is_shared(slot: dict, node: dict, pages: int) -> bool:
+    """Whether most of the pages, and several, have the same text there."""
+    return slot["fixed"] is not None and node["pages"] >= 3 and 2 * node["pages"] > pages
 
 
-def words_in(node: dict, inside: bool = False) -> int:
+def words_in(node: dict, pages: int, inside: bool = False) -> int:
     """Words in slots outside links, of what is not left out."""
-    own = sum(s["words"] - s["links"] for s in node["slots"].values() if s["fixed"] is None or node["pages"] < 3)
-    return own + sum(words_in(k, inside) for key, k in node["kids"].items() if not is_out(key, inside))
+    own = sum(s["words"] - s["links"] for s in node["slots"].values() if inside or not is_shared(s, node, pages))
+    return own + sum(words_in(k, pages, inside) for key, k in node["kids"].items() if not is_out(key, k, inside))
 
 
 def kept_paths(wrapper: dict) -> list[list[str]]:
     """Paths of the nodes whose texts are main text."""
+    pages = wrapper["pages"]
     articles: list[tuple[list[str], dict]] = []
 
     def find(node: dict, path: list[str], wanted: tuple[str, ...]) -> None:
         for key, kid in node["kids"].items():
-            if not is_out(key, False):
+            if not is_out(key, kid, False):
                 if key.partition(".")[0] in wanted:
                     articles.append(([*path, key], kid))
                 else:
@@ -214,30 +250,31 @@ def kept_paths(wrapper: dict) -> list[list[str]]:
 
     for wanted in (("article",), ("main",)):
         find(wrapper, [], wanted)
-        if sum(words_in(n, True) for _, n in articles):
+        if sum(words_in(n, pages, True) for _, n in articles):
             break
         articles.clear()
-    fixed_out = not articles
+    shared_out = not articles
     if not articles:
         node, path = wrapper, []
-        while True:  # down to the node that holds nearly all words
-            inner = [(words_in(k), key) for key, k in node["kids"].items() if not is_out(key, False)]
-            if not inner or max(inner)[0] < 0.7 * max(words_in(node), 1) or max(inner)[1].partition(".")[0] in ("p", "h1", "h2", "h3", "li", "ul", "ol", "table"):
+        while True:  # down to the lowest node that holds all words
+            inner = [(words_in(k, pages), key) for key, k in node["kids"].items() if not is_out(key, k, False)]
+            if not inner or max(inner)[0] < max(words_in(node, pages), 1) or max(inner)[1].partition(".")[0] in ("p", *HEADINGS, "li", "ul", "ol", "table", "pre", "blockquote", "section"):
                 break
             path.append(max(inner)[1])
             node = node["kids"][path[-1]]
         articles = [(path, node)]
     out: list[list[str]] = []
 
-    def keep(node: dict, path: list[str]) -> None:
-        if any(s["fixed"] is None or not fixed_out or node["pages"] < 3 for s in node["slots"].values()):
+    def keep(node: dict, path: list[str], heading: bool) -> None:
+        if any(heading or not shared_out or not is_shared(s, node, pages) for s in node["slots"].values()):
             out.append(path)
         for key, kid in node["kids"].items():
-            if not is_out(key, True):
-                keep(kid, [*path, key])
+            # above the article's own node, names mean what they mean on the page
+            if not is_out(key, kid, not (shared_out and path and path[-1].partition(".")[0] in ("html", "body"))):
+                keep(kid, [*path, key], heading or key.partition(".")[0] in HEADINGS)
 
     for path, node in articles:
-        keep(node, path)
+        keep(node, path, False)
     return out
 
 

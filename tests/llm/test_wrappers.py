@@ -49,3 +49,31 @@ def test_given_pages_keep_the_article_alone(spark, sf_dir):
         inner = re.search(r"<article>(.*)</article>", pages[r["page_id"]], re.S)[1]
         blocks = re.split(r"</?(?:p|h1|br)>", re.sub(r"</?b>", "", inner))
         assert r["text"] == "\n".join(x for x in (" ".join(html.unescape(b).split()) for b in blocks) if x)
+
+
+def paths_of(pages):
+    w = wrapper_of(pages[0])
+    for p in pages[1:]:
+        w = align(w, wrapper_of(p))
+    return {tuple(p) for p in kept_paths(w)}
+
+
+def test_article_text_is_whole():
+    body = "<body><div class=content><h1>Title {0}</h1><p>lead {0}</p><h2>Abstract</h2><div class=body><p>" + "word " * 40 + "{0}</p></div></div><div class=sidebar>Links</div></body>"
+    pages = [body.format(k) for k in ("a", "b", "c", "d")]
+    assert main_text(pages[1], paths_of(pages)) == "Title b\nlead b\nAbstract\n" + "word " * 40 + "b"
+    body = "<body><div><p>Before {0}</p><pre>" + "code " * 40 + "{0}</pre><p>After {0}</p></div></body>"
+    pages = [body.format(k) for k in ("a", "b", "c", "d")]
+    assert main_text(pages[2], paths_of(pages)) == "Before c\n" + "code " * 40 + "c\nAfter c"
+    # one page of many that alone has a text, three of many that share one
+    pages = [f"<body><div><p>Text {k}</p>{'<div class=box>Some</div>' if k < 3 else ''}</div></body>" for k in range(9)]
+    assert main_text(pages[1], paths_of(pages)) == "Text 1\nSome"
+
+
+def test_names_inside_an_article():
+    ids = ("related-work", "search-methods", "legal-framework", "share-prices", "discussion")
+    own = "".join(f"<section id='{i}'><h2>{i}</h2><p>On {i} {{0}}</p></section>" for i in ids)
+    body = "<article><div class='article-header'><h1>Title {0}</h1></div>" + own + "<div class='ad-box'>Buy {0}</div><div class='share-bar'>Tell <a>all your friends</a></div><div id='related'><a>Other {0}</a></div><div class='comments'>Yes {0}</div></article>"
+    pages = [body.format(k) for k in ("a", "b", "c", "d")]
+    for some in (pages, pages[:1]):
+        assert main_text(pages[0], paths_of(some)) == "\n".join(["Title a", *(x for i in ids for x in (i, f"On {i} a"))])
