@@ -7,7 +7,10 @@ page alone is a wrapper of itself, so inference is the same step from two pages
 
 1. Each task folds the pages of a host that it reads into one wrapper.
 2. Wrappers of a host are folded in salted groups, then once more. What moves is wrappers, whose
-   size depends on the template, not on the number of pages; no group of pages is collected.
+   size depends on the template, not on the number of pages; no group of pages is collected. To that end
+   names are counted per host and place first: one that fewer than 2 % of a host's pages have there (the
+   id of a heading, say, or a hash) gives way to its tag, with its meaning if it is one of step 3.
+   Below ``DEEPEST`` levels nodes count as their parents.
 3. Wrappers decide: nodes of menus, headers, footers, asides, notices, adverts, forms, comments and
    scripts are out; of the rest, the article (or main) node is in, or else the lowest node that holds all
    words in slots, less text (but headings) that most of a host's pages share. Inside, a name puts a node
@@ -26,8 +29,10 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +61,8 @@ OUT_INSIDE = re.compile(
     r"(?:^|\s)(?:(?:ads?|advert\w*|advertisement)(?:[_-]\S*)?|\S+[_-]ads?|sponsored|promo|promotion|comments?|comments?[_-](?:list|section|area|box|thread|form|wrapper|container)|replies|disqus|nav|navbar|navigation|menu|breadcrumbs?|sidebar|share|sharing|social|related|recommended|newsletter|subscribe|pagination|pager|toolbar|cookies?|popup|modal|complementary|contentinfo|search)(?=$|\s)",
     re.I,
 )
+#: Levels of a wrapper, well under Python's recursion limit.
+DEEPEST = 150
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption legend summary".split())
 
 
@@ -88,12 +95,37 @@ def key_of(tag: str, names: str) -> str:
     return f"{tag}.{names}" if names else tag
 
 
-def walk(page: str) -> Iterator[tuple[tuple[str, ...], str, str]]:
-    """(path of keys, event, text): event text, or break where a block begins or ends."""
+def mark_of(path: list[tuple[str, str]], tag: str, key: str) -> int:
+    """The place of a name: the tags above it, and its key, as a signed 64-bit hash."""
+    place = "/".join(t for t, _ in path[:DEEPEST]) + f"/{tag}/{key}"
+    return xxhash.xxh3_64_intdigest(place.encode("utf-8", "replace")) - (1 << 63)
+
+
+def plain(tag: str, names: str) -> str:
+    """The key of a rare name: its tag, and whether is_out() knows the name."""
+    known = ""
+    if OUT_INSIDE.search(" ".join(n for n in names.split() if not n.startswith("#"))):
+        known = "ad"
+    elif OUT_NAMES.search(names.replace("#", " ")):
+        known = "#ad"
+    return key_of(tag if tag.isalnum() else "x-", known)
+
+
+def marks_of(page: str) -> set[int]:
+    """Places of all names of a page."""
+    found: set[int] = set()
+    for _ in walk(page, seen=found):
+        pass
+    return found
+
+
+def walk(page: str, frequent: frozenset[int] | None = None, seen: set[int] | None = None) -> Iterator[tuple[tuple[str, ...], str, str]]:
+    """(path of keys, event, text): event text, or break where a block begins or ends. Names that are not
+    frequent (None: all are) give way to plain ones; places of names are added to seen."""
     path: list[tuple[str, str]] = []
 
     def keys() -> tuple[str, ...]:
-        return tuple(k for _, k in path)
+        return tuple(k for _, k in path[:DEEPEST])
 
     for kind, value, names in stream(page):
         if kind == "text":
@@ -106,7 +138,14 @@ def walk(page: str) -> Iterator[tuple[tuple[str, ...], str, str]]:
                     path.pop()
                 yield keys(), "break", ""
             if value not in VOID:
-                path.append((value, key_of(value, names)))
+                key = key_of(value, names)
+                if (names or not value.isalnum()) and (seen is not None or frequent is not None) and len(path) < DEEPEST:
+                    mark = mark_of(path, value, key)
+                    if seen is not None:
+                        seen.add(mark)
+                    if frequent is not None and mark not in frequent:
+                        key = plain(value, names)
+                path.append((value, key))
         else:
             if value in BLOCK:
                 yield keys(), "break", ""
@@ -123,11 +162,11 @@ def empty() -> dict:
     return {"pages": 0, "most": 1, "kids": {}, "slots": {}}
 
 
-def wrapper_of(page: str) -> dict:
+def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
     """A page as a wrapper: nodes by key in page order, like neighbours folded into a repeated one."""
     root = empty()
     root["pages"] = 1
-    for path, event, text in walk(page):
+    for path, event, text in walk(page, frequent):
         if event != "text":
             continue
         text = squeeze(text)
@@ -278,9 +317,9 @@ def kept_paths(wrapper: dict) -> list[list[str]]:
     return out
 
 
-def text_under(page: str, paths: set[tuple[str, ...]]) -> str:
+def text_under(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None) -> str:
     blocks, own = [], []
-    for path, event, text in walk(page):
+    for path, event, text in walk(page, frequent):
         if event == "break":
             blocks.append("".join(own))
             own = []
@@ -289,9 +328,9 @@ def text_under(page: str, paths: set[tuple[str, ...]]) -> str:
     return "\n".join(b for b in map(squeeze, [*blocks, "".join(own)]) if b)
 
 
-def main_text(page: str, paths: set[tuple[str, ...]]) -> str:
+def main_text(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None) -> str:
     """The page's main text by its host's wrapper, or by its own if it has nothing there."""
-    return text_under(page, paths) or text_under(page, {tuple(p) for p in kept_paths(wrapper_of(page))})
+    return text_under(page, paths, frequent) or text_under(page, {tuple(p) for p in kept_paths(wrapper_of(page))})
 
 
 def folded(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[tuple, dict]]:
@@ -307,16 +346,57 @@ def host_of(url: str):
     return F.coalesce(F.nullif(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")), F.lit("?"))
 
 
+def frequent_names(pages: DataFrame, least_percent: int = 2, held_names: int = 100_000) -> DataFrame:
+    """host, frequent (marks as bytes) of the hosts (host, html) that have names on few pages: the others."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            rows = list(held.items())
+            held.clear()
+            columns = ([h for (h, _), _ in rows], [m for (_, m), _ in rows], [n for _, n in rows])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["host", "mark", "n"])
+
+        for batch in batches:
+            for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
+                held.update((host, m) for m in marks_of(page))
+                if len(held) > held_names:
+                    yield out()
+        yield out()
+
+    counts = materialise(pages.mapInArrow(count, "host string, mark long, n long").groupBy("host", "mark").agg(F.sum("n").alias("n")), "names")
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    rated = counts.join(small(materialise(sizes, "hosts"), 100_000), "host").withColumn("often", F.col("n") * 100 >= F.col("pages") * least_percent)
+    some = rated.groupBy("host").agg(F.min("often").alias("all_often"), F.collect_list(F.when(F.col("often"), F.col("mark"))).alias("marks"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array([np.array(m, np.int64).tobytes() for m in batch["marks"].to_pylist()], pa.binary())], ["host", "frequent"])
+
+    return materialise(some.filter(~F.col("all_often")).select("host", "marks").mapInArrow(pack, "host string, frequent binary"), "frequent-names")
+
+
+def marks_in(packed: bytes | None, known: dict) -> frozenset[int] | None:
+    if packed is None:
+        return None
+    if packed not in known:
+        known.clear() if len(known) > 100 else None
+        known[packed] = frozenset(np.frombuffer(packed, np.int64).tolist())
+    return known[packed]
+
+
 def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
-    """host, wrapper (a tree as JSON) of all pages (host, html)."""
+    """host, wrapper (a tree as JSON) of all pages (host, html, frequent)."""
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         held: dict[str, dict] = {}
+        known: dict[bytes, frozenset] = {}
         for batch in batches:
-            for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                own = wrapper_of(page)
+            for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
+                own = wrapper_of(page, marks_in(names, known))
                 held[host] = align(held[host], own) if host in held else own
         salt = TaskContext.get().partitionId() % salts
         rows = [(h, salt, json.dumps(w)) for h, w in held.items()]
@@ -347,20 +427,23 @@ def rules(wrappers: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame, most_broadcast: int = 5_000) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
-    learned = materialise(rules(infer(own.select("host", "html"))), "wrapper-rules")
+    names = frequent_names(own.select("host", "html"))
+    own = own.join(small(names, most_broadcast), "host", "left")
+    learned = materialise(rules(infer(own.select("host", "html", "frequent"))), "wrapper-rules")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}
+        known_names: dict[bytes, frozenset] = {}
         for batch in batches:
             texts = []
-            for page, paths in zip(batch["html"].to_pylist(), batch["paths"].to_pylist(), strict=True):
+            for page, paths, names in zip(batch["html"].to_pylist(), batch["paths"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
                 if paths not in known:
                     known.clear() if len(known) > 1000 else None
                     known[paths] = {tuple(p) for p in json.loads(paths)}
-                texts.append(main_text(page, known[paths]))
+                texts.append(main_text(page, known[paths], marks_in(names, known_names)))
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    both = own.join(small(learned, most_broadcast), "host").select("page_id", "url", "html", "paths")
+    both = own.join(small(learned, most_broadcast), "host").select("page_id", "url", "html", "paths", "frequent")
     return both.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
 
 

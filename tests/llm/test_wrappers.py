@@ -1,6 +1,6 @@
 import pyarrow.parquet as pq
 
-from regspark.llm.wrappers import align, expression, kept_paths, main_text, main_texts, op3_html_wrappers, wrapper_of
+from regspark.llm.wrappers import align, expression, frequent_names, infer, kept_paths, main_text, main_texts, op3_html_wrappers, wrapper_of
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p><article>no</article>";</script></head><body class="home">
 <header><a href="/">Site</a></header><nav><ul><li><a href="/x">menu {0}</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
@@ -77,3 +77,21 @@ def test_names_inside_an_article():
     pages = [body.format(k) for k in ("a", "b", "c", "d")]
     for some in (pages, pages[:1]):
         assert main_text(pages[0], paths_of(some)) == "\n".join(["Title a", *(x for i in ids for x in (i, f"On {i} a"))])
+
+
+def test_wrappers_do_not_grow_with_the_pages(spark):
+    import hashlib
+    import json
+
+    name = lambda k: hashlib.md5(str(k).encode()).hexdigest()
+    page = "<body><div class=menu>Home</div><article><h1>Title {0}</h1><h2 id='guide-{1}'>On {0}</h2><div class='c{1} x'><p>Text {0}</p></div><div class='ad-{1}'>Buy {0}</div></article></body>"
+    n = 400
+    rows = [(k, "http://a/x", page.format(k, name(k))) for k in range(n)] + [(n, "http://b/", "<div>" * 5000 + "deep" + "</div>" * 5000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
+    assert got == {k: f"Title {k}\nOn {k}\nText {k}" for k in range(n)} | {n: "deep"}
+    pages = df.filter(df["page_id"] < n).selectExpr("'a' as host", "html")
+    pages = pages.join(frequent_names(pages), "host", "left")
+    (w,) = infer(pages).collect()
+    count = lambda node: 1 + sum(map(count, node["kids"].values()))
+    assert count(json.loads(w["wrapper"])) < 20
