@@ -1,4 +1,7 @@
-"""Operator 3. Main text by wrappers: union-free regular expressions inferred from pages of one host.
+"""Operator 3. Main text by wrappers: trees of tags inferred from pages of one host.
+
+What extracts is a set of paths chosen by tags, names and shared text (step 3), not a match of the
+union-free expression that expression() writes of a wrapper.
 
 A page is a stream of tags and texts. A wrapper is a tree whose nodes are tags, text slots or text that all
 pages share; each node occurs once, optionally (?), or repeatedly (+, *). Two wrappers are aligned
