@@ -299,8 +299,9 @@ class Join:
         discard(sets)
         posted = self.posted(windows)
         # rows of one doc_id are one document: its classes are linked
-        own = named.select("class", "doc_id").distinct().join(names, "class").filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-        named_again = own.join(names.select(F.col("node").alias("b")), "b", "left_semi")
+        own = named.select("class", "doc_id").distinct().join(names.select("class", "node"), "class")
+        least = own.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("high")).filter("b < high").select("doc_id", "b")
+        named_again = own.join(least, "doc_id").filter("node > b").select(F.col("node").alias("a"), "b").distinct()
         stars = self.centres(posted)
         pairs = stars.filter(self.sizes_fit("n", "n_centre")).select(F.col("node").alias("a"), F.col("centre").alias("b"))
         links = self.compare(pairs).unionByName(named_again.select("a", "b"))

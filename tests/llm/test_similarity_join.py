@@ -106,3 +106,11 @@ def test_components(spark):
         parent[b] = a
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
+
+
+def test_two_texts_of_one_doc_id_with_copies_of_smaller_ids(spark):
+    one, two = "a b c d e f g h", "p q r s t u v w"
+    docs = [(1, one), (5, one), (2, two), (5, two), (7, "x y z x y"), (None, one)]
+    got = rows(near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=90))
+    assert got == brute(docs, 3, 90)
+    assert {r[2] for r in got if r[0] in (1, 2, 5)} == {1}
