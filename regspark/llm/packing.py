@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, encoder, portions
 from .common import materialise, prose
+from .words import slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -39,13 +40,13 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, vocabulary: str | None =
     path = vocabulary or default_vocabulary()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
+        enc = encoder(path, end_id)
+        for batch in slices(batches):
             doc_ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             for a, b in portions(texts):
                 rows = []
                 for doc_id, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids = ids.astype("<u4", copy=False)
                     for k, (s, n) in enumerate(cut(len(ids), capacity)):
                         own = ids[s : s + n]
                         rows.append((doc_id, k, s, n, zlib.crc32(own.tobytes()), own.astype(np.int32) if with_ids else None))

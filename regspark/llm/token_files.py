@@ -16,8 +16,8 @@ executor costs its unfinished tasks. Nothing but ranks (bounded by the vocabular
 totals (one per partition) comes to the driver.
 
 Defined cases: null text is empty (only the end id); rows with the same doc_id are kept all,
-ordered by text; null doc_ids come first; an empty table gives empty files; other columns are
-ignored.
+ordered by a digest of their texts; null doc_ids come first; a very long text is one block, whatever
+its size; an empty table gives empty files; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, encoder, portions
-from .common import fresh_path, materialise, prose
+from .common import discard, fresh_path, materialise, prose
+from .words import slices
 
 BLOCKS = "shard int, block int, offset long, n_tokens long, doc_ids array<bigint>, doc_lengths array<int>"
 
@@ -65,30 +66,30 @@ def token_blocks(docs: DataFrame, vocabulary: str, end_id: int, block_tokens: in
     """Documents in ascending order, tokenised, whole documents to a block."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, block, offset, held, names, size, shard = encoder(vocabulary), 0, 0, [], [], 0, 0
+        enc, block, offset, held, names, size, shard = encoder(vocabulary, end_id), 0, 0, [], [], 0, 0
 
         def full() -> pa.RecordBatch:
             lengths = [len(x) for x in held]
             row = [[shard], [block], [offset], [size], [names], [lengths], [np.concatenate(held).astype("<u4").tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()), strict=True)], ["shard", "block", "offset", "n_tokens", "doc_ids", "doc_lengths", "ids"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             shard = batch["shard"][0].as_py()
             doc_ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             for a, b in portions(texts):
                 for doc_id, ids in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True):
-                    held.append(np.append(ids, np.uint32(end_id)))
+                    held.append(ids)
                     names.append(doc_id)
-                    size += len(ids) + 1
+                    size += len(ids)
                     if size >= block_tokens:
                         yield full()
                         block, offset, held, names, size = block + 1, offset + size, [], [], 0
         if held:
             yield full()
 
-    ordered = prose(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the text's digest and the reading task part rows of one doc_id, or without any
+    rows = prose(docs).withColumns({"tie": F.xxhash64("text"), "task": F.spark_partition_id()})
+    ordered = rows.repartitionByRange("doc_id", "tie", "task").sortWithinPartitions("doc_id", "tie", "text")
     return ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "text").mapInArrow(encode, BLOCKS + ", ids binary")
 
 
@@ -132,6 +133,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
         starts.append((shard, start))
         start += n
     spark.createDataFrame(starts, "shard int, start long").coalesce(1).write.parquet(f"{path}/shards")
+    discard(blocks)
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
@@ -140,7 +142,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     table = spark.sparkContext.broadcast(np.array([r["id"] for r in rows], np.uint32))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 ids = table.value[unpack_ints(r["control"], r["data"], r["n_tokens"])].astype("<u4")
                 lengths = np.array(r["doc_lengths"], np.int64)

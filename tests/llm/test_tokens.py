@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from itertools import pairwise
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -8,10 +9,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from regspark.llm.bpe import Encoder, default_vocabulary
+from regspark.llm.bpe import WORDS, Encoder, default_vocabulary, kinds, word_starts
 from regspark.llm.common import fresh_path
 from regspark.llm.packing import cut, op5_best_fit_packing, pack, pack_documents, plan
 from regspark.llm.token_files import op2_token_files, pack_ints, read_token_files, unpack_ints, write_token_files
+from regspark.llm.words import HashTable, code_points
 
 ODD = "doc_id long, text string, n_tokens string, start int"
 
@@ -37,9 +39,27 @@ def crc(ids):
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=60), max_size=8))
 @settings(max_examples=150, deadline=None)
 def test_encoder_equals_the_library(texts):
-    enc = Encoder(default_vocabulary(), most_words=20)
+    enc = Encoder(default_vocabulary(), 2, most_words=20)
     for _ in range(2):
-        assert [x.tolist() for x in enc.encode(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in enc.encode(texts)] == [brute(enc.tokenizer, t) for t in texts]
+
+
+@given(st.lists(st.text("  '\n\t\rsdmtlvreab1é’-.,$€", max_size=30), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_word_starts_equal_the_pattern(texts):
+    points = code_points(texts, "\0")
+    whole = "".join(t + "\0" for t in texts)
+    start = np.flatnonzero(word_starts(points, kinds()[np.minimum(points, 0x2100)])).tolist()
+    assert [w for w in (whole[a:b] for a, b in pairwise([*start, len(whole)])) if w != "\0"] == [w for t in texts for w in WORDS.findall(t)]
+
+
+@given(st.lists(st.integers(1, 200).map(lambda k: k << 56), unique=True, max_size=30))
+def test_hash_table(keys):
+    table, keys = HashTable(6), np.array(keys, np.uint64)
+    assert table.find(keys).tolist() == [-1] * len(keys)
+    table.add(keys[:20])
+    table.add(keys[20:])
+    assert table.find(keys).tolist() == list(range(len(keys)))
 
 
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1))))
