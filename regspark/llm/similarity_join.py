@@ -1,75 +1,70 @@
 """Operator 9. Jaccard join of shingle sets over a token-group matrix; classes of linked documents.
 
-1. Every text becomes its set of word shingles, as 64-bit hashes. Equal sets are one class, known by
-   its smallest doc_id. Of each set a window is kept: its P + P/4 + 2 smallest hashes, P being the
-   prefix length that any linked pair must share a token in.
+1. Every text becomes its set of word shingles, as 64-bit tokens: above a hash, 6 bits tell the shingle's
+   length, so that the natural order of tokens puts long shingles, which are rare, first. Equal sets
+   are one class, known by its smallest doc_id. Of each set a window is kept: its P + P/4 + 2 first
+   tokens, P being the prefix length that any linked pair must share a token in.
 2. Tokens of more than one class are posted; a class with fewer such tokens in its window than linked
-   pairs must share is linked with nothing and goes. Each class that is left meets that class of its tokens whose own tokens
-   are posted most, as the unedited text among its copies is; of those, the one it shares most with
-   is compared exactly. Links are contracted: copies with small edits are one component from here
-   on, without all their pairs.
-3. The token-group matrix: classes with the same centre, linked or not, form groups of some ``group_tokens``
-   tokens; a group's row is the union of its members' window tokens. Tokens of one component need no
-   more work. Tokens of more than ``hot`` groups (passages that many documents share) move to the end of
-   the global order; windows shrink by them. Two groups qualify if they hold more than one component
-   and share as many tokens as linked members must. Only qualifying groups are opened: each member
-   of one, as a query, has its overlap with the other's union bounded again, and what passes is
-   compared exactly. Pairs of members exist only inside that task.
-4. Documents whose windows hold too many hot tokens are shingled again and take the first P tokens of
+   pairs must share is linked with nothing and goes. Each class that is left has as its centre, of the
+   classes whose tokens are posted most, as the unedited text among its copies is, the one that it shares
+   most tokens with. Classes with one centre form groups of some ``group_tokens`` tokens, and
+   the centre belongs to each of them.
+3. Every group is opened: its members' whole sets meet in one task, which names at most one link a
+   member. Links make components; copies with small edits are one from here on, without all pairs.
+4. The token-group matrix: a group's row is the union of its members' window tokens. Tokens of one component
+   need no more work. Tokens of more than ``hot`` groups (passages that many documents share) move to
+   the end of the global order; windows shrink by them. Two groups qualify if they hold more than one
+   component and share as many tokens as linked members must. Only qualifying groups are opened to each
+   other: each member of one, as a query, has its overlap with the other's union bounded
+   again, and what passes is compared exactly. Pairs of members exist only inside that task.
+5. Documents whose windows hold too many hot tokens are shingled again and take the first P tokens of
    their whole sets in the new order, so nothing is lost to hot tokens.
 
-Links and components stay in tables. Two different shingles share a hash with a chance of 2**-64.
+Links and components stay in tables. Two different shingles share a token with a chance of 2**-58 at most.
 
 Defined cases: null or empty texts, or texts without words, have an empty set and are linked with
 nothing; fewer words than a shingle make one shingle; rows that share a doc_id are one document,
 so their texts count as linked; a row without doc_id is linked with nothing and has a null
-component; an empty table gives no rows; other columns are ignored.
+component; a very long text is one set like another, in a group of its own if it is longer than one;
+an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, prose, small
 from .components import connected_components
-
-#: Fixed value: a word, after lower-casing A-Z.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Words that a task remembers the hash of.
-MOST_WORDS = 200_000
-
-
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str, words: int, table: WordHashes) -> np.ndarray:
-    """The sorted different shingle hashes of a text."""
-    found = WORD.findall(text.translate(LOWER))
-    codes = np.fromiter(map(table.__getitem__, found), np.uint64, len(found))
-    if not len(codes):
-        return codes
-    n = min(words, len(codes))
-    total = np.full(len(codes) - n + 1, n, np.uint64)
-    for k in range(n):
-        total = mix(total + codes[k : len(codes) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-    return np.unique(total)
+from .words import mix, not_space, slices, word_hashes
+
+
+def shingles(texts: list[str], words: int) -> list[np.ndarray]:
+    """The sorted different tokens of each text."""
+    codes, sizes, counts = word_hashes(texts, not_space)
+    joined, length = np.full(len(codes), words, np.uint64), np.zeros(len(codes), np.int64)
+    for k in range(words):
+        joined[: len(codes) - k] = mix(joined[: len(codes) - k] + codes[k:]) * np.uint64(0x9E3779B97F4A7C15)
+        length[: len(codes) - k] += sizes[k:]
+    rank = np.uint64(63) - np.minimum(length, 63).astype(np.uint64)
+    tokens = rank << np.uint64(57) | joined >> np.uint64(7)  # below 2**63: signed order is the same
+    out, at = [], 0
+    for n in counts.tolist():
+        if n >= words:
+            out.append(np.unique(tokens[at : at + n - words + 1]))
+        elif n:  # the whole sequence
+            own = np.full(1, n, np.uint64)
+            for code in codes[at : at + n]:
+                own = mix(own + code) * np.uint64(0x9E3779B97F4A7C15)
+            out.append(np.uint64(63 - min(63, int(sizes[at : at + n].sum()))) << np.uint64(57) | own >> np.uint64(7))
+        else:
+            out.append(np.empty(0, np.uint64))
+        at += n
+    return out
 
 
 def needed(n, percent: int):
@@ -104,13 +99,10 @@ def shingle_sets(docs: DataFrame, words: int, percent: int, whole: bool = False,
         return signed[: n if whole else window(n, percent)]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, met = WordHashes(), set()
-        for batch in batches:
+        met = set()
+        for batch in slices(batches):
             sizes, classes, tokens = [], [], []
-            for text in batch["text"].to_pylist():
-                if len(table) > MOST_WORDS:
-                    table.clear()
-                own = shingles(text, words, table)
+            for own in shingles(batch["text"].to_pylist(), words):
                 n, key = len(own), None
                 if n:
                     key = np.array([mix(own).sum(), mix(own * np.uint64(0xD6E8FEB86659FD93)).sum()], np.uint64).tobytes() + n.to_bytes(4, "little")
@@ -148,6 +140,27 @@ def links_between(one: pa.Scalar, two: pa.Scalar, percent: int) -> list[tuple[in
     return found
 
 
+def links_inside(held: pa.Scalar, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is linked inside a group; fewer than it has members."""
+    nodes, lists = held.values.field(0).to_numpy(), held.values.field(1)
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    tokens, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(nodes)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    ordered, owner = tokens[order], owner[order]
+    ends, label, found = np.cumsum(sizes), np.arange(len(nodes)), []
+    for q in range(len(nodes)):
+        own = tokens[ends[q] - sizes[q] : ends[q]]
+        low, high = np.searchsorted(ordered, own, "left"), np.searchsorted(ordered, own, "right")
+        n = high - low
+        common = np.bincount(owner[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())], minlength=len(nodes))
+        good = np.flatnonzero((common * 100 >= (len(own) + sizes - common) * percent) & (label != label[q]))
+        _, first = np.unique(label[good], return_index=True)
+        for k in good[first].tolist():
+            found.append((int(nodes[q]), int(nodes[k])))
+            label[label == label[k]] = label[q]
+    return found
+
+
 class Join:
     """One similarity join; its tables are in the shared folder."""
 
@@ -162,19 +175,6 @@ class Join:
         sets = shingle_sets(texts, self.words, self.percent, whole=True)
         return materialise(sets.filter("tokens is not null").select(F.col("doc_id").alias("node"), "n", "tokens"), "whole-sets")
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """Those (a, b) that are linked, exactly."""
-        pairs = materialise(pairs, "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = self.whole_sets(nodes)
-        a, b = (sets.select(F.col("node").alias(c), F.col("tokens").alias(f"set_{c}")) for c in "ab")
-        both = pairs.join(a, "a").join(b, "b")
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        union = F.size("set_a") + F.size("set_b") - common
-        links = materialise(both.filter(common * 100 >= union * self.percent).select("a", "b").distinct(), "links")
-        discard(sets, pairs)
-        return links
-
     def sizes_fit(self, a: str, b: str) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
@@ -187,7 +187,7 @@ class Join:
         of them; weight tells how central a class is."""
         each = windows.select(F.explode("tokens").alias("token"), "node")
         often = each.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        shared = materialise(each.join(often, "token").distinct(), "shared")
+        shared = materialise(each.join(often, "token"), "shared")  # a class has a token once
         have = shared.groupBy("node").agg(F.count(F.lit(1)).alias("tokens"), F.sum("c").alias("c")).join(windows.select("node", "n"), "node")
         fewest = self.least_shared(F.ceil(F.col("n") * self.percent / 100.0).cast("int"))
         kept = have.filter(F.col("tokens") >= fewest).select("node", "n", (F.col("c") / window_column(F.col("n"), self.percent)).alias("weight"))
@@ -218,20 +218,39 @@ class Join:
         return first.select(F.explode(F.transform(F.slice("order", F.lit(1), prefix_column(F.col("n"), self.percent)), lambda x: x["token"])).alias("token"), "node", "n")
 
     def groups(self, posted: DataFrame, stars: DataFrame) -> DataFrame:
-        """(node, gid): classes of one centre, in parts of some group_tokens tokens. Which class is in which
+        """(node, gid, root): classes of one centre, in parts of some group_tokens tokens. Which class is in which
         group decides about speed, never about results."""
         rooted = posted.select("node", "n").distinct().join(stars.select("node", "centre"), "node", "left").select("node", "n", F.coalesce("centre", "node").alias("root"))
         sizes = materialise(rooted.groupBy("root").agg(F.sum("n").alias("tokens")), "group-sizes")
         part = F.pmod(F.xxhash64("node"), F.ceil(F.col("tokens") / self.group_tokens))
-        return materialise(rooted.join(sizes, "root").select("node", F.xxhash64("root", part).alias("gid")), "groups")
+        return materialise(rooted.join(sizes, "root").select("node", "root", F.xxhash64("root", part).alias("gid")), "groups")
+
+    def inside(self, groups: DataFrame) -> DataFrame:
+        """Links inside groups, the centre being a member of each of its groups."""
+        percent = self.percent
+        members = groups.select("node", "gid").union(groups.filter("node <> root").select("root", "gid")).distinct()
+        several = groups.groupBy("gid").agg(F.max(F.col("node") != F.col("root")).alias("several")).filter("several").select("gid")
+        members = materialise(members.join(several, "gid", "left_semi"), "members")
+        whole = self.whole_sets(members.select("node").distinct())
+        boxes = members.join(whole, "node").groupBy("gid").agg(F.collect_list(F.struct("node", "tokens")).alias("held"))
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for held in batch["held"]:
+                    found = links_inside(held, percent)
+                    yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+        links = materialise(boxes.select("held").mapInArrow(compare, "a long, b long"), "links")
+        discard(whole, members)
+        return links
 
     def matrix(self, rows: DataFrame) -> DataFrame:
         ends = [f(c).alias(f"{c}_{e}") for c in ("n", "component") for e, f in (("low", F.min), ("high", F.max))]
         return rows.groupBy("token", "gid").agg(*ends, F.min("k").alias("k"))
 
-    def across(self, windows: DataFrame, posted: DataFrame, labels: DataFrame, stars: DataFrame) -> DataFrame:
+    def across(self, windows: DataFrame, posted: DataFrame, labels: DataFrame, groups: DataFrame) -> DataFrame:
         """Links between components, by the token-group matrix."""
-        places = self.groups(posted, stars).join(labels, "node", "left").select("node", "gid", F.coalesce("component", "node").alias("component"))
+        places = groups.join(labels, "node", "left").select("node", "gid", F.coalesce("component", "node").alias("component"))
         places = materialise(places, "places")
         lab = materialise(posted.drop("weight").join(places, "node").withColumn("k", self.least_shared(F.col("n"))), "labelled")
         spread = lab.groupBy("token", "gid").agg(F.min("component").alias("low"), F.max("component").alias("high")).groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -245,7 +264,8 @@ class Join:
         if not full.isEmpty():
             extra = materialise(self.saturated_tokens(full, hot_tokens), "saturated")
             each = windows.select(F.explode("tokens").alias("token"), "node", "n").join(posted.select("node").distinct(), "node", "left_semi")
-            again = each.join(extra.select("token").distinct(), "token", "left_semi").join(hot_tokens, "token", "left_anti")
+            wanted = materialise(extra.select("token").distinct().join(hot_tokens, "token", "left_anti"), "wanted")
+            again = each.join(wanted, "token", "left_semi")
             others = again.join(full, "node", "left_anti").join(short, "node", "left").withColumn("k", F.coalesce("short_k", self.least_shared(F.col("n")))).drop("short_k")
             more = others.select("token", "node", "n", "k").unionByName(extra.withColumn("k", F.lit(1))).join(places, "node", "left")
             more = more.withColumn("gid", F.coalesce("gid", F.xxhash64("node", F.lit(0)))).withColumn("component", F.coalesce("component", "node"))
@@ -279,13 +299,7 @@ class Join:
 
         one, two = (boxes.select(F.col("gid").alias(f"gid{s}"), F.col("held").alias(f"held{s}")) for s in "12")
         pairs = qualified.join(one, "gid1").join(two, "gid2").select("held1", "held2")
-        conf, name = pairs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = conf.get(name)
-        conf.set(name, "64")  # a row holds two groups
-        try:
-            links = materialise(pairs.mapInArrow(compare, "a long, b long"), "links")
-        finally:
-            conf.set(name, before)
+        links = materialise(pairs.mapInArrow(compare, "a long, b long"), "links")
         discard(boxes)
         return links
 
@@ -293,9 +307,9 @@ class Join:
         sets = materialise(shingle_sets(self.docs, self.words, self.percent), "shingles")
         rows = materialise(sets.select("doc_id", "n", "class"), "rows")
         named = rows.filter("class is not null and doc_id is not null")
-        names = materialise(named.groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n")), "classes")
-        first = sets.filter("tokens is not null").groupBy("class").agg(F.first("tokens").alias("tokens"))
-        windows = materialise(first.join(names, "class").select("node", "n", "tokens"), "windows")
+        whole = sets.groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("tokens", ignorenulls=True).alias("tokens"))
+        windows = materialise(whole.filter("class is not null and node is not null"), "windows")
+        names = windows.select("class", "node", "n")
         discard(sets)
         posted = self.posted(windows)
         # rows of one doc_id are one document: its classes are linked
@@ -303,12 +317,12 @@ class Join:
         least = own.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("high")).filter("b < high").select("doc_id", "b")
         named_again = own.join(least, "doc_id").filter("node > b").select(F.col("node").alias("a"), "b").distinct()
         stars = self.centres(posted)
-        pairs = stars.filter(self.sizes_fit("n", "n_centre")).select(F.col("node").alias("a"), F.col("centre").alias("b"))
-        links = self.compare(pairs).unionByName(named_again.select("a", "b"))
+        groups = self.groups(posted, stars)
+        links = self.inside(groups).unionByName(named_again.select("a", "b"))
         labels = materialise(connected_components(links), "labels")
-        links = links.unionByName(self.across(windows, posted, labels, stars))
+        links = links.unionByName(self.across(windows, posted, labels, groups))
         labels = materialise(connected_components(links), "labels")
-        discard(windows, posted)
+        discard(posted)
         rows = rows.join(names.select("class", "node"), "class", "left")
         rows = rows.join(labels, "node", "left")
         return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))

@@ -46,8 +46,8 @@ def ascii_lower(points: np.ndarray) -> np.ndarray:
     return np.where((points >= 65) & (points <= 90), points + np.uint32(32), points)
 
 
-def word_hashes(texts: list[str], is_word: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, number of words of each text): words are the longest runs of points
+def word_hashes(texts: list[str], is_word: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes and lengths of all words in order, number of words of each text): words are the longest runs of points
     that is_word accepts, after A-Z are lower-cased. A line end is no word character."""
     points = ascii_lower(code_points(texts, "\n"))
     inside = np.zeros(len(points) + 1, bool)
@@ -56,7 +56,7 @@ def word_hashes(texts: list[str], is_word: Callable[[np.ndarray], np.ndarray]) -
     starts, ends = edges[::2], edges[1::2]
     text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     n = np.diff(np.searchsorted(starts, text_ends), prepend=0)
-    return span_hashes(points, starts, ends - starts), n
+    return span_hashes(points, starts, ends - starts), ends - starts, n
 
 
 def hash_of(word: str) -> int:
