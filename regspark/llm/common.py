@@ -59,6 +59,23 @@ def prose(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
+def bounded_sample(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
+    """At most ``most`` of the ``rows`` rows of df: those with the smallest hashes of the key columns. A
+    threshold on the whole 64 bits lets some more than ``most`` of all rows into the sort, at any size."""
+    h = F.xxhash64(*key)
+    share = 1.2 * (most + 50) / max(rows, 1)
+    if share < 1:
+        some = df.filter(h < F.lit(int(share * 2**64) - 2**63)).orderBy(h, *key).limit(most)
+        if not some.isEmpty():
+            return some
+    return df.orderBy(h, *key).limit(most)  # a small table, or few different keys
+
+
+def private(name: str) -> str:
+    """A column name that no table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """df, to be broadcast if it has at most most_rows rows; otherwise Spark shuffles both sides."""
     return F.broadcast(df) if df.count() <= most_rows else df

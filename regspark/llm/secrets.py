@@ -3,13 +3,15 @@
 Two first-order character models are compared. The one of random strings learns from the labelled
 positives (what the fixed patterns matched, each different string once, over all documents), the
 one of ordinary identifiers from the labelled negatives (identifiers outside any match, each once,
-in a bounded sample of documents, ``sample_docs``). A run of at least ``least_length`` identifier
+in a bounded sample of documents, those ``sample_docs`` with the smallest hashes). A run of at least ``least_length`` identifier
 characters outside the base spans whose log-likelihood ratio per character is over ``threshold``
 is added as kind ``markov``. The models are 2 x 66 x 66 counts, whatever the input's size.
 
 Defined cases: null and empty texts have no spans; without labelled positives the random model
-is uniform; rows are handled one by one, so repeated rows give repeated results; an empty table
-gives no rows. Positions are code points, ends exclusive.
+is uniform; rows are handled one by one, so repeated rows give repeated results; spans of one start are
+in the order of kinds, and one that overlaps another of another kind stays, but for markov; a very
+long text is one row, in some n log n steps for n matches; an empty table gives no rows; other columns
+are ignored by scan and kept by redact, whatever their names. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prose
+from .common import bounded_sample, private, prose
 
 #: The base patterns, in the order that breaks ties, and the least length of what counts.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,6 +35,20 @@ IDENTIFIER = "[A-Za-z0-9+/_-]"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+def running(values: Column, of) -> Column:
+    """The values combined with all before them, by doubling steps: some n log n operations, where a
+    fold that appends would copy its array at each step."""
+    size = F.size(values)
+    steps = F.slice(F.sequence(F.lit(0), F.lit(30)), F.lit(1), F.ceil(F.log2(F.greatest(size, F.lit(1)))).cast("int"))
+
+    def step(acc: Column, r: Column) -> Column:
+        far = F.call_function("shiftleft", F.lit(1), r)
+        moved = F.concat(F.array_repeat(F.lit(None).cast("int"), far), F.slice(acc, F.lit(1), F.size(acc) - far))
+        return F.zip_with(acc, moved, lambda a, b: F.when(b.isNull(), a).otherwise(of(a, b)))
+
+    return F.aggregate(steps, values, step)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, hit>> of the leftmost non-overlapping matches (none of them empty).
 
@@ -41,15 +57,8 @@ def matches(text: Column, pattern: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
     empty = F.array().cast("array<struct<start:int,hit:string>>")
-    found = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), hits.alias("hit")),
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.concat(acc["found"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), x["hit"].alias("hit")))).alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
+    sums = running(F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h)), lambda a, b: a + b)
+    found = F.zip_with(sums, hits, lambda end, h: F.struct((end - F.length(h)).alias("start"), h.alias("hit")))
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -109,9 +118,7 @@ def train(docs: DataFrame, sample_docs: int = 4000) -> list[float]:
         F.transform(found["hex"], lambda m: m["hit"]),
     )
     positives = texts.select(F.explode(values).alias("s"))
-    n = texts.count()
-    share = min(1.0, sample_docs / max(n, 1))
-    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    sample = bounded_sample(texts, texts.count(), sample_docs, "doc_id", "text")
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), f"[0-9a-f]{{{LEAST['hex']},}}", " ")
     negatives = sample.select(F.explode(F.regexp_extract_all(rest, F.lit(f"{IDENTIFIER}{{6,}}"), F.lit(0))).alias("s"))
     # a pair seen in one identifier alone may come from a random string that no pattern marks
@@ -129,14 +136,25 @@ def ratio(token: Column, table: list[float]) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / F.greatest(n, F.lit(1))
 
 
-def with_spans(docs: DataFrame, table: list[float], text: str = "text", least_length: int = 20, threshold: float = 0.7) -> DataFrame:
-    """docs and two columns: base_spans, and spans with those of kind markov, both sorted."""
-    own = F.coalesce(F.col(text), F.lit(""))
+def added(base: Column, runs: Column) -> Column:
+    """base and those of the runs that overlap none of them, sorted; runs do not overlap each other."""
+    every = F.sort_array(F.concat(base, runs))
+    markov = KINDS.index("markov")
+    reach = running(F.transform(every, lambda x: F.when(x["kind"] == markov, 0).otherwise(x["end"])), F.greatest)
+    starts = F.transform(every, lambda x: F.when(x["kind"] == markov, 2**31 - 1).otherwise(x["start"]))
+    ahead = F.reverse(running(F.reverse(starts), F.least))
+    rated = F.arrays_zip(every.alias("x"), reach.alias("reach"), ahead.alias("ahead"))
+    apart = F.filter(rated, lambda r: (r["x"]["kind"] != markov) | ((r["reach"] <= r["x"]["start"]) & (r["ahead"] >= r["x"]["end"])))
+    return F.when(F.size(runs) == 0, base).when(F.size(base) == 0, F.sort_array(runs)).otherwise(F.transform(apart, lambda r: r["x"]))
+
+
+def with_spans(docs: DataFrame, table: list[float], text: str = "text", least_length: int = 20, threshold: float = 0.7, names: tuple[str, str] = ("base_spans", "spans")) -> DataFrame:
+    """docs and two columns: base spans, and spans with those of kind markov, both sorted."""
+    own, found = F.coalesce(F.col(text), F.lit("")), private("runs")
     base = F.sort_array(F.concat(*(as_spans(m, k) for k, m in base_matches(own).items())))
     runs = as_spans(F.filter(matches(own, f"{IDENTIFIER}{{{least_length},}}"), lambda m: ratio(m["hit"], table) > threshold), "markov")
-    out = docs.withColumn("base_spans", base.cast(SPANS)).withColumn("_runs", runs)
-    apart = F.filter("_runs", lambda r: ~F.exists("base_spans", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return out.withColumn("spans", F.sort_array(F.concat("base_spans", apart)).cast(SPANS)).drop("_runs")
+    out = docs.withColumns({names[0]: base.cast(SPANS), found: runs.cast(SPANS)})
+    return out.withColumn(names[1], added(F.col(names[0]), F.col(found)).cast(SPANS)).drop(found)
 
 
 def joined(spans: str) -> Column:
@@ -146,18 +164,15 @@ def joined(spans: str) -> Column:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", sample_docs: int = 4000) -> DataFrame:
     """docs with each secret in column text replaced by mark; overlapping spans become one."""
-    found = with_spans(docs, train(docs, sample_docs))
-    text = F.col("text")
-    done = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return found.withColumn("text", F.when(F.size("spans") > 0, done).otherwise(text)).select(*docs.columns)
+    base, spans, pieces = (private(x) for x in ("base", "spans", "pieces"))
+    found = with_spans(docs, train(docs, sample_docs), names=(base, spans))
+    text, n = F.col("text"), F.size(spans)
+    # a span that begins inside what earlier ones cover only extends it
+    reach = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    before = F.concat(F.array(F.lit(0)), F.slice(reach, F.lit(1), n - 1))
+    parts = F.zip_with(F.col(spans), before, lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(text, at + 1, s["start"] - at), F.lit(mark))).otherwise(""))
+    done = F.concat(F.array_join(parts, ""), F.substring(text, F.element_at(reach, -1) + 1, F.length(text)))
+    return found.withColumn(pieces, F.when(n > 0, done).otherwise(text)).drop("text").withColumnRenamed(pieces, "text").select(*docs.columns)
 
 
 def scan(docs: DataFrame, sample_docs: int = 4000) -> DataFrame:
