@@ -4,17 +4,22 @@ A vector is the sum of one codeword from each of ``books`` full-dimensional code
 is fitted by k-means to what the earlier ones leave of a bounded sample (``sample_rows``); encoding keeps the
 ``beam`` best partial sums at each codebook instead of the nearest codeword alone. With each code goes
 the norm of its sum, so that the squared distance to a query is a sum of table look-ups:
-norm - 2 (t_1[c_1] + t_2[c_2] + ...), t_k the query's products with codebook k. Every row is encoded
-and scored; the ``rerank`` best of each query are compared exactly in double precision.
+norm - 2 (t_1[c_1] + t_2[c_2] + ...), t_k the query's products with codebook k. The row's own squared
+error e (of its sum against its vector) goes with the code too: the true squared distance lies about between
+the look-up's less e and the look-up's plus e (less for near rows, plus for unrelated ones). The k-th
+smallest upper value of a query is its bound, and every row whose lower value is within the bound is
+compared exactly in double precision. So the candidates follow the data; there is no number that cuts them.
 
-Queries are taken in blocks of at most ``query_block``, every block against all codes, which stay where
-they are: a task sees a block of codes and one block of queries, keeps the best of both, and sends
-``rerank`` rows a query at most.
+Queries are taken in blocks of at most ``query_block`` (all that the driver holds of them), every block
+against all codes, which stay where they are: one pass over the codes finds the bounds, a second
+sends the candidates, which are written to the shared folder block by block.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and those
 that do not have the commonest length, take no part; ties go to the smaller vec_id; a query is not
-its own candidate, rows that share a vec_id are; with fewer candidates than k all are returned; an
-empty table gives no rows; other columns are ignored.
+its own candidate, nor are rows that share its vec_id; query rows that share a vec_id are one query, by
+the least of their vectors; other rows that share a vec_id are candidates each; with fewer candidates than
+k all are returned; vectors of any length are whole; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, small
+from .common import bounded_sample, discard, fresh_path, materialise, small
 
 
 def valid_vectors(table: DataFrame) -> DataFrame:
@@ -80,7 +85,7 @@ def fit(sample: np.ndarray, books: int, words: int, beam: int, seed: int = 7) ->
 
 
 def quantise(vectors: DataFrame, books: list[np.ndarray], beam: int) -> DataFrame:
-    """vec_id, codes, norm of every row, written to the shared folder."""
+    """vec_id, codes, norm and squared error of every row, written to the shared folder."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,82 +94,107 @@ def quantise(vectors: DataFrame, books: list[np.ndarray], beam: int) -> DataFram
                 part = batch.slice(k, 1000)
                 x = part["v"].flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
                 codes, norms = encode(x.astype(np.float32), shared.value, beam)
-                yield pa.RecordBatch.from_arrays([part["vec_id"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms.astype(np.float32))], ["vec_id", "codes", "norm"])
+                errors = ((x - sum(b[codes[:, m]] for m, b in enumerate(shared.value))) ** 2).sum(1)
+                yield pa.RecordBatch.from_arrays([part["vec_id"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms.astype(np.float32)), pa.array(errors.astype(np.float32))], ["vec_id", "codes", "norm", "error"])
 
-    return materialise(vectors.mapInArrow(run, "vec_id long, codes binary, norm float"), "codes")
+    return materialise(vectors.mapInArrow(run, "vec_id long, codes binary, norm float, error float"), "codes")
 
 
-def best_candidates(codes: DataFrame, queries: list[tuple[int, np.ndarray]], books: list[np.ndarray], rerank: int) -> DataFrame:
-    """(query_id, vec_id, near): each task's best for each query of the block, by look-up tables."""
-    ids = np.array([q for q, _ in queries], np.int64)
-    shared = codes.sparkSession.sparkContext.broadcast((ids, [(np.stack([v for _, v in queries]).astype(np.float32) @ b.T).T.copy() for b in books]))
+class QueryBlock:
+    """A block of queries against all codes: ids, look-up tables, and the bounds once known."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, tables = shared.value
-        held_ids, held = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0), np.float32)
+    def __init__(self, codes: DataFrame, queries: list[tuple[int, np.ndarray]], books: list[np.ndarray]) -> None:
+        q = np.stack([v for _, v in queries]).astype(np.float32)
+        self.codes, self.ids = codes, np.array([i for i, _ in queries], np.int64)
+        self.context = codes.sparkSession.sparkContext
+        self.shared = self.context.broadcast((self.ids, (q**2).sum(1), [(q @ b.T).T.copy() for b in books]))
+
+    @staticmethod
+    def scored(batches: Iterator[pa.RecordBatch], own: tuple) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row ids, squared distances by look-up as rows x queries, squared errors); own rows are far off."""
+        ids, squares, tables = own
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
-                own = part["vec_id"].to_numpy()
-                code = np.frombuffer(b"".join(part["codes"].to_pylist()), np.uint8).reshape(len(own), -1)
-                score = np.repeat(part["norm"].to_numpy()[:, None], len(ids), 1)
+                rows = part["vec_id"].to_numpy()
+                code = np.frombuffer(b"".join(part["codes"].to_pylist()), np.uint8).reshape(len(rows), -1)
+                score = part["norm"].to_numpy()[:, None] + squares
                 for m, t in enumerate(tables):
                     score -= 2 * t[code[:, m]]
-                score = np.where(own[:, None] == ids[None, :], np.inf, score).T
-                held_ids = np.concatenate([held_ids, np.broadcast_to(own, score.shape)], 1)
-                held = np.concatenate([held, score], 1)
-                order = np.lexsort((held_ids, held), axis=1)[:, :rerank]
-                held, held_ids = np.take_along_axis(held, order, 1), np.take_along_axis(held_ids, order, 1)
-        there = np.isfinite(held)
-        if there.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, there.sum(1))), pa.array(held_ids[there]), pa.array(held[there])], ["query_id", "vec_id", "near"])
-
-    return codes.mapInArrow(run, "query_id long, vec_id long, near float")
-
-
-def nearest(table: DataFrame, query_filter, k: int = 10, books: int = 16, words: int = 256, beam: int = 4, rerank: int = 800, sample_rows: int = 16_000, query_block: int = 1024) -> DataFrame:
+                score[rows[:, None] == ids] = np.inf
+                yield rows, score, part["error"].to_numpy()
+
+    def bounds(self, k: int) -> np.ndarray:
+        """The k-th smallest upper value of each query; infinite with fewer rows."""
+        shared, scored = self.shared, self.scored
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.full((k, len(shared.value[0])), np.inf, np.float32)
+            for _, score, error in scored(batches, shared.value):
+                held = np.partition(np.concatenate([held, score + error[:, None]]), k - 1, axis=0)[:k]
+            query, upper = np.tile(np.arange(held.shape[1], dtype=np.int32), k), held.ravel()
+            there = np.isfinite(upper)
+            yield pa.RecordBatch.from_arrays([pa.array(query[there]), pa.array(upper[there])], ["query", "upper"])
+
+        each = self.codes.mapInArrow(run, "query int, upper float")
+        order = Window.partitionBy("query").orderBy("upper")
+        last = each.withColumn("n", F.row_number().over(order)).filter(F.col("n") == k).select("query", "upper")
+        out = np.full(len(self.ids), np.inf)
+        for r in last.collect():  # one row a query of the block
+            out[r["query"]] = r["upper"]
+        return out
+
+    def candidates(self, bounds: np.ndarray) -> DataFrame:
+        """(query_id, vec_id) of the rows whose lower value is within the bound."""
+        shared, scored, limits = self.shared, self.scored, (bounds + 1e-4 * np.abs(bounds)).astype(np.float32)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, score, error in scored(batches, shared.value):
+                r, q = np.nonzero((score - error[:, None] <= limits) & np.isfinite(score))
+                yield pa.RecordBatch.from_arrays([pa.array(shared.value[0][q]), pa.array(rows[r])], ["query_id", "vec_id"])
+
+        return self.codes.mapInArrow(run, "query_id long, vec_id long")
+
+
+def nearest(table: DataFrame, query_filter, k: int = 10, books: int = 16, words: int = 256, beam: int = 4, sample_rows: int = 16_000, query_block: int = 1024) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest of each row that query_filter picks."""
+    spark = table.sparkSession
     vectors = materialise(valid_vectors(table), "vectors")
-    n = vectors.count()
-    share = min(1.0, sample_rows / max(n, 1))
-    rows = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("v").collect()  # about sample_rows at most
+    rows = bounded_sample(vectors, vectors.count(), sample_rows, "vec_id", "v").select("v").collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not rows:
-        return table.sparkSession.createDataFrame([], schema)
-    sample = np.array([r["v"] for r in rows], np.float32)
-    learned = fit(sample, books, words, beam)
+        return spark.createDataFrame([], schema)
+    learned = fit(np.array([r["v"] for r in rows], np.float32), books, words, beam)
     codes = quantise(vectors, learned, beam)
-    queries = vectors.filter(query_filter)
-    found = None
-    block: list[tuple[int, np.ndarray]] = []
+    queries = materialise(vectors.filter(query_filter).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    path, block = fresh_path(spark, "candidates"), []
 
-    def add(found: DataFrame | None) -> DataFrame:
-        own = best_candidates(codes, block, learned, rerank)
-        return own if found is None else found.unionByName(own)
+    def visit() -> None:
+        own = QueryBlock(codes, block, learned)
+        own.candidates(own.bounds(k)).distinct().write.mode("append").parquet(path)
+        own.shared.destroy()
 
     for r in queries.toLocalIterator():  # a block at a time
         block.append((r["vec_id"], np.array(r["v"])))
         if len(block) == query_block:
-            found, block = add(found), []
+            visit()
+            block = []
     if block:
-        found = add(found)
-    if found is None:
-        return table.sparkSession.createDataFrame([], schema)
-    return exact(found, vectors, queries, k, rerank)
+        visit()
+    elif queries.isEmpty():
+        return spark.createDataFrame([], schema)
+    discard(codes)
+    return exact(spark.read.schema("query_id long, vec_id long").parquet(path), vectors, queries, k)
 
 
-def exact(found: DataFrame, vectors: DataFrame, queries: DataFrame, k: int, rerank: int) -> DataFrame:
-    """The rerank best of each query by look-up, compared exactly; the k nearest."""
-    pair = F.struct(F.col("near"), F.col("vec_id"))
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(pair)), 1, rerank).alias("best"))
-    pairs = materialise(best.select("query_id", F.explode("best.vec_id").alias("vec_id")).distinct(), "candidates")
+def exact(pairs: DataFrame, vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The candidates of each query compared exactly; the k nearest."""
     q = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     both = pairs.join(vectors, "vec_id").join(small(q, 50_000), "query_id")
     square = F.aggregate(F.zip_with("q", "v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
     scored = both.select("query_id", "vec_id", F.sqrt(square).alias("score"))
-    ranked = scored.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("top"))
-    each = ranked.select("query_id", F.posexplode("top").alias("rank", "x"))
-    return each.select("query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", "x.score")
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ def test_nearest_against_brute_force(spark):
     rows += [(2000, None, "t"), (2100, [], "t"), (2200, [0.0] * 16, "t"), (2300, [float("nan")] + [1.0] * 15, "t"), (2400, [None] + [1.0] * 15, "t"), (2500, [1.0] * 3, "t"), (2600, [float("inf")] * 16, "t"), (None, [1.0] * 16, "t")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
     got = {}
-    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, books=6, words=64, rerank=100, query_block=4).collect():
+    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, books=6, words=64, query_block=4).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     assert sorted(got) == list(range(0, 1500, 100))
     hits = 0
