@@ -10,7 +10,8 @@ driver gets at most languages x 16 x depth rows, the leaders of 16 parts of each
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows without lang or
 doc_id teach nothing and are predicted; without any training row all are ``und``; repeated rows
-count each; an empty table gives no rows; other columns are ignored.
+count each; a very long text counts whole; n-grams of equal counts go by code; an empty table gives no
+rows; other columns are ignored, or kept by only_known, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod
+from .common import crc_mod, private
+from .words import slices
 
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
@@ -67,7 +69,7 @@ def gram_counts(training: DataFrame) -> DataFrame:
             codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
             return [(codes, np.bincount(where, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64))]
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 parts = held.setdefault(lang, [])
                 parts.append(np.unique(grams(text), return_counts=True))
@@ -105,7 +107,7 @@ def with_language(docs: DataFrame, learned: dict[str, np.ndarray], depth: int =
     names = docs.columns
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = [], []
             for text in batch.column(batch.schema.names.index("text")).to_pylist():
                 own = most_frequent(text, depth)
@@ -137,8 +139,9 @@ def language_id(docs: DataFrame, depth: int = 300) -> DataFrame:
 
 def only_known(docs: DataFrame, least_score: float = 0.05, depth: int = 300) -> DataFrame:
     """docs whose language is known with at least least_score; the columns stay as they are."""
-    found = with_language(docs, profiles(training_rows(docs), depth), depth, ("_language", "_nearness"))
-    return found.filter((F.col("_language") != UNKNOWN) & (F.col("_nearness") >= least_score)).select(*docs.columns)
+    language, nearness = private("language"), private("nearness")
+    found = with_language(docs, profiles(training_rows(docs), depth), depth, (language, nearness))
+    return found.filter((F.col(language) != UNKNOWN) & (F.col(nearness) >= least_score)).select(*docs.columns)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
