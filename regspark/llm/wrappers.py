@@ -1,30 +1,31 @@
-"""Operator 3. Main text by wrappers: trees of tags inferred from pages of one host.
+"""Operator 3. Main text by wrappers: union-free expressions inferred from the token streams of a host's pages.
 
-What extracts is a set of paths chosen by tags, names and shared text (step 3), not a match of the
-union-free expression that expression() writes of a wrapper.
-
-A page is a stream of tags and texts. A wrapper is a tree whose nodes are tags, text slots or text that all
-pages share; each node occurs once, optionally (?), or repeatedly (+, *). Two wrappers are aligned
-child by child; a mismatch becomes an optional node, and like neighbours become a repeated group. A
+A page is a stream of tags and texts. A wrapper is an expression over them: tags in their order, text slots
+(#) and constant texts (=); a part occurs once, optionally (?), or repeatedly (+, *). Two wrappers are
+aligned level by level along a longest common subsequence of their tags; a mismatch becomes an
+optional group, like tags of one level become a repeated group, texts that differ become a slot. A
 page alone is a wrapper of itself, so inference is the same step from two pages to all:
 
-1. Each task folds the pages of a host that it reads into one wrapper.
-2. Wrappers of a host are folded in salted groups, then once more. What moves is wrappers, whose
-   size depends on the template, not on the number of pages; no group of pages is collected. To that end
-   names are counted per host and place first: one that fewer than 2 % of a host's pages have there (the
-   id of a heading, say, or a hash) gives way to its tag, with its meaning if it is one of step 3.
-   Below ``DEEPEST`` levels nodes count as their parents.
-3. Wrappers decide: nodes of menus, headers, footers, asides, notices, adverts, forms, comments and
-   scripts are out; of the rest, the article (or main) node is in, or else the lowest node that holds all
-   words in slots, less text (but headings) that most of a host's pages share. Inside, a name puts a node
-   out only if it is a class or role for adverts, comments or navigation, or if all its text is shared
-   or most of it links: ids and other names are free and may come from the article's own headings.
-4. Each page is read again with its host's wrapper, and its texts under what is in are joined.
-
-Defined cases: null and empty html give an empty text; a url without host is a host of its own; broken
-markup is read as far as it goes (unclosed tags end with their parents, paragraphs with the next
-block); repeated rows each get their own result; an empty table gives no rows; other columns are
-ignored.
+1. Names are counted per host and place: one that fewer than 2 % of a host's pages have there (the id of a
+   heading, say, or a hash) gives way to its tag, so that a wrapper's size depends on the template, not
+   on the number of pages. Below ``DEEPEST`` levels nodes count as their parents.
+2. Texts are counted per host, place and text over different pages. A slot whose texts mostly recur (on three
+   pages or more: menus, rotating adverts, footers) is a slot of the template; a text that most pages have
+   is a constant of the wrapper.
+3. Each task folds the pages of a host that it reads into one wrapper; wrappers of a host are folded in
+   salted groups, then once more. What moves is wrappers, counts and digests; no group of pages is collected.
+4. The wrapper decides: the main text is what fills the content slots under the article (or main) tag or, without
+   one, under the lowest tag that holds all of them. Constants and template slots are left out there too, and so
+   are repeated groups of links that most pages have; headings stay where content follows. Kinds of tags and
+   names (menus, headers, footers, asides, forms, adverts, comments, scripts) only settle what the
+   wrapper cannot tell: comments differ from page to page, and a host may have a page or two.
+5. Each page is matched with its host's wrapper, and the texts that fill its content slots are joined.
+
+Defined cases: null and empty html give an empty text; a url without host is a host of its own; a page of which
+the wrapper leaves nothing is judged by itself; broken markup is read as far as it goes (unclosed tags end
+with their parents, paragraphs with the next block); very long and very deep pages are whole; repeated rows each get
+their own result and count as one page of their host; an empty table gives no rows; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small
+from .common import discard, materialise, small
+from .words import slices
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -67,6 +69,9 @@ OUT_INSIDE = re.compile(
 #: Levels of a wrapper, well under Python's recursion limit.
 DEEPEST = 150
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption legend summary".split())
+#: Tags that say nothing by themselves.
+CONTAINERS = frozenset("div section td center".split())
+NOTHING: frozenset[int] = frozenset()
 
 
 def stream(page: str) -> Iterator[tuple[str, str, str]]:
@@ -94,14 +99,20 @@ def stream(page: str) -> Iterator[tuple[str, str, str]]:
             yield "close", tag, ""
 
 
-def key_of(tag: str, names: str) -> str:
-    return f"{tag}.{names}" if names else tag
+def key_of(tag: str, names: str, inner: str = "") -> str:
+    """How a tag is known in its level: its names, and for mere containers what they hold."""
+    return tag + (f".{names}" if names else "") + (f"\x1f{inner}" if inner else "")
+
+
+def parts_of(key: str) -> tuple[str, str]:
+    """(tag, names) of a key."""
+    tag, _, names = key.partition("\x1f")[0].partition(".")
+    return tag, names
 
 
-def mark_of(path: list[tuple[str, str]], tag: str, key: str) -> int:
-    """The place of a name: the tags above it, and its key, as a signed 64-bit hash."""
-    place = "/".join(t for t, _ in path[:DEEPEST]) + f"/{tag}/{key}"
-    return xxhash.xxh3_64_intdigest(place.encode("utf-8", "replace")) - (1 << 63)
+def mark_of(place: str, key: str) -> int:
+    """A key below the tags of a place, as a signed 64-bit hash."""
+    return xxhash.xxh3_64_intdigest(f"{place}/{key}".encode("utf-8", "replace")) - (1 << 63)
 
 
 def plain(tag: str, names: str) -> str:
@@ -122,39 +133,89 @@ def marks_of(page: str) -> set[int]:
     return found
 
 
+class Tree:
+    """The tags of a page as they nest, and its texts and block borders in order."""
+
+    def __init__(self, page: str) -> None:
+        self.tags, self.names, self.parents, self.depths = [""], [""], [0], [0]
+        self.inner: list[set[str]] = [set()]
+        self.events: list[tuple[int, str, str]] = []
+        path = [0]
+        for kind, value, names in stream(page):
+            if kind == "text":
+                self.events.append((path[-1], "text", value))
+                if not value.isspace():
+                    self.inner[path[-1]].add("#")
+            elif kind == "open":
+                if value in BLOCK:
+                    while self.tags[path[-1]] in INLINE_AT_BLOCK or value != "br" and self.tags[path[-1]] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+                        path.pop()
+                    if value in ("li", "dd", "dt", "tr", "td", "th", "option") and self.tags[path[-1]] == value:
+                        path.pop()
+                    self.events.append((path[-1], "break", ""))
+                if value not in VOID:
+                    if value in BLOCK and value != "br":
+                        self.inner[path[-1]].add(value)
+                    for column, x in ((self.tags, value), (self.names, names), (self.parents, path[-1]), (self.depths, len(path)), (self.inner, set())):
+                        column.append(x)
+                    path.append(len(self.tags) - 1)
+            else:
+                if value in BLOCK:
+                    self.events.append((path[-1], "break", ""))
+                if any(self.tags[n] == value for n in path):
+                    while self.tags[path.pop()] != value:
+                        pass
+
+    def paths(self, frequent: frozenset[int] | None, seen: set[int] | None) -> list[tuple[str, ...]]:
+        """The keys from the top to each tag. What a container holds, and then its names, count as long as
+        they are frequent there (None: all are); all places of names are added to seen."""
+        out, places = [()], [""]
+        for n in range(1, len(self.tags)):
+            tag, names, parent = self.tags[n], self.names[n], self.parents[n]
+            if self.depths[n] > DEEPEST:
+                out.append(out[parent])
+                places.append(places[parent])
+                continue
+            place = f"{places[parent]}/{tag}"
+            inner = ",".join(sorted(self.inner[n])) if tag in CONTAINERS else ""
+            key = key_of(tag, names, inner)
+            if (names or inner or not tag.isalnum()) and (seen is not None or frequent is not None):
+                marks = [(mark_of(place, k), k) for k in ((key, key_of(tag, names)) if inner else (key,)) if k != tag]
+                if seen is not None:
+                    seen.update(m for m, _ in marks)
+                if frequent is not None:
+                    key = next((k for m, k in marks if m in frequent), plain(tag, names))
+            out.append((*out[parent], key))
+            places.append(place)
+        return out
+
+
 def walk(page: str, frequent: frozenset[int] | None = None, seen: set[int] | None = None) -> Iterator[tuple[tuple[str, ...], str, str]]:
-    """(path of keys, event, text): event text, or break where a block begins or ends. Names that are not
-    frequent (None: all are) give way to plain ones; places of names are added to seen."""
-    path: list[tuple[str, str]] = []
-
-    def keys() -> tuple[str, ...]:
-        return tuple(k for _, k in path[:DEEPEST])
-
-    for kind, value, names in stream(page):
-        if kind == "text":
-            yield keys(), "text", value
-        elif kind == "open":
-            if value in BLOCK:
-                while path and path[-1][0] in INLINE_AT_BLOCK or path and value != "br" and path[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                    path.pop()
-                if value in ("li", "dd", "dt", "tr", "td", "th", "option") and path and path[-1][0] == value:
-                    path.pop()
-                yield keys(), "break", ""
-            if value not in VOID:
-                key = key_of(value, names)
-                if (names or not value.isalnum()) and (seen is not None or frequent is not None) and len(path) < DEEPEST:
-                    mark = mark_of(path, value, key)
-                    if seen is not None:
-                        seen.add(mark)
-                    if frequent is not None and mark not in frequent:
-                        key = plain(value, names)
-                path.append((value, key))
-        else:
-            if value in BLOCK:
-                yield keys(), "break", ""
-            if any(t == value for t, _ in path):
-                while path.pop()[0] != value:
-                    pass
+    """(path of keys, event, text): event text, or break where a block begins or ends."""
+    tree = Tree(page)
+    paths = tree.paths(frequent, seen)
+    for n, event, text in tree.events:
+        yield paths[n], event, text
+
+
+def slot_mark(path: tuple[str, ...] | list[str]) -> int:
+    """The place of a text slot, as a signed 64-bit hash."""
+    return xxhash.xxh3_64_intdigest("/".join(path).encode("utf-8", "replace")) - (1 << 63)
+
+
+def text_mark(slot: int, text: str) -> int:
+    """A text in its place."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"), slot + (1 << 63)) - (1 << 63)
+
+
+def texts_of(page: str, frequent: frozenset[int] | None) -> set[tuple[int, int]]:
+    """(slot, text in it) of a page's texts."""
+    found = set()
+    for path, event, text in walk(page, frequent):
+        if event == "text" and (own := squeeze(text)):
+            slot = slot_mark(path)
+            found.add((slot, text_mark(slot, own)))
+    return found
 
 
 def squeeze(text: str) -> str:
@@ -182,12 +243,13 @@ def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
         own = node["slots"].get("text")
         n, mark = len(text.split()), xxhash.xxh64_hexdigest(text.encode("utf-8", "replace"))
         if own is None:
-            own = node["slots"]["text"] = {"fixed": mark, "words": 0, "links": 0}
+            own = node["slots"]["text"] = {"fixed": mark, "words": 0, "links": 0, "n": 0}
         else:
             node["most"] = 2
             if own["fixed"] != mark:
                 own["fixed"] = None
         own["words"] += n
+        own["n"] += 1
         if any(k == "a" or k.startswith("a.") for k in path):
             own["links"] += n
     return root
@@ -223,7 +285,7 @@ def align(a: dict, b: dict) -> dict:
         x, y = a["kids"].get(key), b["kids"].get(key)
         kids[key] = align(x, y) if x and y else x or y
     x, y = a["slots"].get("text"), b["slots"].get("text")
-    both = {"fixed": x["fixed"] if x["fixed"] == y["fixed"] else None, "words": x["words"] + y["words"], "links": x["links"] + y["links"]} if x and y else x or y
+    both = {"fixed": x["fixed"] if x["fixed"] == y["fixed"] else None, **{c: x[c] + y[c] for c in ("words", "links", "n")}} if x and y else x or y
     return {"pages": a["pages"] + b["pages"], "most": max(a["most"], b["most"]), "kids": kids, "slots": {"text": both} if both else {}}
 
 
@@ -233,27 +295,105 @@ def expression(node: dict, key: str = "", parent_pages: int | None = None) -> st
     if not key:
         return inner
     optional = parent_pages is not None and node["pages"] < parent_pages
-    sign = {(0, 0): "", (0, 1): "?", (1, 0): "+", (1, 1): "*"}[node["most"] > 1, optional]
-    return f"(<{key}>{inner}</>){sign}" if sign else f"<{key}>{inner}</>"
-
-
-def is_out(key: str, node: dict, inside: bool) -> bool:
-    """Whether a node is left out; an article's own header belongs to it."""
-    tag, _, names = key.partition(".")
-    if tag in OUT:
-        return not (tag == "header" and inside)
-    if not names or tag in ("body", "html"):
-        return False
-    named = bool(OUT_NAMES.search(names.replace("#", " ")))
-    if not inside:
-        return named
-    if OUT_INSIDE.search(" ".join(n for n in names.split() if not n.startswith("#"))):
-        return True
-    if not named:
-        return False
-    slots = list(all_slots(node))
-    shared = node["pages"] > 1 and all(s["fixed"] for s in slots) and not has_heading(node)
-    return shared or 2 * sum(s["links"] for s in slots) > sum(s["words"] for s in slots)
+    sign, shown = {(0, 0): "", (0, 1): "?", (1, 0): "+", (1, 1): "*"}[node["most"] > 1, optional], key.partition("\x1f")[0]
+    return f"(<{shown}>{inner}</>){sign}" if sign else f"<{shown}>{inner}</>"
+
+
+class Rules:
+    """What of a host's wrapper is main text. shared: the marks of its template slots."""
+
+    def __init__(self, wrapper: dict, shared: frozenset[int] = NOTHING) -> None:
+        self.wrapper, self.pages, self.shared = wrapper, wrapper["pages"], shared
+        self.out: list[list[str]] = []
+
+    def is_template(self, path: list[str]) -> bool:
+        return bool(self.shared) and slot_mark(path) in self.shared
+
+    def content(self, node: dict, path: list[str]) -> int:
+        """Words of the node's own content slots, links apart."""
+        return 0 if self.is_template(path) else sum(s["words"] - s["links"] for s in node["slots"].values())
+
+    def is_out(self, key: str, node: dict, path: list[str], inside: bool) -> bool:
+        """Whether a node is left out by its kind, or as a group of links; an article's own header belongs to it."""
+        tag, names = parts_of(key)
+        if tag in OUT:
+            return not (tag == "header" and inside)
+        if inside and self.is_link_group(node):
+            return True
+        if not names or tag in ("body", "html"):
+            return False
+        named = bool(OUT_NAMES.search(names.replace("#", " ")))
+        if not inside:
+            return named
+        if OUT_INSIDE.search(" ".join(n for n in names.split() if not n.startswith("#"))):
+            return True
+        if not named:
+            return False
+        slots = list(all_slots(node))
+        return (not has_heading(node) and not self.words_in(node, path)) or 2 * sum(s["links"] for s in slots) > sum(s["words"] for s in slots)
+
+    def is_link_group(self, node: dict) -> bool:
+        """Whether most pages, and several, have three links or more there and hardly another word."""
+        if node["pages"] < 3 or 2 * node["pages"] <= self.pages:
+            return False
+        slots = list(all_slots(node))
+        links = [s for s in slots if s["links"]]
+        return sum(s["n"] for s in links) >= 3 * node["pages"] and sum(s["links"] for s in slots) >= 0.9 * sum(s["words"] for s in slots)
+
+    def words_in(self, node: dict, path: list[str], inside: bool = False) -> int:
+        """Words of all content slots of what is not left out."""
+        own = self.content(node, path)
+        return own + sum(self.words_in(k, [*path, key], inside) for key, k in node["kids"].items() if not self.is_out(key, k, [*path, key], inside))
+
+    def tagged(self, wanted: str) -> list[tuple[list[str], dict]]:
+        """The outermost nodes of a tag, outside what is left out."""
+        found, stack = [], [([], self.wrapper)]
+        while stack:
+            path, node = stack.pop()
+            for key, kid in node["kids"].items():
+                if not self.is_out(key, kid, [*path, key], False):
+                    (found if parts_of(key)[0] == wanted else stack).append(([*path, key], kid))
+        return found if sum(self.words_in(n, p, True) for p, n in found) else []
+
+    def lowest(self) -> tuple[list[str], dict]:
+        """The lowest node that holds all content words."""
+        node, path = self.wrapper, []
+        while True:
+            inner = [(self.words_in(k, [*path, key]), key) for key, k in node["kids"].items() if not self.is_out(key, k, [*path, key], False)]
+            if not inner or max(inner)[0] < max(self.words_in(node, path), 1) or parts_of(max(inner)[1])[0] in ("p", *HEADINGS, "li", "ul", "ol", "table", "pre", "blockquote", "section"):
+                return path, node
+            path = [*path, max(inner)[1]]
+            node = node["kids"][path[-1]]
+
+    def keep(self, node: dict, path: list[str], heading: bool, names_count: bool) -> None:
+        if heading or not self.is_template(path):
+            self.out.append(path)
+        for key, kid in node["kids"].items():
+            own = [*path, key]
+            # above the article's own node, names mean what they mean on the page
+            above = names_count and (not path or parts_of(path[-1])[0] in ("html", "body"))
+            if self.is_out(key, kid, own, not above):
+                continue
+            is_heading = heading or parts_of(key)[0] in HEADINGS
+            if is_heading or self.words_in(kid, own, True) or not any_template(self, kid, own):
+                self.keep(kid, own, is_heading, names_count)
+
+    def kept_paths(self) -> list[list[str]]:
+        """Paths of the content slots."""
+        articles = self.tagged("article") or self.tagged("main")
+        if self.shared:
+            plain = Rules(self.wrapper)
+            tagged = plain.tagged("article") or plain.tagged("main")
+            # where most of what the articles hold recurs, pages are copies of each other, not templates
+            if 2 * sum(self.words_in(n, p, True) for p, n in tagged) < sum(plain.words_in(n, p, True) for p, n in tagged):
+                self.shared, articles = NOTHING, tagged
+        for path, node in articles or [self.lowest()]:
+            self.keep(node, path, False, not articles)
+        return self.out
+
+
+def any_template(rules: Rules, node: dict, path: list[str]) -> bool:
+    return bool(node["slots"]) and rules.is_template(path) or any(any_template(rules, k, [*path, key]) for key, k in node["kids"].items())
 
 
 def all_slots(node: dict) -> Iterator[dict]:
@@ -263,77 +403,28 @@ def all_slots(node: dict) -> Iterator[dict]:
 
 
 def has_heading(node: dict) -> bool:
-    return any(key.partition(".")[0] in HEADINGS or has_heading(kid) for key, kid in node["kids"].items())
-
-
-def is_shared(slot: dict, node: dict, pages: int) -> bool:
-    """Whether most of the pages, and several, have the same text there."""
-    return slot["fixed"] is not None and node["pages"] >= 3 and 2 * node["pages"] > pages
+    return any(parts_of(key)[0] in HEADINGS or has_heading(kid) for key, kid in node["kids"].items())
 
 
-def words_in(node: dict, pages: int, inside: bool = False) -> int:
-    """Words in slots outside links, of what is not left out."""
-    own = sum(s["words"] - s["links"] for s in node["slots"].values() if inside or not is_shared(s, node, pages))
-    return own + sum(words_in(k, pages, inside) for key, k in node["kids"].items() if not is_out(key, k, inside))
+def kept_paths(wrapper: dict, shared: frozenset[int] = NOTHING) -> list[list[str]]:
+    return Rules(wrapper, shared).kept_paths()
 
 
-def kept_paths(wrapper: dict) -> list[list[str]]:
-    """Paths of the nodes whose texts are main text."""
-    pages = wrapper["pages"]
-    articles: list[tuple[list[str], dict]] = []
-
-    def find(node: dict, path: list[str], wanted: tuple[str, ...]) -> None:
-        for key, kid in node["kids"].items():
-            if not is_out(key, kid, False):
-                if key.partition(".")[0] in wanted:
-                    articles.append(([*path, key], kid))
-                else:
-                    find(kid, [*path, key], wanted)
-
-    for wanted in (("article",), ("main",)):
-        find(wrapper, [], wanted)
-        if sum(words_in(n, pages, True) for _, n in articles):
-            break
-        articles.clear()
-    shared_out = not articles
-    if not articles:
-        node, path = wrapper, []
-        while True:  # down to the lowest node that holds all words
-            inner = [(words_in(k, pages), key) for key, k in node["kids"].items() if not is_out(key, k, False)]
-            if not inner or max(inner)[0] < max(words_in(node, pages), 1) or max(inner)[1].partition(".")[0] in ("p", *HEADINGS, "li", "ul", "ol", "table", "pre", "blockquote", "section"):
-                break
-            path.append(max(inner)[1])
-            node = node["kids"][path[-1]]
-        articles = [(path, node)]
-    out: list[list[str]] = []
-
-    def keep(node: dict, path: list[str], heading: bool) -> None:
-        if any(heading or not shared_out or not is_shared(s, node, pages) for s in node["slots"].values()):
-            out.append(path)
-        for key, kid in node["kids"].items():
-            # above the article's own node, names mean what they mean on the page
-            if not is_out(key, kid, not (shared_out and path and path[-1].partition(".")[0] in ("html", "body"))):
-                keep(kid, [*path, key], heading or key.partition(".")[0] in HEADINGS)
-
-    for path, node in articles:
-        keep(node, path, False)
-    return out
-
-
-def text_under(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None) -> str:
+def text_under(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None, shared: frozenset[int] = NOTHING) -> str:
+    """The texts in the given slots, less the wrapper's constants (but headings), block by block."""
     blocks, own = [], []
     for path, event, text in walk(page, frequent):
         if event == "break":
             blocks.append("".join(own))
             own = []
-        elif path in paths:
+        elif path in paths and not (shared and text_mark(slot_mark(path), squeeze(text)) in shared and not any(parts_of(k)[0] in HEADINGS for k in path)):
             own.append(text)
     return "\n".join(b for b in map(squeeze, [*blocks, "".join(own)]) if b)
 
 
-def main_text(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None) -> str:
+def main_text(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None, shared: frozenset[int] = NOTHING) -> str:
     """The page's main text by its host's wrapper, or by its own if it has nothing there."""
-    return text_under(page, paths, frequent) or text_under(page, {tuple(p) for p in kept_paths(wrapper_of(page))})
+    return text_under(page, paths, frequent, shared) or text_under(page, {tuple(p) for p in kept_paths(wrapper_of(page))})
 
 
 def folded(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[tuple, dict]]:
@@ -361,7 +452,7 @@ def frequent_names(pages: DataFrame, least_percent: int = 2, held_names: int = 1
             columns = ([h for (h, _), _ in rows], [m for (_, m), _ in rows], [n for _, n in rows])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["host", "mark", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
                 held.update((host, m) for m in marks_of(page))
                 if len(held) > held_names:
@@ -397,7 +488,7 @@ def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
 
         held: dict[str, dict] = {}
         known: dict[bytes, frozenset] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
                 own = wrapper_of(page, marks_in(names, known))
                 held[host] = align(held[host], own) if host in held else own
@@ -417,14 +508,48 @@ def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
     return some.repartition("host").mapInArrow(fold_with(["host"]), "host string, wrapper string")
 
 
-def rules(wrappers: DataFrame) -> DataFrame:
-    """host, paths (JSON) of what is main text."""
+def shared_marks(pages: DataFrame, least_pages: int = 4, recurs: int = 3) -> DataFrame:
+    """host, shared (marks as bytes): template slots and constant texts of the hosts (host, html, frequent) that
+    have at least least_pages different pages."""
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, frozenset] = {}
+        for batch in slices(batches):
+            rows = []
+            for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
+                own = xxhash.xxh3_64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)
+                rows += [(host, *m, own) for m in texts_of(page, marks_in(names, known))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "slot", "text", "page"])
+
+    # pages that are equal count once
+    counts = materialise(pages.mapInArrow(count, "host string, slot long, text long, page long").distinct().groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n")), "texts")
+    hosts = materialise(pages.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "pages-of-hosts")
+    large = small(hosts.filter(F.col("pages") >= least_pages), 100_000)
+    slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") >= recurs, F.col("n"))).alias("again"))
+    template = slots.filter(F.col("again") * 2 > F.col("all")).join(large, "host").select("host", F.col("slot").alias("mark"))
+    # at most twice the texts of a page
+    constant = counts.filter(F.col("n") >= recurs).join(large, "host").filter(F.col("n") * 2 > F.col("pages")).select("host", F.col("text").alias("mark"))
+    every = template.unionByName(constant).groupBy("host").agg(F.collect_list("mark").alias("marks"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["host"], pa.array([json.dumps(kept_paths(json.loads(w))) for w in batch["wrapper"].to_pylist()], pa.string())], ["host", "paths"])
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array([np.array(m, np.int64).tobytes() for m in batch["marks"].to_pylist()], pa.binary())], ["host", "shared"])
+
+    out = materialise(every.mapInArrow(pack, "host string, shared binary"), "shared-marks")
+    discard(counts, hosts)
+    return out
 
-    return wrappers.mapInArrow(decide, "host string, paths string")
+
+def rules(wrappers: DataFrame, shared: DataFrame) -> DataFrame:
+    """host, paths (JSON) of the content slots, shared."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, frozenset] = {}
+        for batch in slices(batches):
+            paths = [json.dumps(kept_paths(json.loads(w), marks_in(s, known) or NOTHING)) for w, s in zip(batch["wrapper"].to_pylist(), batch["shared"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(paths, pa.string()), batch["shared"]], ["host", "paths", "shared"])
+
+    return wrappers.join(shared, "host", "left").mapInArrow(decide, "host string, paths string, shared binary")
 
 
 def main_texts(pages: DataFrame, most_broadcast: int = 5_000) -> DataFrame:
@@ -432,21 +557,22 @@ def main_texts(pages: DataFrame, most_broadcast: int = 5_000) -> DataFrame:
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
     names = frequent_names(own.select("host", "html"))
     own = own.join(small(names, most_broadcast), "host", "left")
-    learned = materialise(rules(infer(own.select("host", "html", "frequent"))), "wrapper-rules")
+    seen = own.select("host", "html", "frequent")
+    learned = materialise(rules(infer(seen), shared_marks(seen)), "wrapper-rules")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}
-        known_names: dict[bytes, frozenset] = {}
-        for batch in batches:
+        marks: dict[bytes, frozenset] = {}
+        for batch in slices(batches):
             texts = []
-            for page, paths, names in zip(batch["html"].to_pylist(), batch["paths"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
+            for page, paths, names, shared in zip(*(batch[c].to_pylist() for c in ("html", "paths", "frequent", "shared")), strict=True):
                 if paths not in known:
                     known.clear() if len(known) > 1000 else None
                     known[paths] = {tuple(p) for p in json.loads(paths)}
-                texts.append(main_text(page, known[paths], marks_in(names, known_names)))
+                texts.append(main_text(page, known[paths], marks_in(names, marks), marks_in(shared, marks) or NOTHING))
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    both = own.join(small(learned, most_broadcast), "host").select("page_id", "url", "html", "paths", "frequent")
+    both = own.join(small(learned, most_broadcast), "host").select("page_id", "url", "html", "paths", "frequent", "shared")
     return both.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
 
 

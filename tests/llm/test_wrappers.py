@@ -70,6 +70,43 @@ def test_article_text_is_whole():
     assert main_text(pages[1], paths_of(pages)) == "Text 1\nSome"
 
 
+PLAIN = """<body><div><div><p>{promo}</p><p>Our site has news</p></div><div><div>{title}</div><div>{text}</div><div>Read on: our terms apply</div>
+<ul><li><a href=1>{a}</a></li><li><a href=2>{b}</a></li><li><a href=3>{c}</a></li></ul></div><div><div>{ad}</div></div></div></body>"""
+
+
+def plain_pages(n):
+    promos, ads = ("Winter sale now", "New phones here", "Join our club"), ("Best shoes of all", "Cheap flights today")
+    page = lambda k: PLAIN.format(promo=promos[k % 3], title=f"Story {k}", text=f"It was told on day {k} of that year", ad=ads[k % 2], a=f"more {k}", b=f"else {k}", c=f"other {k}")
+    return [page(k) for k in range(n)]
+
+
+def test_only_other_pages_reveal_the_borders(spark):
+    """No telling tag or name: menus, rotating adverts, constants and link lists go by the host's wrapper alone."""
+    pages = plain_pages(12)
+    rows = [(k, "http://a/x", p) for k, p in enumerate(pages)] + [(50, "http://b/x", pages[3])] + [(60 + k, "http://c/x", pages[0]) for k in range(9)]
+    got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(12):
+        assert got[k] == f"Story {k}\nIt was told on day {k} of that year"
+    # the same page without its host's others, or with copies alone, keeps what nothing tells apart
+    assert got[50].startswith("Winter sale now\nOur site has news\nStory 3") and "terms apply" in got[50]
+    assert got[60].startswith("Winter sale now\nOur site has news\nStory 0") and len({got[60 + k] for k in range(9)}) == 1
+
+
+def test_constants_inside_an_article(spark):
+    body = "<body><article><h1>Title {0}</h1><h2>Abstract</h2><p>Text {0} here</p><p>Subscribe to our letter now</p><p>More {0}</p><section><h3>See too</h3><ul><li><a>one {0}</a><li><a>two {0}</a><li><a>three {0}</a></ul></section></article></body>"
+    rows = [(k, "http://a/x", body.format(k)) for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k}\nAbstract\nText {k} here\nMore {k}" for k in range(8)}
+
+
+def test_articles_that_recur_stay(spark):
+    """Most pages hold the same article under different menus."""
+    page = "<body><nav><a>m{1}</a></nav><article><h1>Title {0}</h1><p>The long text of story {0}</p><p>And its end {0}</p></article></body>"
+    rows = [(k, "http://a/x", page.format(k % 3, k)) for k in range(12)]
+    got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k % 3}\nThe long text of story {k % 3}\nAnd its end {k % 3}" for k in range(12)}
+
+
 def test_names_inside_an_article():
     ids = ("related-work", "search-methods", "legal-framework", "share-prices", "discussion")
     own = "".join(f"<section id='{i}'><h2>{i}</h2><p>On {i} {{0}}</p></section>" for i in ids)
