@@ -6,10 +6,12 @@
    the plan's size depends on the capacity, not on the number of pieces.
 4. Each piece finds its planned place by its length and its rank among the pieces of that length.
    Ranks are made in salted groups whose sizes are then summed, so a length that a third of all
-   pieces share is spread over many tasks.
+   pieces share is spread over many tasks; the salts grow with the pieces.
 
 Defined cases: null text is empty (only the end id); rows with the same doc_id are kept all; a
-null doc_id is packed like another; an empty table gives no rows; other columns are ignored.
+null doc_id is packed like another; pieces of one length and salt are ranked by doc_id, piece and
+digest, and equal ones are alike; a very long text is cut like others; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -101,9 +103,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, salts: int = 64, most_broadcast: int = 200_000) -> DataFrame:
-    """pieces (with doc_id, piece, length, ids_crc32 and any others) and their sequence_id, offset."""
+def pack(pieces: DataFrame, capacity: int = 1024, least_salts: int = 64, salt_pieces: int = 50_000, most_broadcast: int = 200_000) -> DataFrame:
+    """pieces (with doc_id, piece, length, ids_crc32 and any others) and their sequence_id, offset. A salt
+    holds some salt_pieces pieces, so that their number follows the input."""
     spark = pieces.sparkSession
+    salts = max(least_salts, -(-pieces.count() // salt_pieces))
     keyed = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     counts = keyed.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     sums = materialise(counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))), "packing-counts")
