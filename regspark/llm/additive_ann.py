@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, discard, fresh_path, materialise, small
+from .common import bounded_sample, discard, fresh_path, materialise, small, small_batches
 
 
 def valid_vectors(table: DataFrame) -> DataFrame:
     """vec_id, v (array<double>) of the rows that take part."""
     v = F.col("embedding").cast("array<double>")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & good)
+    rows = small_batches(table).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & good)
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").head()
     return rows.filter(F.size("v") == (sizes["d"] if sizes else 0))
 

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by the tokenizers library, with each distinct word encoded once per worker.
+"""Token ids of whole texts by the tokenizers library, with each distinct word encoded once per task.
 
 A byte-level BPE splits a text into words first and encodes each word by itself, so the ids of
 a text are the joined ids of its words. Real corpora repeat words far more often than texts;
@@ -55,7 +55,7 @@ def word_starts(points: np.ndarray, kind: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """encode(texts) -> one array of ids per text, the end id last. most_words bounds the memory of the
-    word table (some 50 bytes each)."""
+    word table (some 50 bytes each). A task makes its own, so that nothing outlives it."""
 
     def __init__(self, path: str, end_id: int, most_words: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,8 +68,8 @@ class Encoder:
         self.spaced[[k for token, k in vocabulary.items() if token[0] == "Ġ"]] = True
         self.clear()
 
-    def clear(self, room: int = 0) -> None:
-        self.table = HashTable(int(2 * max(self.most_words, room)).bit_length())
+    def clear(self) -> None:
+        self.table = HashTable()
         self.ids, self.lengths, self.offsets = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int64)
 
     def learn(self, new: list[str]) -> None:
@@ -118,7 +118,7 @@ class Encoder:
             if self.table.n + len(new) > self.most_words:
                 unseen = np.arange(len(hashes))
                 new, at = np.unique(hashes, return_index=True)
-                self.clear(len(new))
+                self.clear()
             whole = points.tobytes()
             self.learn([whole[4 * s : 4 * (s + n)].decode("utf-32-le") for s, n in zip(words[at].tolist(), size[at].tolist(), strict=True)])
             self.table.add(new)
@@ -138,16 +138,6 @@ class Encoder:
         return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end_id], np.uint32)
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
-
-
-def encoder(path: str, end_id: int) -> Encoder:
-    """One encoder per worker process; later tasks find its words again."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = Encoder(path, end_id)
-    return _encoders[path, end_id]
-
-
 def portions(values: list[str], most_chars: int = 2_000_000):
     """(from, to) of consecutive texts with about most_chars together, to keep arrays small."""
     start = size = 0

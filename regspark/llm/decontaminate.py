@@ -64,7 +64,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         from pyspark import TaskContext
 
         names, task = shared.value, TaskContext.get().partitionId()
-        table = HashTable(max(1, 2 * len(names)).bit_length())
+        table = HashTable()
         table.add(names.view(np.uint64))
         for number, batch in enumerate(slices(batches)):
             codes, _, sizes = word_hashes(batch["text"].to_pylist(), alphanumeric)

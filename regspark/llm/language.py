@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, private
+from .common import crc_mod, private, small_batches
 from .words import slices
 
 UNKNOWN = "und"
@@ -95,7 +95,7 @@ def profiles(training: DataFrame, depth: int = 300) -> dict[str, np.ndarray]:
 
 def training_rows(docs: DataFrame) -> DataFrame:
     """lang and text of the rows that may teach."""
-    return docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 3) != 1)).select("lang", "text")
+    return small_batches(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 3) != 1)).select("lang", "text")
 
 
 def with_language(docs: DataFrame, learned: dict[str, np.ndarray], depth: int = 300, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -133,7 +133,7 @@ def with_language(docs: DataFrame, learned: dict[str, np.ndarray], depth: int =
 
 def language_id(docs: DataFrame, depth: int = 300) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"))
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"))
     return with_language(own, profiles(training_rows(docs), depth), depth).select("doc_id", "held_out", "lang_pred", "score")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, encoder, portions
+from .bpe import Encoder, default_vocabulary, portions
 from .common import materialise, prose
 from .words import slices
 
@@ -42,7 +42,7 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, vocabulary: str | None =
     path = vocabulary or default_vocabulary()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, end_id)
+        enc = Encoder(path, end_id)
         for batch in slices(batches):
             doc_ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             for a, b in portions(texts):

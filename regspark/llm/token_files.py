@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, encoder, portions
+from .bpe import Encoder, default_vocabulary, portions
 from .common import discard, fresh_path, materialise, prose
 from .words import slices
 
@@ -66,7 +66,7 @@ def token_blocks(docs: DataFrame, vocabulary: str, end_id: int, block_tokens: in
     """Documents in ascending order, tokenised, whole documents to a block."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, block, offset, held, names, size, shard = encoder(vocabulary, end_id), 0, 0, [], [], 0, 0
+        enc, block, offset, held, names, size, shard = Encoder(vocabulary, end_id), 0, 0, [], [], 0, 0
 
         def full() -> pa.RecordBatch:
             lengths = [len(x) for x in held]

@@ -76,11 +76,15 @@ def alphanumeric(points: np.ndarray) -> np.ndarray:
 
 
 class HashTable:
-    """64-bit hash -> row number, by linear probing over arrays."""
+    """64-bit hash -> row number, by linear probing over arrays that are never more than half full."""
 
-    def __init__(self, bits: int) -> None:
+    def __init__(self) -> None:
+        self.n = 0
+        self.enlarge(16)
+
+    def enlarge(self, bits: int) -> None:
         self.mask = np.uint64((1 << bits) - 1)
-        self.keys, self.rows, self.n = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32), 0
+        self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The rows, -1 where there is none."""
@@ -100,6 +104,15 @@ class HashTable:
         """Give new, different hashes the next rows."""
         rows = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
         self.n += len(hashes)
+        if 2 * self.n > len(self.rows):
+            there = self.rows >= 0
+            old_keys, old_rows = self.keys[there], self.rows[there]
+            self.enlarge((4 * self.n).bit_length())
+            self.place(old_keys, old_rows)
+        self.place(hashes, rows)
+        return rows
+
+    def place(self, hashes: np.ndarray, rows: np.ndarray) -> None:
         at, left = (hashes & self.mask).astype(np.int64), np.arange(len(hashes))
         while len(left):
             free = self.rows[at] < 0
@@ -107,4 +120,3 @@ class HashTable:
             self.keys[at[free]] = hashes[left[free]]
             lost = self.rows[at] != rows[left]
             left, at = left[lost], (at[lost] + 1) & int(self.mask)
-        return rows

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, small
+from .common import discard, materialise, small, small_batches
 from .words import slices
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
@@ -554,7 +554,7 @@ def rules(wrappers: DataFrame, shared: DataFrame) -> DataFrame:
 
 def main_texts(pages: DataFrame, most_broadcast: int = 5_000) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
+    own = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
     names = frequent_names(own.select("host", "html"))
     own = own.join(small(names, most_broadcast), "host", "left")
     seen = own.select("host", "html", "frequent")

@@ -1,10 +1,12 @@
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 
 import pyarrow.parquet as pq
 
-from regspark.llm.secrets import op7_secret_scan, redact, scan
+from regspark.llm.secrets import ALPHABET, log_ratios, op7_secret_scan, redact, scan
 
 PATTERNS = {
     "assign": (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8),
@@ -59,6 +61,54 @@ def test_random_strings_are_added_and_words_are_not(spark):
     assert sum("markov" in s for s in got.values()) == 1
 
 
+def test_markov_spans_by_brute_force(spark):
+    """Models, ratios and overlaps by plain Python."""
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["get_user_name", "maximum", "of_all", "information", "understanding_of_nations", "international_relations_office", "AKIAHOUSE", "token"]
+    make = lambda n: "".join(rng.choices(letters, k=n))
+    texts = [" ".join(rng.choice([*names * 8, make(26), f"token: {make(20)}", "0123456789abcdef" * 2 + make(9), f"{make(21)}/AKIA{'AB12' * 4}", f"é{make(30)}"]) for _ in range(12)) for _ in range(150)]
+    positives, negatives = set(), set()
+    for t in texts:
+        spans = brute(t)
+        positives |= {t[a:b] if k else PATTERNS["assign"][0].match(t, a)[2] for a, k, b, _ in spans}
+        rest = re.sub(r"[0-9a-f]{32,}", " ", PATTERNS["access"][0].sub(" ", PATTERNS["assign"][0].sub(" ", t)))
+        negatives |= set(re.findall(r"[A-Za-z0-9+/_-]{6,}", rest))
+    counts = []
+    for label, strings in ((1, positives), (0, negatives)):
+        own = Counter((a, b) for s in strings for a, b in zip(s, s[1:], strict=False) if a in ALPHABET and b in ALPHABET)
+        counts += [(label, a, b, n) for (a, b), n in own.items() if label or n > 1]
+    table = [float(f"{v:.3f}") for v in log_ratios(counts)]
+    rate = lambda s: sum(table[ALPHABET.index(a) * len(ALPHABET) + ALPHABET.index(b)] for a, b in zip(s, s[1:], strict=False)) / (len(s) - 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = 0
+    for r in scan(df).collect():
+        t = texts[r["doc_id"]]
+        base = brute(t)
+        runs = [(m.start(), 3, m.end(), "markov") for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t) if rate(m[0]) > 0.7 and not any(a < m.end() and m.start() < b for a, _, b, _ in base)]
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + runs))
+        seen += len(runs)
+    assert seen > 100
+
+
+def test_thousands_of_spans(spark):
+    """Twice the spans take about twice the time."""
+    seconds = []
+    for n in (5_000, 20_000):
+        df = spark.createDataFrame([(1, "0123456789abcdef" * 2 + " ") for _ in range(1)], "doc_id long, text string").selectExpr("doc_id", f"repeat(text, {n}) as text")
+        start = time.time()
+        (r,) = scan(df).collect()
+        seconds.append(time.time() - start)
+        assert r["n_hex"] == n and r["spans"].endswith(f"hex:{33 * (n - 1)}:{33 * n - 1}")
+        assert redact(df).selectExpr("length(text) as n").head()["n"] == n * 9
+    assert seconds[1] < 4 * seconds[0] + 20
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    df = spark.createDataFrame([(1, f"token = {'0123456789abcdef' * 3}!", "a", "b", "c")], "doc_id long, text string, spans string, base_spans string, _runs string")
+    assert [tuple(r) for r in redact(df).collect()] == [(1, "[SECRET]!", "a", "b", "c")]
+
+
 def test_redaction_and_empty_table(spark):
     df = spark.createDataFrame([(1, f"a token = {'0123456789abcdef' * 3} b", "x"), (2, None, "y"), (2, "clean", "y")], "doc_id long, text string, source string")
     got = sorted((r["doc_id"], r["text"] or "", r["source"]) for r in redact(df).collect())

@@ -55,7 +55,7 @@ def test_word_starts_equal_the_pattern(texts):
 
 @given(st.lists(st.integers(1, 200).map(lambda k: k << 56), unique=True, max_size=30))
 def test_hash_table(keys):
-    table, keys = HashTable(6), np.array(keys, np.uint64)
+    table, keys = HashTable(), np.array(keys, np.uint64)
     assert table.find(keys).tolist() == [-1] * len(keys)
     table.add(keys[:20])
     table.add(keys[20:])
@@ -157,6 +157,6 @@ def test_packing_odd_rows(spark, tokenizer):
 
 def test_packing_one_hot_length(spark):
     rows = [(k, 0, 0, 3, k) for k in range(1000)] + [(2000, 0, 0, 1, 5)]
-    got = pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), 7, salts=4).collect()
+    got = pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), 7, least_salts=4, salt_pieces=5).collect()
     assert len(got) == 1001 and len({(r["sequence_id"], r["offset"]) for r in got}) == 1001
     assert len({r["sequence_id"] for r in got}) == 500
