@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import html
-import re
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,7 +16,6 @@ KEY_LETTERS = {"º": "o", "ª": "a", "™": "tm", "²": "2", "³": "3"}
 #: What search words leave out.
 STOPWORDS = ("de", "da", "do", "das", "dos", "para", "com", "em", "e", "a", "o")
 APOSTROPHES = "'’‘`´"
-ENTITY = re.compile(r"&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);")
 #: Windows-1252 in the range where Latin-1 has control characters.
 CP1252 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 
@@ -24,7 +23,7 @@ CP1252 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(
 def _bases(form: str) -> tuple[str, str]:
     """Characters that decompose to one base character and marks, and those base characters."""
     pairs = []
-    for point in range(0x80, 0x10000):
+    for point in range(0x80, 0x20000):
         if 0xD800 <= point < 0xE000 or unicodedata.category(chr(point))[0] == "M":
             continue
         base = [c for c in unicodedata.normalize(form, chr(point)) if unicodedata.category(c)[0] != "M"]
@@ -36,6 +35,17 @@ def _bases(form: str) -> tuple[str, str]:
 CANONICAL, COMPATIBLE = _bases("NFD"), _bases("NFKD")
 
 
+@cache
+def _expansions() -> dict[str, str]:
+    """Characters that decompose to several, of which some are letters or digits of ASCII (such as ㎏ or Ⅷ)."""
+    out = {}
+    for point in range(0x80, 0x20000):
+        base = "".join(c for c in unicodedata.normalize("NFKD", chr(point)) if unicodedata.category(c)[0] != "M")
+        if len(base) > 1 and any(c.isascii() and c.isalnum() for c in base):
+            out[chr(point)] = base
+    return out
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -79,13 +89,14 @@ def key(c: str | Column) -> Column:
 def words(c: str | Column) -> Column:
     """The different search words of a name, in order: at least two characters, no stopwords, then
     the joined forms of hyphenated compounds."""
-    out = F.translate(col(c), APOSTROPHES, "")
-    for a in "™ﬁﬂ½¼¾":
-        out = F.replace(out, F.lit(a), F.lit(unicodedata.normalize("NFKD", a).replace("⁄", " ")))
+    out, several = F.translate(col(c), APOSTROPHES, ""), _expansions()
+    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    apart = F.array_join(F.transform(F.split(out, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    out = F.when(out.rlike(f"[{''.join(several)}]"), apart).otherwise(out)
     out = F.lower(strip_accents(out, compatible=True))
-    single = F.filter(F.split(out, "[^a-z0-9]+"), lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS))
     compounds = F.transform(F.regexp_extract_all(out, F.lit("[a-z0-9]+(?:-[a-z0-9]+)+"), F.lit(0)), lambda w: F.replace(w, F.lit("-"), F.lit("")))
-    return F.array_distinct(F.concat(single, compounds))
+    each = F.concat(F.split(out, "[^a-z0-9]+"), compounds)
+    return F.array_distinct(F.filter(each, lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS)))
 
 
 def decode_cp1252(c: str | Column) -> Column:
@@ -93,9 +104,26 @@ def decode_cp1252(c: str | Column) -> Column:
     return F.translate(F.decode(col(c), "ISO-8859-1"), "".join(map(chr, range(0x80, 0xA0))), CP1252)
 
 
+def _is_entity(name: str) -> bool:
+    """Whether & name ; is one: a name of ASCII letters and digits, or a number."""
+    if name.startswith(("#x", "#X")):
+        return bool(name[2:]) and all(c in "0123456789abcdefABCDEF" for c in name[2:])
+    body = name.removeprefix("#")
+    return name.removeprefix("#").isascii() and (body.isdigit() if name != body else name.isalnum() and name[0].isalpha())
+
+
+def _decoded(text: str) -> str:
+    first, *rest = text.split("&")
+    out = [first]
+    for piece in rest:
+        name, semicolon, after = piece.partition(";")
+        out.append(html.unescape(f"&{name};") + after if semicolon and _is_entity(name) else f"&{piece}")
+    return "".join(out)
+
+
 @F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else ENTITY.sub(lambda m: html.unescape(m[0]), t))
+    return texts.map(lambda t: None if t is None else _decoded(t))
 
 
 def unescape(c: str | Column) -> Column:

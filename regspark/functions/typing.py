@@ -35,9 +35,9 @@ def placeholder_null(c: str | Column, mark: str = "-") -> Column:
 
 
 def cents(c: str | Column) -> Column:
-    """'1.234,56*' as 123456."""
-    plain = F.replace(F.replace(F.regexp_replace(trim_blank(c), r"\*\z", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return (plain.try_cast("decimal(18,2)") * 100).cast("int")
+    """'1.234,56*' as 123456; more decimals are cut, what does not fit an integer is null."""
+    plain = F.replace(F.replace(F.regexp_replace(trim_blank(c), r"\*+\z", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return (plain.try_cast("decimal(26,6)") * 100).try_cast("int")
 
 
 def marked(columns: Sequence[str]) -> Column:
@@ -66,6 +66,15 @@ def epoch_ms(c: str | Column) -> Column:
     return F.timestamp_millis(col(c))
 
 
+def http_date(c: str | Column, zone: str = "America/Sao_Paulo") -> tuple[Column, Column]:
+    """An HTTP date ('Wed, 21 Oct 2015 07:28:00 GMT') as the zone's day, yyyyMMdd, and moment, dd/MM/yyyy HH:mm:ss;
+    null if it is none."""
+    # the name of the day says nothing that the date does not
+    moment = F.try_to_timestamp(F.concat(F.regexp_extract(col(c), r"\A[A-Za-z]{3}, ([0-9]{2} [A-Za-z]{3} [0-9]{4} [0-9:]{8}) GMT\z", 1), F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss Z"))
+    local = F.from_utc_timestamp(moment, zone)
+    return F.date_format(local, "yyyyMMdd"), F.date_format(local, "dd/MM/yyyy HH:mm:ss")
+
+
 def from_components(parts: str | Column) -> Column:
     """[year, month, day, hour, minute, second, nanosecond] as a timestamp; null if short or invalid."""
     p = col(parts)

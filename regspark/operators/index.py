@@ -1,19 +1,20 @@
-"""A search index by words, companies and numbers: postings, vocabulary, buckets and look-ups."""
+"""A search index by words, companies and numbers: postings, vocabulary, buckets, files and look-ups."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from .rows import running_sum
+from .store import cut
 
 
 def postings(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """A row per different word of a name and row. Names are split once each, then joined back."""
-    split = df.select(name).distinct().select(name, F.explode(words(name)).alias("word"))
-    return df.select(name, *columns).join(split, name)
+    """A row per different word of a row's name, with the given columns."""
+    return df.select(*columns, F.explode(words(name)).alias("word"))
 
 
 def vocabulary(posted: DataFrame) -> DataFrame:
@@ -23,50 +24,102 @@ def vocabulary(posted: DataFrame) -> DataFrame:
 def buckets(counts: DataFrame, key: str, target: int) -> DataFrame:
     """Consecutive keys in buckets of about target rows: the bucket is the running sum before the key
     over the target. Sums run over ranges of keys, whose totals alone meet in one place."""
-    ordered = counts.repartitionByRange(key).withColumn("_p", F.spark_partition_id())
-    ordered = ordered.checkpoint() if counts.sparkSession.sparkContext.getCheckpointDir() else ordered.persist()
-    own = ordered.withColumn("_own", F.sum("n").over(Window.partitionBy("_p").orderBy(key)) - F.col("n"))
-    totals = ordered.groupBy("_p").agg(F.sum("n").alias("_t"))
-    before = totals.select("_p", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    bucket = F.floor((F.col("_own") + F.col("_before")) / target).cast("int")
-    return own.join(F.broadcast(before), "_p").select(key, "n", bucket.alias("bucket"))
+    return running_sum(counts, key, "n", "before").select(key, "n", F.floor(F.col("before") / target).cast("int").alias("bucket"))
 
 
 def packed(counts: DataFrame, key: str, target: int) -> DataFrame:
-    """Exact greedy packing of the ordered (key, n): a bucket closes when the next key would pass the
-    target, a larger key stands alone. It is sequential, over the aggregated keys only."""
-    rows = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), F.col("n").cast("long").alias("n"))))
-    one = counts.agg(rows.alias("rows"))
-    start = F.expr("named_struct('b', -1L, 'room', 0L, 'out', cast(array() as array<struct<k:string,n:bigint,b:bigint>>))")
-
-    def step(acc, r):
-        fits = (acc["b"] >= 0) & (r["n"] <= acc["room"])
-        b = F.when(fits, acc["b"]).otherwise(acc["b"] + 1)
-        room = F.when(fits, acc["room"] - r["n"]).otherwise(F.greatest(F.lit(0), F.lit(target) - r["n"]).cast("long"))
-        return F.struct(b.alias("b"), room.cast("long").alias("room"), F.concat(acc["out"], F.array(F.struct(r["k"].alias("k"), r["n"].alias("n"), b.alias("b")))).alias("out"))
-
-    done = one.select(F.aggregate("rows", start, step, lambda acc: acc["out"]).alias("out"))
-    return done.select(F.inline("out")).select(F.col("k").alias(key), "n", F.col("b").cast("int").alias("bucket"))
+    """Exact greedy packing of the ordered (key, n), n at least 1: a bucket closes when the next key would pass
+    the target, a larger key stands alone.
+
+    A key is known by the sum of all before it. Were a bucket to begin with it, the next one would
+    begin with the first key whose sum passes its own by the target: that is found by windows
+    over stretches of sums. The true beginnings are the first key and what follows it; they are
+    reached by doubling (two, four, eight buckets ahead), so the number of steps is the logarithm
+    of the number of buckets, and no task sees all keys."""
+    sums = cut(running_sum(counts.select(key, F.col("n").cast("long").alias("n")), key, "n", "at"))
+    ends = sums.select(F.floor((F.col("at") + F.col("n")) / target).alias("stretch"), (F.col("at") + F.col("n")).alias("value"), F.col("at").alias("begins"), F.lit(None).cast("long").alias("of"))
+    asked = sums.select(F.floor(F.col("at") / target + 1).alias("stretch"), (F.col("at") + target).alias("value"), F.lit(None).cast("long").alias("begins"), F.col("at").alias("of"))
+    both = ends.unionByName(asked)
+    later = Window.partitionBy("stretch").orderBy("value", F.col("of").isNotNull()).rowsBetween(1, Window.unboundedFollowing)
+    near = both.withColumn("next", F.min("begins").over(later)).filter("of is not null").select("of", "stretch", "next")
+    # one row a stretch: about as many as there are buckets
+    firsts = both.groupBy("stretch").agg(F.min("begins").alias("first"))
+    far = firsts.select("stretch", F.min("first").over(Window.orderBy("stretch").rowsBetween(1, Window.unboundedFollowing)).alias("far"))
+    jump = near.join(far, "stretch").select(F.col("of").alias("at"), F.coalesce("next", "far").alias("to")).join(sums.select("at", "n"), "at")
+    whole = F.when(F.col("n") > target, F.col("at") + F.col("n")).otherwise(F.col("to"))
+    jump = cut(jump.select("at", whole.alias("to")).join(sums.select(F.col("at").alias("to")), "to", "left_semi"))
+    begins = sums.agg(F.min("at").alias("at")).filter("at is not null")
+    while not jump.isEmpty():
+        more = cut(begins.join(jump, "at").select(F.col("to").alias("at")))
+        if more.isEmpty():
+            break
+        begins = cut(begins.union(more).distinct())
+        jump = cut(jump.join(jump.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")))
+    marked = sums.join(begins.withColumn("one", F.lit(1)), "at", "left").withColumn("one", F.coalesce("one", F.lit(0)))
+    return running_sum(marked, key, "one", "before").select(key, "n", (F.col("before") + F.col("one") - 1).cast("int").alias("bucket"))
 
 
 def index_table(bucketed: DataFrame, key: str, kind: str) -> DataFrame:
-    return bucketed.groupBy("bucket").agg(F.min(key).alias("first_key"), F.sum("n").cast("long").alias("rows")).select(F.lit(kind).alias("kind"), "first_key", "rows", "bucket")
+    """kind, first_key, last_key, rows, bucket."""
+    own = bucketed.groupBy("bucket").agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.sum("n").cast("long").alias("rows"))
+    return own.select(F.lit(kind).alias("kind"), F.col("first_key").cast("string"), F.col("last_key").cast("string"), "rows", "bucket")
 
 
-def number_buckets(df: DataFrame, columns: Sequence[str], last: int = 3) -> DataFrame:
-    """(number, bucket) of all-digit values of the columns, by their last digits."""
-    each = df.select(F.explode(F.array(*(F.col(c).cast("string") for c in columns))).alias("number")).filter(r"number rlike '\\A[0-9]+\\z'")
+def number_buckets(df: DataFrame, columns: Sequence[str], last: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+    """(number, bucket and what to keep) of all-digit values of the columns, by their last digits."""
+    each = df.select(*keep, F.explode(F.array(*(F.col(c).cast("string") for c in columns))).alias("number")).filter(r"number rlike '\\A[0-9]+\\z'")
     return each.withColumn("bucket", F.expr(f"right(number, {last})"))
 
 
-def look_up(posted: DataFrame, query: str, key: str) -> DataFrame:
-    """Keys of the rows whose names have, for each word of the query, a word that starts with it."""
-    spark = posted.sparkSession
-    wanted = spark.range(1).select(words(F.lit(query)).alias("w")).head()["w"]
+def company_names(df: DataFrame, company: str, name: str) -> DataFrame:
+    """One name a company, the first in order."""
+    return df.groupBy(company).agg(F.min(name).alias(name))
+
+
+def write_index(df: DataFrame, folder: str, name: str, company: str, company_name: str, numbers: Sequence[str], columns: Sequence[str], target: int = 3000) -> None:
+    """The index of df in a folder: words and companies in buckets of keys, numbers by their last digits, the
+    table of buckets, company names and the vocabulary. A missing column is an error before any work."""
+    missing = {name, company, company_name, *numbers, *columns} - set(df.columns)
+    if missing:
+        raise ValueError(f"the index needs the columns {', '.join(sorted(missing))}")
+    keep = list(dict.fromkeys([*columns, company]))
+    posted = postings(df, name, keep)
+    by_word = cut(packed(vocabulary(posted), "word", target))
+    by_company = cut(packed(df.filter(F.col(company).isNotNull()).groupBy(company).agg(F.count(F.lit(1)).alias("n")), company, target))
+    for path, rows, of, key in (("words", posted, by_word, "word"), ("companies", df.select(*keep), by_company, company)):
+        rows.join(of.select(key, "bucket"), key).repartition("bucket").sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(f"{folder}/{path}")
+    number_buckets(df, numbers, keep=keep).repartition("bucket").sortWithinPartitions("bucket", "number").write.partitionBy("bucket").parquet(f"{folder}/numbers")
+    index_table(by_word, "word", "word").unionByName(index_table(by_company, company, "company")).write.parquet(f"{folder}/buckets")
+    company_names(df, company, company_name).write.parquet(f"{folder}/names")
+    by_word.select("word", "n").write.parquet(f"{folder}/vocabulary")
+
+
+def _in_buckets(spark: SparkSession, folder: str, kind: str, path: str, reach: Column) -> DataFrame:
+    """The rows of the buckets whose keys can lie in reach; other folders are not read."""
+    table = spark.read.parquet(f"{folder}/buckets").filter((F.col("kind") == kind) & reach)
+    wanted = [r["bucket"] for r in table.select("bucket").collect()]  # of a prefix or a key: few
+    return spark.read.parquet(f"{folder}/{path}").filter(F.col("bucket").isin(wanted))
+
+
+def look_up(spark: SparkSession, folder: str, query: str, key: str, company: str) -> DataFrame:
+    """Keys of the rows that a query finds: 14 digits are a company, other digits a number; else each word
+    of the query must begin a word of the name. The rarest word's buckets are read first, the others
+    only narrow them."""
+    text = query.strip()
+    if text.isascii() and text.isdigit():
+        if len(text) == 14:
+            found = _in_buckets(spark, folder, "company", "companies", (F.col("first_key") <= text) & (F.col("last_key") >= text))
+            return found.filter(F.col(company) == text).select(key).distinct()
+        found = spark.read.schema(f"{key} long, number string, bucket string").parquet(f"{folder}/numbers")
+        return found.filter((F.col("bucket") == text[-3:]) & (F.col("number") == text)).select(key).distinct()
+    wanted = spark.range(1).select(words(F.lit(text)).alias("w")).head()["w"]
+    known = spark.read.parquet(f"{folder}/vocabulary")
     if not wanted:
-        return posted.select(key).limit(0)
+        return spark.read.parquet(f"{folder}/words").select(key).limit(0)
+    often = known.agg(*(F.coalesce(F.sum(F.when(F.col("word").startswith(w), F.col("n"))), F.lit(0)).alias(f"n{k}") for k, w in enumerate(wanted))).head()
     out = None
-    for w in sorted(wanted, key=len, reverse=True):  # longer words are rarer
-        hit = posted.filter(F.col("word").startswith(w)).select(key).distinct()
-        out = hit if out is None else out.join(hit, key, "left_semi")
+    for _, w in sorted((often[f"n{k}"], w) for k, w in enumerate(wanted)):
+        reach = (F.col("first_key") <= w + chr(0x10FFFF)) & (F.col("last_key") >= w)
+        hit = _in_buckets(spark, folder, "word", "words", reach).filter(F.col("word").startswith(w)).select(key)
+        out = hit.distinct() if out is None else out.join(hit, key, "left_semi")
     return out

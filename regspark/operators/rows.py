@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import cut
+
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key; give a total order, so that the choice is the same each time."""
@@ -39,8 +41,17 @@ def stable_row_number(df: DataFrame, order: Sequence[str], name: str = "row_numb
     their partition, and shifted by the sizes of those before. Only partition sizes meet."""
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
     # the ranges are drawn by sampling; the rows are written once so that each keeps its partition
-    dealt = dealt.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else dealt.persist()
+    dealt = cut(dealt)
     own = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     sizes = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return own.join(F.broadcast(before.drop("_size")), "_p").withColumn(name, F.col("_n") + F.col("_before")).drop("_p", "_n", "_before")
+
+
+def running_sum(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """The sum of value over all rows before each, in a total order; dealt by ranges as above."""
+    dealt = cut(df.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
+    own = dealt.withColumn("_own", F.sum(value).over(Window.partitionBy("_p").orderBy(order)) - F.col(value))
+    totals = dealt.groupBy("_p").agg(F.sum(value).alias("_t"))
+    before = totals.select("_p", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return own.join(F.broadcast(before), "_p").withColumn(name, F.col("_own") + F.col("_before")).drop("_p", "_own", "_before")

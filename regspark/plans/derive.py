@@ -16,16 +16,22 @@ def label_summary(df: DataFrame, product: str, labels: str, notes: str) -> DataF
     contained leaves free_of), gluten and lactose in one word, varies, declared. All lists are null if
     nothing is declared. Labels that are not known count as contained."""
     parsed = lists.label_lists(labels, {"pode conter": "may", "não contém": "free"}, "contains")["groups"]
-    text = fold(F.coalesce(F.col(notes), F.lit("")))
+    # texts repeat from row to row: each different one of a product is read once
+    each = df.select(product, labels, notes).distinct().withColumn("_groups", parsed).withColumn("_text", fold(F.coalesce(F.col(notes), F.lit(""))))
+    text = F.col("_text")
     flags = {w: lists.tri_state(text.contains(f"{w} - sim"), text.contains(f"{w} - nao")) for w in ("gluten", "lactose")}
     filled = F.nullif(F.trim(labels), F.lit(""))
     declared = F.coalesce(F.bool_or(filled.isNotNull() | F.col(notes).isNotNull()), F.lit(False))
-    varies = (F.count_distinct(filled) > 1) | (F.count_distinct(notes) > 1)
-    base = df.groupBy(product).agg(declared.alias("declared"), varies.alias("varies"), *(v.alias(k) for k, v in flags.items()))
-    items = df.select(product, F.explode(parsed).alias("g")).select(product, "g.kind", F.explode("g.items").alias("item"))
-    sets = items.groupBy(product).agg(*(lists.sorted_set("item", F.col("kind") == k).alias(f"_{k}") for k in ("contains", "may", "free")))
-    out = base.join(sets, product, "left")
-    contains, may, free = (F.coalesce(f"_{k}", F.array().cast("array<string>")) for k in ("contains", "may", "free"))
+    differ = lambda c: F.coalesce(F.min(c) < F.max(c), F.lit(False))
+    varies = differ(filled) | differ(F.col(notes))
+
+    def of_kind(k: str) -> Column:
+        own = F.flatten(F.transform(F.filter("_groups", lambda g: g["kind"] == k), lambda g: g["items"]))
+        return F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.coalesce(own, F.array().cast("array<string>"))))))
+
+    kinds = ("contains", "may", "free")
+    out = each.groupBy(product).agg(declared.alias("declared"), varies.alias("varies"), *(v.alias(k) for k, v in flags.items()), *(of_kind(k).alias(f"_{k}") for k in kinds))
+    contains, may, free = (F.col(f"_{k}") for k in kinds)
     shown = lambda c: F.when(F.col("declared"), c)
     return out.select(
         product, "declared", shown(F.col("varies")).alias("varies"), "gluten", "lactose",
@@ -56,14 +62,18 @@ def part_count(df: DataFrame, key_name: str, name: str, active: Column) -> DataF
 def maker_links(holders: DataFrame, items: str, root: int = 8) -> DataFrame:
     """(holder, product, active and a text of makers split on |) to one row per holder and maker: the maker read from
     the right, the link by ids, distinct products. Without an id the name is the key."""
-    each = holders.select("holder", "product", "active", F.explode(F.filter(F.transform(F.split(items, r"\|"), lambda x: F.trim(x)), lambda x: x != "")).alias("item"))
+    # rows of one product repeat their text: it is taken apart once
+    once = holders.groupBy("holder", "product", items).agg(F.bool_or("active").alias("active"), F.count(F.lit(1)).alias("n"))
+    each = once.select("holder", "product", "active", "n", F.explode(F.filter(F.transform(F.split(items, r"\|"), lambda x: F.trim(x)), lambda x: x != "")).alias("item"))
     parts = lists.from_right("item")
-    each = each.select("holder", "product", "active", *(v.alias(k) for k, v in parts.items()))
+    each = each.select("holder", "product", "active", "n", *(v.alias(k) for k, v in parts.items()))
     named = F.when(F.col("code").isNull(), F.col("name"))
+    least = [F.min(c).alias(c) for c in ("name", "city", "country")]
+    by_product = each.groupBy("holder", "code", named.alias("by_name"), "product").agg(*least, F.bool_or("active").alias("active"), F.sum("n").alias("n"))
     link = F.when(F.col("code") == F.col("holder"), "own").when(F.substring("code", 1, root) == F.substring("holder", 1, root), "group").when(F.col("code").isNotNull(), "other").otherwise("unknown")
-    out = each.groupBy("holder", "code", named.alias("by_name")).agg(
-        F.min("name").alias("maker"), F.min("city").alias("city"), F.min("country").alias("country"), F.count_distinct("product").cast("int").alias("products"),
-        F.count_distinct(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.count(F.lit(1)).cast("int").alias("rows"),
+    out = by_product.groupBy("holder", "code", "by_name").agg(
+        F.min("name").alias("maker"), F.min("city").alias("city"), F.min("country").alias("country"), F.count("product").cast("int").alias("products"),
+        F.count(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.sum("n").cast("int").alias("rows"),
     )
     return out.withColumn("link", link).drop("by_name")
 
@@ -71,13 +81,16 @@ def maker_links(holders: DataFrame, items: str, root: int = 8) -> DataFrame:
 def maker_keys(df: DataFrame, home: str) -> DataFrame:
     """(holder, holder_name, product, maker, country, active) to one row per holder, maker key and country, with the
     commonest spelling; a maker without country is left out."""
-    keyed = df.filter(F.col("maker").isNotNull()).withColumn("key", key("maker"))
-    spelling = lists.commonest(keyed.filter("country is not null"), ["key", "country"], "maker", "spelling")
-    rows = keyed.join(spelling, ["key", "country"])
-    own = F.min(key("holder_name"))
+    known = df.filter(F.col("maker").isNotNull() & F.col("country").isNotNull())
+    once = known.groupBy("holder", "holder_name", "product", "maker", "country").agg(F.bool_or("active").alias("active"), F.count(F.lit(1)).alias("n"))
+    keyed = once.withColumn("key", key("maker"))
+    spelled = keyed.groupBy("key", "country", "maker").agg(F.sum("n").alias("n"))
+    spelling = spelled.groupBy("key", "country").agg(F.min_by("maker", F.struct(-F.col("n"), "maker")).alias("spelling"))
+    by_product = keyed.groupBy("holder", "key", "country", "product").agg(F.bool_or("active").alias("active"), F.min(key("holder_name")).alias("own_key"))
     link = F.when(F.col("country") != home, "abroad").when(F.col("key") == F.col("_own"), "own").otherwise("other")
-    out = rows.groupBy("holder", "key", "country").agg(F.min("spelling").alias("maker"), F.count_distinct("product").cast("int").alias("products"), F.count_distinct(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), own.alias("_own"))
-    return out.withColumn("link", link).drop("_own")
+    out = by_product.groupBy("holder", "key", "country").agg(F.count("product").cast("int").alias("products"), F.count(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.min("own_key").alias("_own"))
+    out = out.join(spelling.withColumnRenamed("spelling", "maker"), ["key", "country"])
+    return out.withColumn("link", link).select("holder", "key", "country", "maker", "products", "active_products", "link")
 
 
 def measures(df: DataFrame, group: Sequence[str], target: str, name: str) -> DataFrame:

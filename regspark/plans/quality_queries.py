@@ -11,7 +11,7 @@ from ..sources import manifest
 from .registry import query
 from .table_queries import read
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _raw_orders(spark: SparkSession, sf: str) -> DataFrame:

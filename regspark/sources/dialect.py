@@ -19,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import CP1252
+
+WINDOWS = {0x80 + k: c for k, c in enumerate(CP1252)}
 SCHEMA = "path string, record long, fields array<string>"
 
 
@@ -84,6 +87,13 @@ def records(text: str, width: int, separator: str = ";") -> Iterator[list[str]]:
         at = max(end.end(), at + 1)
 
 
+def decoded(content: bytes, encoding: str) -> str:
+    """The text of a file without a mark at its start. All bytes of Windows-1252 have a character: the
+    five that are undefined there pass through."""
+    text = content.decode("latin-1").translate(WINDOWS) if encoding == "cp1252" else content.decode(encoding)
+    return text.removeprefix("\ufeff")
+
+
 def read_quoted(spark: SparkSession, path: str, width: int, separator: str = ";", encoding: str = "utf-8") -> DataFrame:
     """path, record (from 1; the header is 1), fields."""
 
@@ -92,7 +102,7 @@ def read_quoted(spark: SparkSession, path: str, width: int, separator: str = ";"
             for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
                 rows: list[list[str]] = []
                 n = 0
-                for r in records(content.decode(encoding).removeprefix("﻿"), width, separator):
+                for r in records(decoded(content, encoding), width, separator):
                     rows.append(r)
                     if len(rows) == 5000:
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(range(n + 1, n + 1 + len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], ["path", "record", "fields"])

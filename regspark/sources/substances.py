@@ -11,8 +11,9 @@ from ..functions.text import squeeze
 from ..operators.rows import merge_continuations
 from .spec import SchemaDrift
 
-#: Hyphens that look like the ASCII one.
-HYPHENS = "‐‑‒–—−"
+#: Hyphens that look like the ASCII one; how a reference is written, white space squeezed.
+HYPHENS = "‐‑‒–—―"
+REFERENCE = r"(?i)\A\[? ?Ref\.? ?([0-9]+) ?\.? ?\]?\z"
 
 
 def cell(k: int) -> Column:
@@ -22,17 +23,19 @@ def cell(k: int) -> Column:
 def whole_number(c: Column) -> Column:
     """Decimal text without a fraction as an integer, else null."""
     d = c.try_cast("decimal(20,6)")
-    return F.when(d == F.floor(d), d.cast("int"))
+    return F.when(d == F.floor(d), d.try_cast("int"))
 
 
 def registry_number(c: Column, is_date: Column) -> tuple[Column, Column]:
-    """(number, reference): a cell that became a date is written back as year-month-day, look-alike
-    hyphens are hyphens, '[Ref. 5]' is a reference and no number."""
-    reference = F.regexp_extract(c, r"\[\s*Ref\.?\s*([0-9]+)\s*\]", 1)
+    """(number, reference): a cell that became a date is written back as the number it was, year, month in
+    two digits and day as it is; look-alike hyphens are hyphens; 'Ref. 5', with or without brackets, is a
+    reference and no number."""
+    text = F.nullif(squeeze(c), F.lit(""))
+    reference = F.nullif(F.regexp_extract(text, REFERENCE, 1), F.lit(""))
     day = F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))
-    dated = F.concat_ws("-", F.date_format(day, "yyyy"), F.date_format(day, "M"), F.date_format(day, "dd"))
-    plain = F.translate(F.nullif(F.trim(F.regexp_replace(c, r"\[\s*Ref\.?\s*[0-9]+\s*\]", "")), F.lit("")), HYPHENS, "-" * len(HYPHENS))
-    return F.when(is_date & day.isNotNull(), dated).otherwise(plain), F.nullif(reference, F.lit("")).cast("int")
+    dated = F.concat(F.year(day).cast("string"), F.date_format(day, "-MM-"), F.dayofmonth(day).cast("string"))
+    plain = F.when(reference.isNull(), F.translate(text, HYPHENS, "-" * len(HYPHENS)))
+    return F.when(is_date & day.isNotNull(), dated).otherwise(plain), F.when(~is_date, reference.try_cast("int"))
 
 
 def after_header(grid: DataFrame, sheet: str, width: int, least: int = 3) -> DataFrame:

@@ -37,6 +37,7 @@ def test_cell_grid(spark):
     assert sorted(tuple(r) for r in got) == [(1, "One x", "n1 | n2"), (2, "Two", "")]
     with pytest.raises(SchemaDrift):
         substances.after_header(df, "sheet", 2)
-    one = spark.createDataFrame([("2001-12-05", True), ("50–00–0", False), ("[Ref. 7]", False), (None, False)], "c string, d boolean")
+    cells = [("7758-11-04", True), ("1972-08-03", True), ("50–00–0", False), ("[Ref. 7]", False), (" Ref.  11", False), ("see Ref. 2", False), (None, False)]
+    one = spark.createDataFrame(cells, "c string, d boolean")
     number, reference = substances.registry_number(F.col("c"), F.col("d"))
-    assert [tuple(r) for r in one.select(number, reference).collect()] == [("2001-12-05", None), ("50-00-0", None), (None, 7), (None, None)]
+    assert [tuple(r) for r in one.select(number, reference).collect()] == [("7758-11-4", None), ("1972-08-3", None), ("50-00-0", None), (None, 7), (None, 11), ("see Ref. 2", None), (None, None)]

@@ -1,15 +1,18 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from regspark.functions import text as tx
 from regspark.functions import typing as ty
 from regspark.operators import index, lists, merges, quality, refresh, rows
 from regspark.plans import derive
 
 
 def test_money_dates_and_flags(spark):
-    df = spark.createDataFrame([("1.234,56*", "S", "SIM"), ("0,10", "0", "nao"), ("x", "?", None)], "m string, f string, y string")
+    df = spark.createDataFrame([("1.234,56*", "S", "SIM"), ("0,109", "0", "nao"), ("x", "?", None), ("30.000.000,00", "?", None)], "m string, f string, y string")
     got = df.select(ty.cents("m"), ty.marked(["m"]), ty.flag("f"), ty.yes_no("y")).collect()
-    assert [tuple(r) for r in got] == [(123456, True, True, "S"), (10, False, False, "N"), (None, False, None, None)]
+    assert [tuple(r) for r in got] == [(123456, True, True, "S"), (10, False, False, "N"), (None, False, None, None), (None, False, None, None)]
     d = spark.createDataFrame([("122029",), ("2029",), ("1/2/2020",)], "d string").select(ty.when_any("d", ["d/M/yyyy", "MMyyyy"]).cast("date").cast("string"))
     assert [r[0] for r in d.collect()] == ["2029-12-01", None, "2020-02-01"]
 
@@ -37,6 +40,16 @@ def test_merge_keeps_both_sides(spark):
     got = sorted(tuple(r) for r in merges.merge_by_precedence(left, right, "k", ["s"], ["x"], ["y"]).collect())
     assert got == [("a", "r", 1, 8, "both"), ("b", "l", 2, None, "left"), ("c", "q", None, 9, "right")]
     assert tuple(merges.coverage(merges.merge_by_precedence(left, right, "k", ["s"])).head()) == (1, 1, 1)
+    for a, b in ((left.union(left), right), (left, right.union(right))):
+        with pytest.raises(Exception, match="k comes twice"):
+            merges.merge_by_precedence(a, b, "k", ["s"], ["x"], ["y"]).collect()
+
+
+def test_list_to_dictionary(spark):
+    names = spark.createDataFrame([("Áb", 5), ("ab", 3), ("c d", 9), (" ", 1)], "name string, number int")
+    df = spark.createDataFrame([(1, " AB ;x;; C-D "), (2, " ; "), (3, None), (4, "cd")], "k int, t string")
+    got = {r["k"]: tuple(r)[1:] for r in merges.match_list(df, ["k"], F.split("t", ";"), names, tx.key).collect()}
+    assert got == {1: (["AB", "x", "C-D"], [3, None, 9], ["ab", None, "c d"], False), 2: ([], [], [], False), 3: ([], [], [], False), 4: (["cd"], [9], ["c d"], True)}
 
 
 def test_search_needs_a_filter(spark):
@@ -75,12 +88,50 @@ def test_guards(spark):
 def test_refresh_keeps_going_after_a_failure():
     done = []
     out = refresh.build_each({"a": lambda: 1, "b": lambda: 1 / 0, "c": lambda: 2}, lambda n, df: done.append(n))
-    assert done == ["a", "c"] and out["a"] == "" and "ZeroDivisionError" in out["b"]
+    assert done == ["a", "c"] and out["a"] == "" and out["b"].startswith("missing: ZeroDivisionError")
+    assert refresh.build_each({"b": lambda: 1 / 0}, lambda n, df: None, lambda n: True)["b"].startswith("kept: ")
+
+
+def test_refresh_decisions_and_texts(spark):
+    prints = lambda rows: spark.createDataFrame(rows, "name string, print int")
+    derived = spark.createDataFrame([("d", "a"), ("e", "b"), ("f", "gone")], "name string, source string")
+    decide = lambda now, before, **k: dict(tuple(r) for r in refresh.decide(prints(now), prints(before), derived, **k).collect())
+    assert decide([("a", 1), ("b", 2)], [("a", 1), ("b", 3)]) == {"a": "carry", "b": "build", "d": "build", "e": "build", "f": "skip"}
+    assert decide([("a", 1), ("b", 2)], [("a", 1), ("b", 2)]) == {"a": "carry", "b": "carry", "d": "carry", "e": "carry", "f": "skip"}
+    assert decide([("a", 1)], [("a", 1)], same_code=False)["d"] == "build"
+    assert refresh.failures(spark, {"a": "", "b": "kept: x"}).collect()[0]["name"] == "b"
+    old = spark.createDataFrame([("t", [("x", "int", "old"), ("y", "int", "own")])], "name string, columns array<struct<name:string,type:string,description:string>>")
+    new = refresh.refresh_texts(old, spark.createDataFrame([("t", "x", "new"), ("u", "y", "z")], "name string, column string, description string")).head()
+    assert [tuple(c) for c in new["columns"]] == [("x", "int", "new"), ("y", "int", "own")]
+
+
+def test_http_dates(spark):
+    day, moment = ty.http_date("s")
+    got = spark.createDataFrame([("Fri, 09 Oct 2026 01:30:00 GMT",), ("tomorrow",), (None,)], "s string").select(day, moment).collect()
+    assert [tuple(r) for r in got] == [("20261008", "08/10/2026 22:30:00"), (None, None), (None, None)]
 
 
 def test_packing_and_lookup(spark):
-    df = spark.createDataFrame([("a", 2), ("b", 2), ("c", 9), ("d", 1), ("e", 1)], "w string, n long")
-    assert [r["bucket"] for r in index.packed(df, "w", 4).orderBy("w").collect()] == [0, 0, 1, 2, 2]
-    posted = index.postings(spark.createDataFrame([(1, "Loção Facial"), (2, "Loja"), (3, None)], "id int, name string"), "name", ["id"])
-    assert [r["id"] for r in index.look_up(posted, "loc fac", "id").collect()] == [1]
-    assert index.look_up(posted, "de", "id").count() == 0
+    rng = random.Random(3)
+    for sizes, target in (([2, 2, 9, 1, 1], 4), ([rng.choice((1, 1, 2, 3, 11)) for _ in range(90)], 7), ([20, 20], 3), ([], 3)):
+        rows, want, room, bucket = [(f"w{k:03}", n) for k, n in enumerate(sizes)], [], 0, -1
+        for n in sizes:
+            if bucket < 0 or n > room:
+                bucket, room = bucket + 1, max(0, target - n)
+            else:
+                room -= n
+            want.append(bucket)
+        got = index.packed(spark.createDataFrame(rows, "w string, n long"), "w", target).orderBy("w").collect()
+        assert [r["bucket"] for r in got] == want
+
+
+def test_index_files_and_lookup(spark, tmp_path):
+    rows = [(1, "Loção Facial", "00000000000001", "A", "555123"), (2, "Loja", "00000000000002", "B", "777"), (3, None, None, None, "x1"), (4, "Fácil loc", "00000000000001", "A", None)]
+    df = spark.createDataFrame(rows, "id long, name string, company string, company_name string, number string")
+    folder = str(tmp_path / "index")
+    index.write_index(df, folder, "name", "company", "company_name", ["number"], ["id"], target=2)
+    find = lambda q: sorted(r["id"] for r in index.look_up(spark, folder, q, "id", "company").collect())
+    assert find("loc fac") == [1, 4] and find("lo") == [1, 2, 4] and find("de") == [] and find("locx") == []
+    assert find("00000000000001") == [1, 4] and find("777") == [2] and find("123") == [] and find("555123") == [1]
+    with pytest.raises(ValueError, match="nothing"):
+        index.write_index(df, folder, "name", "company", "company_name", ["nothing"], ["id"])
