@@ -33,21 +33,22 @@ e AS (SELECT x, y FROM p JOIN c c1 ON c1.doc_id = x JOIN c c2 ON c2.doc_id = y W
 t(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT t.x, e.y FROM t JOIN e ON e.x = t.y)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(y) AS component_id FROM d LEFT JOIN c USING (doc_id) JOIN t ON t.x = d.doc_id GROUP BY d.doc_id, n""",
     "op10_decontamination": rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 bi AS (SELECT q, item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
 bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM bi),
 ns AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
-h AS (SELECT dw.r, dw.i, dw.n, item_id FROM dw JOIN bw USING (n, win)),
+h AS MATERIALIZED (SELECT dw.r, dw.i, dw.n, item_id FROM dw JOIN bw USING (n, win)),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
 it AS (SELECT r, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS s FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS v FROM h) GROUP BY r),
-dp AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+dp AS MATERIALIZED (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
 cnt AS (SELECT word, count(*) AS c FROM dp GROUP BY 1),
 bp AS (SELECT q, item_id, i, n, j, w[j] AS word FROM (SELECT *, unnest(range(i, i + n)) AS j FROM bi)),
 rk AS (SELECT bp.*, coalesce(c, 0) AS c, row_number() OVER (PARTITION BY q, i ORDER BY coalesce(c, 0), j) AS rn FROM bp LEFT JOIN cnt USING (word)),
-pr AS (SELECT DISTINCT x.item_id, x.word AS one, y.word AS two, y.j - x.j AS apart FROM rk x JOIN rk y ON x.q = y.q AND x.i = y.i AND x.rn = 1 AND y.rn = least(2, x.n) WHERE x.c > 0),
-nr AS (SELECT x.r, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_near FROM pr JOIN dp x ON x.word = one JOIN dp y ON y.word = two AND x.r = y.r AND abs(y.p - x.p - apart) <= 3 AND (y.p <> x.p OR apart = 0) GROUP BY 1)
+pr AS MATERIALIZED (SELECT DISTINCT x.item_id, x.word AS one, y.word AS two, y.j - x.j AS apart FROM rk x JOIN rk y ON x.q = y.q AND x.i = y.i AND x.rn = 1 AND y.rn = least(2, x.n) WHERE x.c > 0),
+n1 AS MATERIALIZED (SELECT x.r, x.p, pr.* FROM pr JOIN dp x ON x.word = one),
+nr AS MATERIALIZED (SELECT n1.r, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_near FROM n1 JOIN dp y ON y.r = n1.r AND y.word = two WHERE abs(y.p - n1.p - apart) <= 3 AND (y.p <> n1.p OR apart = 0) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r) LEFT JOIN nr USING (r)""",
 }
