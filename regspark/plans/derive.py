@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,3 +110,37 @@ def area_of(subject: str | Column) -> Column:
     for text, name in reversed((("HOUSEHOLD", "home"), ("MACHINE", "industry"), ("AUTO", "vehicles"), ("FURNI", "home"))):
         out = F.when(s.contains(text), name).otherwise(out)
     return F.when(s.isNotNull(), out).otherwise("other")
+
+
+def companies(areas: dict[str, DataFrame], measured: DataFrame, links: DataFrame) -> DataFrame:
+    """One row per company that holds a product in an area (company, name, active: one row a product), was the
+    target of a measure (company, dossier, day, name), or packs for another (holder, maker, maker_name, link).
+    Counts are zero where there is none; the name is the commonest in the areas, or else that of a
+    measure, or else that of the packer's text."""
+    named = reduce(DataFrame.unionByName, (a.select("company", "name") for a in areas.values()))
+    names = lists.commonest(named.filter("company is not null"), ["company"], "name")
+    parts = [part_count(a.filter("company is not null"), "company", n, F.col("active")) for n, a in areas.items()]
+    target = F.col("company").rlike(r"\A[0-9]{14}\z") & (F.col("company") != "0" * 14)
+    own = measured.filter(target).groupBy("company", "dossier").agg(F.max("day").alias("day"), F.min(F.nullif(F.trim("name"), F.lit(""))).alias("name"))
+    measure = own.groupBy("company").agg(F.count("dossier").alias("measures"), F.max("day").cast("date").alias("last_measure"), F.min("name").alias("measure_name"))
+    pairs = links.filter(F.col("link").isin("group", "other")).groupBy("holder", "maker").agg(F.min("maker_name").alias("maker_name"))
+    packs = pairs.groupBy(F.col("maker").alias("company")).agg(F.count(F.lit(1)).alias("packs_for"), F.min("maker_name").alias("packer_name"))
+    packed = pairs.groupBy(F.col("holder").alias("company")).agg(F.count(F.lit(1)).alias("packed_by"))
+    keys = reduce(DataFrame.unionByName, (x.select("company") for x in (*parts, measure, packs))).distinct()
+    counts = [c for n in areas for c in (n, f"{n}_active")] + ["measures", "packs_for", "packed_by"]
+    out = merges.star(keys, "company", [*parts, measure, names, packs, packed], counts)
+    total, active = (reduce(lambda a, b: a + b, (F.col(f"{n}{end}") for n in areas)) for end in ("", "_active"))
+    shown = [F.col(c).cast("int").alias(c) for c in counts]
+    return out.select("company", F.coalesce("name", "measure_name", "packer_name").alias("name"), *shown, total.cast("int").alias("products"), active.cast("int").alias("active"), "last_measure")
+
+
+def certificates(rows: DataFrame, decided: Sequence[str], root: int = 8) -> DataFrame:
+    """One row per id of (id, company, site_company, site_code, subject, state, cancelled, validity, line, data_of): copies
+    and lines of one id become one, lines a sorted list. In force: decided, not cancelled and valid on the
+    file's own date. The link tells whose the inspected site is."""
+    same = ("company", "site_company", "site_code", "subject", "state", "validity", "data_of")
+    one = rows.groupBy("id").agg(*(F.min(c).alias(c) for c in same), F.coalesce(F.bool_or("cancelled"), F.lit(False)).alias("cancelled"), lists.sorted_set("line").alias("lines"))
+    site, holder = F.col("site_company"), F.col("company")
+    link = F.when(site == holder, "own").when(F.substring(site, 1, root) == F.substring(holder, 1, root), "group").when(site.isNotNull(), "other").when(F.col("site_code").isNotNull(), "abroad").otherwise("unknown")
+    force = F.col("state").isin(*decided) & ~F.col("cancelled") & F.coalesce(F.col("validity") >= F.col("data_of"), F.lit(False))
+    return one.withColumns({"area": area_of("subject"), "in_force": F.coalesce(force, F.lit(False)), "link": link})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import key
+from ..functions.typing import surrogate_id
 from ..operators import lists
 from ..sources.spec import Catalogue, Derived
 from . import derive
@@ -128,6 +129,67 @@ def in_force_certificates(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b).withColumn("data_of", stamp)
 
 
+@query("company_table", """
+WITH al AS (SELECT lpad(CAST(o_custkey % 300 AS VARCHAR), 14, '0') AS company, 'C' || (o_custkey % 7) AS name, o_orderstatus = 'O' AS active FROM orders),
+pa AS (SELECT lpad(CAST(p_partkey % 250 + 100 AS VARCHAR), 14, '0') AS company, p_brand AS name, p_size > 25 AS active FROM part),
+m AS (SELECT lpad(CAST(user_id % 400 AS VARCHAR), 14, '0') AS company, event_id % 50 AS dossier, ts AS day, event_type AS name FROM events),
+l AS (SELECT lpad(CAST(s_suppkey % 90 AS VARCHAR), 14, '0') AS holder, lpad(CAST(s_nationkey + 380 AS VARCHAR), 14, '0') AS maker, s_name AS maker_name, ['own', 'group', 'other'][1 + s_suppkey % 3] AS link FROM supplier),
+ca AS (SELECT company, count(*) AS n, count(*) FILTER (WHERE active) AS a FROM al GROUP BY 1), cp AS (SELECT company, count(*) AS n, count(*) FILTER (WHERE active) AS a FROM pa GROUP BY 1),
+me AS (SELECT company, count(DISTINCT dossier) AS n, CAST(max(day) AS DATE) AS d, min(name) AS name FROM m WHERE company <> repeat('0', 14) GROUP BY 1),
+env AS (SELECT holder, maker, min(maker_name) AS name FROM l WHERE link <> 'own' GROUP BY 1, 2),
+ev AS (SELECT holder AS company, count(*) AS n FROM env GROUP BY 1), ep AS (SELECT maker AS company, count(*) AS n, min(name) AS name FROM env GROUP BY 1),
+nm AS (SELECT company, name FROM (SELECT company, name, row_number() OVER (PARTITION BY company ORDER BY count(*) DESC, name) AS rn FROM (SELECT company, name FROM al UNION ALL SELECT company, name FROM pa) GROUP BY 1, 2) WHERE rn = 1),
+k AS (SELECT company FROM ca UNION SELECT company FROM cp UNION SELECT company FROM me UNION SELECT company FROM ep)
+SELECT company, coalesce(nm.name, me.name, ep.name) AS name, CAST(coalesce(ca.n, 0) AS INTEGER) AS orders, CAST(coalesce(ca.a, 0) AS INTEGER) AS orders_active, CAST(coalesce(cp.n, 0) AS INTEGER) AS parts, CAST(coalesce(cp.a, 0) AS INTEGER) AS parts_active,
+  CAST(coalesce(me.n, 0) AS INTEGER) AS measures, CAST(coalesce(ep.n, 0) AS INTEGER) AS packs_for, CAST(coalesce(ev.n, 0) AS INTEGER) AS packed_by, CAST(coalesce(ca.n, 0) + coalesce(cp.n, 0) AS INTEGER) AS products,
+  CAST(coalesce(ca.a, 0) + coalesce(cp.a, 0) AS INTEGER) AS active, me.d AS last_measure
+FROM k LEFT JOIN ca USING (company) LEFT JOIN cp USING (company) LEFT JOIN me USING (company) LEFT JOIN nm USING (company) LEFT JOIN ev USING (company) LEFT JOIN ep USING (company)""")
+def company_table(spark: SparkSession, sf: str) -> DataFrame:
+    id14 = lambda c: F.lpad(c.cast("string"), 14, "0")
+    o = read(spark, sf, "orders").select(id14(F.col("o_custkey") % 300).alias("company"), F.concat(F.lit("C"), (F.col("o_custkey") % 7).cast("string")).alias("name"), (F.col("o_orderstatus") == "O").alias("active"))
+    p = read(spark, sf, "part").select(id14(F.col("p_partkey") % 250 + 100).alias("company"), F.col("p_brand").alias("name"), (F.col("p_size") > 25).alias("active"))
+    m = read(spark, sf, "events").select(id14(F.col("user_id") % 400).alias("company"), (F.col("event_id") % 50).alias("dossier"), F.col("ts").alias("day"), F.col("event_type").alias("name"))
+    third = F.col("s_suppkey") % 3
+    s = read(spark, sf, "supplier").select(id14(F.col("s_suppkey") % 90).alias("holder"), id14(F.col("s_nationkey") + 380).alias("maker"), F.col("s_name").alias("maker_name"), F.when(third == 0, "own").when(third == 1, "group").otherwise("other").alias("link"))
+    return derive.companies({"orders": o, "parts": p}, m, s)
+
+
+@query("certificate_table", """
+WITH r AS (SELECT o_orderkey AS id, lpad(CAST(o_custkey % 50 AS VARCHAR), 8, '0') || '000101' AS company, o_orderkey % 5 AS k, o_custkey, c_mktsegment AS subject,
+  CASE o_orderstatus WHEN 'O' THEN 'Publicado deferimento' WHEN 'F' THEN 'Certificado emitido' ELSE 'Publicado indeferimento' END AS state, o_orderpriority = '1-URGENT' AS cancelled,
+  CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS DATE) END AS validity, l_returnflag AS line FROM orders JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey),
+o AS (SELECT id, min(company) AS company, min(CASE k WHEN 0 THEN company WHEN 1 THEN company[1:8] || '000202' WHEN 2 THEN '99999999000303' END) AS site_company, min(CASE WHEN k = 3 THEN 'A000001' END) AS site_code, min(subject) AS subject, min(state) AS state,
+  min(validity) AS validity, DATE '1996-06-01' AS data_of, bool_or(cancelled) AS cancelled, list_sort(list(DISTINCT line)) AS lines FROM r GROUP BY id)
+SELECT *, CASE WHEN contains(subject, 'HOUSEHOLD') THEN 'home' WHEN contains(subject, 'MACHINE') THEN 'industry' WHEN contains(subject, 'AUTO') THEN 'vehicles' WHEN contains(subject, 'FURNI') THEN 'home' ELSE 'other' END AS area,
+  state <> 'Publicado indeferimento' AND NOT cancelled AND coalesce(validity >= data_of, false) AS in_force,
+  CASE WHEN site_company = company THEN 'own' WHEN site_company[1:8] = company[1:8] THEN 'group' WHEN site_company IS NOT NULL THEN 'other' WHEN site_code IS NOT NULL THEN 'abroad' ELSE 'unknown' END AS link FROM o""")
+def certificate_table(spark: SparkSession, sf: str) -> DataFrame:
+    c = read(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    lines = read(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("line")).distinct()
+    o = read(spark, sf, "orders").join(c, F.col("c_custkey") == F.col("o_custkey")).join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+    k, company = F.col("o_orderkey") % 5, F.concat(F.lpad((F.col("o_custkey") % 50).cast("string"), 8, "0"), F.lit("000101"))
+    rows = o.select(
+        F.col("o_orderkey").alias("id"), company.alias("company"), F.when(k == 0, company).when(k == 1, F.concat(F.substring(company, 1, 8), F.lit("000202"))).when(k == 2, "99999999000303").alias("site_company"),
+        F.when(k == 3, "A000001").alias("site_code"), F.col("c_mktsegment").alias("subject"), F.when(F.col("o_orderstatus") == "O", "Publicado deferimento").when(F.col("o_orderstatus") == "F", "Certificado emitido").otherwise("Publicado indeferimento").alias("state"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("cancelled"), F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderdate").cast("date")).alias("validity"), "line", F.lit("1996-06-01").cast("date").alias("data_of"),
+    )
+    return derive.certificates(rows, ("Publicado deferimento", "Revalidação automática", "Renovação automática", "Certificado emitido"))
+
+
+@query("products_with_codes", """
+WITH m AS (SELECT CASE WHEN p_partkey % 9 > 0 THEN lpad(CAST(p_partkey % 400 AS VARCHAR), 9, '0') END AS reg, p_brand AS company, p_name AS name, p_size, p_retailprice FROM part),
+u AS (SELECT coalesce(reg, 'sem-registro-' || substr(md5(company || '|' || name || '|' || ''), 1, 12)) AS id, min(reg) AS reg, min(name) AS name, min(company) AS company, bool_or(p_size > 25) AS active, CAST(count(*) AS INTEGER) AS rows FROM m GROUP BY 1),
+e AS (SELECT lpad(CAST(s_suppkey % 400 AS VARCHAR), 9, '0') AS reg, list_sort(list(DISTINCT '789' || s_suppkey)) AS codes FROM supplier GROUP BY 1)
+SELECT id, u.reg, name, company, active, rows, coalesce(codes, []) AS codes FROM u LEFT JOIN e ON e.reg = u.reg""")
+def products_with_codes(spark: SparkSession, sf: str) -> DataFrame:
+    p = read(spark, sf, "part").withColumn("reg", F.when(F.col("p_partkey") % 9 > 0, F.lpad((F.col("p_partkey") % 400).cast("string"), 9, "0")))
+    p = p.withColumn("id", surrogate_id(F.col("reg"), "sem-registro-", F.col("p_brand"), F.col("p_name"), F.lit("")))
+    one = p.groupBy("id").agg(F.min("reg").alias("reg"), F.min("p_name").alias("name"), F.min("p_brand").alias("company"), F.bool_or(F.col("p_size") > 25).alias("active"), F.count(F.lit(1)).cast("int").alias("rows"))
+    s = read(spark, sf, "supplier").select(F.lpad((F.col("s_suppkey") % 400).cast("string"), 9, "0").alias("reg"), F.concat(F.lit("789"), F.col("s_suppkey").cast("string")).alias("code"))
+    codes = s.groupBy("reg").agg(lists.sorted_set("code").alias("codes"))
+    return one.join(codes, "reg", "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>"))).select("id", "reg", "name", "company", "active", "rows", "codes")
+
+
 @query("area_labels", "SELECT c_mktsegment AS subject, CASE WHEN contains(c_mktsegment, 'HOUSEHOLD') THEN 'home' WHEN contains(c_mktsegment, 'MACHINE') THEN 'industry' WHEN contains(c_mktsegment, 'AUTO') THEN 'vehicles' WHEN contains(c_mktsegment, 'FURNI') THEN 'home' ELSE 'other' END AS area, count(*) AS n FROM customer GROUP BY 1")
 def area_labels(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("subject")).agg(F.count(F.lit(1)).alias("n")).withColumn("area", derive.area_of("subject"))
