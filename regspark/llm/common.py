@@ -75,16 +75,21 @@ def prose(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
+def share_by_hash(df: DataFrame, rows: int, about: int, *key: str) -> DataFrame:
+    """About ``about`` of the ``rows`` rows of df, by a threshold on the 64-bit hash of the key columns; all rows
+    if df is not larger, or has so few different keys that none is below it."""
+    share = about / max(rows, 1)
+    if share >= 1:
+        return df
+    some = df.filter(F.xxhash64(*key) < F.lit(int(share * 2**64) - 2**63))
+    return df if some.isEmpty() else some
+
+
 def bounded_sample(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
     """At most ``most`` of the ``rows`` rows of df: those with the smallest hashes of the key columns. A
-    threshold on the whole 64 bits lets some more than ``most`` of all rows into the sort, at any size."""
-    h = F.xxhash64(*key)
-    share = 1.2 * (most + 50) / max(rows, 1)
-    if share < 1:
-        some = df.filter(h < F.lit(int(share * 2**64) - 2**63)).orderBy(h, *key).limit(most)
-        if not some.isEmpty():
-            return some
-    return df.orderBy(h, *key).limit(most)  # a small table, or few different keys
+    threshold lets only some more than ``most`` rows into the sort, at any size."""
+    some = share_by_hash(df, rows, int(1.2 * (most + 50)), *key)
+    return some.orderBy(F.xxhash64(*key), *key).limit(most)
 
 
 def private(name: str) -> str:

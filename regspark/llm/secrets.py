@@ -3,7 +3,7 @@
 Two first-order character models are compared. The one of random strings learns from the labelled
 positives (what the fixed patterns matched, each different string once, over all documents), the
 one of ordinary identifiers from the labelled negatives (identifiers outside any match, each once,
-in a bounded sample of documents, those ``sample_docs`` with the smallest hashes). A run of at least ``least_length`` identifier
+in a sample of about ``sample_docs`` documents, by a hash). A run of at least ``least_length`` identifier
 characters outside the base spans whose log-likelihood ratio per character is over ``threshold``
 is added as kind ``markov``. The models are 2 x 66 x 66 counts, whatever the input's size.
 
@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, private, prose
+from .common import private, prose, share_by_hash
 
 #: The base patterns, in the order that breaks ties, and the least length of what counts.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -118,7 +118,7 @@ def train(docs: DataFrame, sample_docs: int = 4000) -> list[float]:
         F.transform(found["hex"], lambda m: m["hit"]),
     )
     positives = texts.select(F.explode(values).alias("s"))
-    sample = bounded_sample(texts, texts.count(), sample_docs, "doc_id", "text")
+    sample = share_by_hash(texts, texts.count(), sample_docs, "doc_id", "text")
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), f"[0-9a-f]{{{LEAST['hex']},}}", " ")
     negatives = sample.select(F.explode(F.regexp_extract_all(rest, F.lit(f"{IDENTIFIER}{{6,}}"), F.lit(0))).alias("s"))
     # a pair seen in one identifier alone may come from a random string that no pattern marks

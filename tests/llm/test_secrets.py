@@ -65,9 +65,9 @@ def test_markov_spans_by_brute_force(spark):
     """Models, ratios and overlaps by plain Python."""
     rng = random.Random(8)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    names = ["get_user_name", "maximum", "of_all", "information", "understanding_of_nations", "international_relations_office", "AKIAHOUSE", "token"]
+    names = [f"{a}{b}{c}{d}" for a in ("under", "inter", "over", "out", "get_") for b in ("stand", "nation", "look", "line", "mark") for c in ("ing", "al", "ed", "er_name", "_count") for d in ("", "s", "_of_texts", "_in_relations")] + ["AKIAHOUSE", "token"]
     make = lambda n: "".join(rng.choices(letters, k=n))
-    texts = [" ".join(rng.choice([*names * 8, make(26), f"token: {make(20)}", "0123456789abcdef" * 2 + make(9), f"{make(21)}/AKIA{'AB12' * 4}", f"é{make(30)}"]) for _ in range(12)) for _ in range(150)]
+    texts = [" ".join(rng.choice([*names, *[make(26)] * 20, f"token: {make(20)}", "0123456789abcdef" * 2 + make(9), f"{make(21)}/AKIA{'AB12' * 4}", f"é{make(30)}"]) for _ in range(12)) for _ in range(150)]
     positives, negatives = set(), set()
     for t in texts:
         spans = brute(t)
@@ -88,7 +88,7 @@ def test_markov_spans_by_brute_force(spark):
         runs = [(m.start(), 3, m.end(), "markov") for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t) if rate(m[0]) > 0.7 and not any(a < m.end() and m.start() < b for a, _, b, _ in base)]
         assert r["spans"] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + runs))
         seen += len(runs)
-    assert seen > 100
+    assert seen > 20
 
 
 def test_thousands_of_spans(spark):
