@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fold, key
+from ..functions.text import digits, fold, key
 from ..operators import lists, merges
 
 
@@ -62,7 +62,8 @@ def part_count(df: DataFrame, key_name: str, name: str, active: Column) -> DataF
 
 def maker_links(holders: DataFrame, items: str, root: int = 8) -> DataFrame:
     """(holder, product, active and a text of makers split on |) to one row per holder and maker: the maker read from
-    the right, the link by ids, distinct products. Without an id the name is the key."""
+    the right, the link by ids (a letter and six digits are abroad), distinct products. Without an id the
+    name is the key."""
     # rows of one product repeat their text: it is taken apart once
     once = holders.groupBy("holder", "product", items).agg(F.bool_or("active").alias("active"), F.count(F.lit(1)).alias("n"))
     each = once.select("holder", "product", "active", "n", F.explode(F.filter(F.transform(F.split(items, r"\|"), lambda x: F.trim(x)), lambda x: x != "")).alias("item"))
@@ -71,7 +72,7 @@ def maker_links(holders: DataFrame, items: str, root: int = 8) -> DataFrame:
     named = F.when(F.col("code").isNull(), F.col("name"))
     least = [F.min(c).alias(c) for c in ("name", "city", "country")]
     by_product = each.groupBy("holder", "code", named.alias("by_name"), "product").agg(*least, F.bool_or("active").alias("active"), F.sum("n").alias("n"))
-    link = F.when(F.col("code") == F.col("holder"), "own").when(F.substring("code", 1, root) == F.substring("holder", 1, root), "group").when(F.col("code").isNotNull(), "other").otherwise("unknown")
+    link = F.when(F.col("code") == F.col("holder"), "own").when(F.col("code").rlike(r"\A[A-Z][0-9]{6}\z"), "abroad").when(F.substring("code", 1, root) == F.substring("holder", 1, root), "group").when(F.col("code").isNotNull(), "other").otherwise("unknown")
     out = by_product.groupBy("holder", "code", "by_name").agg(
         F.min("name").alias("maker"), F.min("city").alias("city"), F.min("country").alias("country"), F.count("product").cast("int").alias("products"),
         F.count(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.sum("n").cast("int").alias("rows"),
@@ -94,13 +95,17 @@ def maker_keys(df: DataFrame, home: str) -> DataFrame:
     return out.withColumn("link", link).select("holder", "key", "country", "maker", "products", "active_products", "link")
 
 
-def measures(df: DataFrame, group: Sequence[str], target: str, name: str) -> DataFrame:
-    """Per group: company id (14 digits, not all zeros), company name, person. A person's id and name
-    never leave: targets of 11 digits make person true and the name null."""
+def measures(df: DataFrame, group: Sequence[str], target: str, name: str, sets: Sequence[str] = (), numbers: Sequence[str] = (), day: str | None = None) -> DataFrame:
+    """Per group: company id (14 digits, not all zeros), company name, person, sorted lists of the different
+    values of sets and of the digits of numbers, first and last day. A person's id and name never leave:
+    targets of 11 digits make person true and the name null."""
     t = F.col(target)
     company = F.min(F.when(t.rlike(r"\A[0-9]{14}\z") & (t != "0" * 14), t))
     person = F.coalesce(F.bool_or(t.rlike(r"\A[0-9]{11}\z")), F.lit(False))
-    return df.groupBy(*group).agg(company.alias("company_id"), person.alias("person"), F.when(person, F.lit(None).cast("string")).otherwise(F.min(F.nullif(F.trim(name), F.lit("")))).alias("company"), F.count(F.lit(1)).alias("rows"))
+    more = [lists.sorted_set(c).alias(c) for c in sets] + [lists.sorted_set(F.nullif(digits(c), F.lit(""))).alias(c) for c in numbers]
+    if day:
+        more += [F.min(day).cast("date").alias("first_day"), F.max(day).cast("date").alias("last_day")]
+    return df.groupBy(*group).agg(*more, company.alias("company_id"), person.alias("person"), F.when(person, F.lit(None).cast("string")).otherwise(F.min(F.nullif(F.trim(name), F.lit("")))).alias("company"), F.count(F.lit(1)).alias("rows"))
 
 
 def area_of(subject: str | Column) -> Column:

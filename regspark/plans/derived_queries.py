@@ -75,26 +75,29 @@ def unified_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("measure_rollup", """
-WITH t AS (SELECT event_type, user_id, event_id, CASE event_id % 3 WHEN 0 THEN lpad(CAST(user_id AS VARCHAR), 14, '0') WHEN 1 THEN lpad(CAST(event_id AS VARCHAR), 12, '7') ELSE lpad(CAST(user_id AS VARCHAR), CASE WHEN user_id % 2 = 0 THEN 11 ELSE 9 END, '1') END AS target FROM events)
+WITH t AS (SELECT event_type, user_id, event_id, ts, CASE event_id % 3 WHEN 0 THEN lpad(CAST(user_id AS VARCHAR), 14, '0') WHEN 1 THEN lpad(CAST(event_id AS VARCHAR), 12, '7') ELSE lpad(CAST(user_id AS VARCHAR), CASE WHEN user_id % 2 = 0 THEN 11 ELSE 9 END, '1') END AS target FROM events)
 SELECT event_type, user_id, min(CASE WHEN regexp_full_match(target, '[0-9]{14}') AND target <> repeat('0', 14) THEN target END) AS company_id, coalesce(bool_or(regexp_full_match(target, '[0-9]{11}')), false) AS person,
-  CASE WHEN coalesce(bool_or(regexp_full_match(target, '[0-9]{11}')), false) THEN NULL ELSE min('N' || event_id) END AS company, count(*) AS rows FROM t GROUP BY ALL""")
+  CASE WHEN coalesce(bool_or(regexp_full_match(target, '[0-9]{11}')), false) THEN NULL ELSE min('N' || event_id) END AS company, count(*) AS rows,
+  list_sort(list(DISTINCT 'A' || (event_id % 4))) AS actions, list_sort(list(DISTINCT CAST(event_id % 11 AS VARCHAR))) AS registers, CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day FROM t GROUP BY event_type, user_id""")
 def measure_rollup(spark: SparkSession, sf: str) -> DataFrame:
     user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
     k = F.col("event_id") % 3
     target = F.when(k == 0, F.lpad(user, 14, "0")).when(k == 1, F.lpad(event, 12, "7")).otherwise(F.when(F.col("user_id") % 2 == 0, F.lpad(user, 11, "1")).otherwise(F.lpad(user, 9, "1")))
-    e = read(spark, sf, "events").select("event_type", "user_id", target.alias("target"), F.concat(F.lit(" N"), event, F.lit(" ")).alias("who"))
-    return derive.measures(e, ["event_type", "user_id"], "target", "who")
+    e = read(spark, sf, "events").select("event_type", "user_id", target.alias("target"), F.concat(F.lit(" N"), event, F.lit(" ")).alias("who"), "ts",
+        F.concat(F.lit("A"), (F.col("event_id") % 4).cast("string")).alias("actions"), F.concat(F.lit("R."), (F.col("event_id") % 11).cast("string"), F.lit("-X")).alias("registers"))
+    return derive.measures(e, ["event_type", "user_id"], "target", "who", ["actions"], ["registers"], "ts")
 
 
 @query("maker_links", """
 WITH i AS (SELECT lpad(CAST(l_partkey % 50 AS VARCHAR), 8, '0') || '01' AS holder, l_partkey AS product, l_linestatus = 'O' AS active, s_name || ' - X' AS name, n_name AS city, r_name AS country,
-  CASE WHEN l_suppkey % 4 > 0 THEN lpad(CAST(l_suppkey % 60 AS VARCHAR), 8, '0') || CASE WHEN l_suppkey % 3 = 0 THEN '01' ELSE '02' END END AS code
+  CASE WHEN l_suppkey % 5 = 0 THEN 'A' || lpad(CAST(l_suppkey % 60 AS VARCHAR), 6, '0') WHEN l_suppkey % 4 > 0 THEN lpad(CAST(l_suppkey % 60 AS VARCHAR), 8, '0') || CASE WHEN l_suppkey % 3 = 0 THEN '01' ELSE '02' END END AS code
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)
 SELECT holder, code, min(name) AS maker, min(city) AS city, min(country) AS country, CAST(count(DISTINCT product) AS INTEGER) AS products, CAST(count(DISTINCT CASE WHEN active THEN product END) AS INTEGER) AS active_products, CAST(count(*) AS INTEGER) AS rows,
-  CASE WHEN code = holder THEN 'own' WHEN code[1:8] = holder[1:8] THEN 'group' WHEN code IS NOT NULL THEN 'other' ELSE 'unknown' END AS link FROM i GROUP BY holder, code, CASE WHEN code IS NULL THEN name END""")
+  CASE WHEN code = holder THEN 'own' WHEN regexp_full_match(code, '[A-Z][0-9]{6}') THEN 'abroad' WHEN code[1:8] = holder[1:8] THEN 'group' WHEN code IS NOT NULL THEN 'other' ELSE 'unknown' END AS link FROM i GROUP BY holder, code, CASE WHEN code IS NULL THEN name END""")
 def maker_links(spark: SparkSession, sf: str) -> DataFrame:
     place = read(spark, sf, "supplier").join(read(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).join(read(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    code = F.when(F.col("s_suppkey") % 4 > 0, F.concat(F.lpad((F.col("s_suppkey") % 60).cast("string"), 8, "0"), F.when(F.col("s_suppkey") % 3 == 0, "01").otherwise("02"))).otherwise("")
+    foreign = F.concat(F.lit("A"), F.lpad((F.col("s_suppkey") % 60).cast("string"), 6, "0"))
+    code = F.when(F.col("s_suppkey") % 5 == 0, foreign).when(F.col("s_suppkey") % 4 > 0, F.concat(F.lpad((F.col("s_suppkey") % 60).cast("string"), 8, "0"), F.when(F.col("s_suppkey") % 3 == 0, "01").otherwise("02"))).otherwise("")
     item = F.concat(F.lit(" | "), F.concat_ws(" - ", "s_name", F.lit("X"), "n_name", "r_name"), F.lit(" ; "), code, F.lit(" | "))
     li = read(spark, sf, "lineitem").join(place.select("s_suppkey", item.alias("items")), F.col("l_suppkey") == F.col("s_suppkey"))
     holder = F.concat(F.lpad((F.col("l_partkey") % 50).cast("string"), 8, "0"), F.lit("01"))
