@@ -20,7 +20,7 @@
 5. Documents whose windows hold too many hot tokens are shingled again and take the first P tokens of
    their whole sets in the new order, so nothing is lost to hot tokens.
 
-Links and components stay in tables. Two different shingles share a token with a chance of 2**-58 at most.
+Links and components stay in tables. Two different shingles share a token with a chance of 2**-57 at most.
 
 Defined cases: null or empty texts, or texts without words, have an empty set and are linked with
 nothing; fewer words than a shingle make one shingle; rows that share a doc_id are one document,

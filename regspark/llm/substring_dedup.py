@@ -19,8 +19,9 @@ last 16 bytes, a chunk ends where its top five bits are zero, and whole chunks w
 words form a span. It loses part chunks at both ends of a passage, and so some passages; no query uses it.
 
 Defined cases: null and empty texts have no chunks; a row without doc_id takes no part; equal rows
-of one doc_id are one document; repeats inside one document do not count; an empty table gives no
-rows; other columns are ignored. Positions are code points, ends exclusive. Words are what white
+of one doc_id are one document; repeats inside one document do not count; of documents with one passage
+the smallest doc_id keeps it; a very long text is one row; an empty table gives no rows; other columns are
+ignored, or kept by without_repeats, whatever their names. Positions are code points, ends exclusive. Words are what white
 space of ASCII separates.
 """
 
@@ -34,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, prose, small
+from .common import discard, materialise, private, prose, small
+from .words import slices
 
 #: The gear: a random 16-bit number for each byte.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 20) & 0xFFFF for b in range(256)], np.uint16)
@@ -58,7 +60,7 @@ def chunks(docs: DataFrame) -> DataFrame:
     """doc_id, key (of doc_id and text), digests, ends (code points), words (that begin in the chunk)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             digests, ends, words = [], [], []
             for text in batch["text"].to_pylist():
                 raw = text.encode("utf-8", "replace")
@@ -135,13 +137,13 @@ def repeated_passages(docs: DataFrame, least_words: int = 15) -> DataFrame:
     other documents have as well; removed lists the parts that an earlier document has."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [word_chunks(text.encode("utf-8", "replace"), least_words) for text in batch["text"].to_pylist()]
             digests = pa.array([np.unique(x[3]) if x else [] for x in found], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], digests], ["doc_id", "key", "digests"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lists: tuple[list, ...] = ([], [], [], [])
             for text, hits in zip(batch["text"].to_pylist(), batch["hits"], strict=True):
                 raw = text.encode("utf-8", "replace")
@@ -191,17 +193,18 @@ def repeated_passages(docs: DataFrame, least_words: int = 15) -> DataFrame:
 def without_repeats(docs: DataFrame, least_words: int = 15) -> DataFrame:
     """docs with each repeated passage left in the first document that has it alone."""
     gone = repeated_passages(docs, least_words).groupBy("key").agg(F.sort_array(F.flatten(F.collect_list("removed"))).alias("removed")).filter(F.size("removed") > 0)
-    gone = gone.withColumnRenamed("key", "_key").withColumnRenamed("removed", "_removed")
+    own, removed = private("key"), private("removed")
+    gone = gone.select(F.col("key").alias(own), F.col("removed").alias(removed))
     key = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
-    both = docs.join(small(gone, 100_000), key == gone["_key"], "left")
+    both = docs.join(small(gone, 100_000), key == gone[own], "left")
     text = docs["text"]
     kept = F.aggregate(
-        "_removed",
+        removed,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    return both.withColumn("text", F.when(F.col("_removed").isNotNull(), kept).otherwise(text)).select(*docs.columns)
+    return both.withColumn("text", F.when(F.col(removed).isNotNull(), kept).otherwise(text)).select(*docs.columns)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
