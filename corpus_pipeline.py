@@ -2,6 +2,11 @@
 
 STAGES are (name, function); a function takes (spark, docs, sf_dir). All but the last return the
 columns of documents; the last returns the packed pieces. ``run`` applies them to documents.
+
+Defined cases, as the operators have them: a null or letterless text has no language and its document goes;
+documents without doc_id are nobody's copy and stay; of copies, the smallest doc_id stays, with all its
+rows if it comes more than once; repeated rows are judged each by itself; a very long text is one row
+until it is packed; empty tables pass through all stages; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
