@@ -63,8 +63,8 @@ def small_batches(df: DataFrame) -> DataFrame:
     result, and smaller settings are left alone."""
     conf = df.sparkSession.conf
     for name, most in BATCHES.items():
-        own = int(conf.get(name).rstrip("b"))
-        if not 0 < own <= int(most):
+        own = conf.get(name).rstrip("bB")
+        if not own.isdigit() or not 0 < int(own) <= int(most):
             conf.set(name, most)
     return df
 
