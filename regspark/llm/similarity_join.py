@@ -47,7 +47,7 @@ def shingles(texts: list[str], words: int) -> list[np.ndarray]:
     """The sorted different tokens of each text."""
     codes, sizes, counts = word_hashes(texts, not_space)
     joined, length = np.full(len(codes), words, np.uint64), np.zeros(len(codes), np.int64)
-    for k in range(words):
+    for k in range(min(words, len(codes))):
         joined[: len(codes) - k] = mix(joined[: len(codes) - k] + codes[k:]) * np.uint64(0x9E3779B97F4A7C15)
         length[: len(codes) - k] += sizes[k:]
     rank = np.uint64(63) - np.minimum(length, 63).astype(np.uint64)

@@ -6,6 +6,7 @@ import pytest
 
 from regspark.llm.components import connected_components
 from regspark.llm.similarity_join import near_duplicates, one_of_each, op9_ngram_jaccard_join
+from regspark.llm.similarity_join import shingles as tokens_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -45,6 +46,19 @@ def brute(docs, k, percent):
     return sorted(((d, len(s), None if d is None else least[root(i)]) for i, ((d, _), s) in enumerate(zip(docs, sets, strict=True))), key=repr)
 
 
+def test_shingles_of_few_words():
+    """As many tokens as different shingles, and common tokens for common shingles, however few words there are."""
+    texts = ["", " ", "a", "A b", "b", "a b c d", "a b c d e", "x a b c d e", "a a a a a a", "é \t b c d e"]
+    for k in (1, 3, 5):
+        for some in (texts, *([t] for t in texts), texts[:4], []):
+            got = [set(own.tolist()) for own in tokens_of(some, k)]
+            want = [shingles(t, k) for t in some]
+            assert list(map(len, got)) == list(map(len, want))
+            for a, x in zip(got, want, strict=True):
+                for b, y in zip(got, want, strict=True):
+                    assert len(a & b) == len(x & y)
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
