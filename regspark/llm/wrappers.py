@@ -210,11 +210,12 @@ def text_mark(slot: int, text: str) -> int:
 
 def texts_of(page: str, frequent: frozenset[int] | None) -> set[tuple[int, int]]:
     """(slot, text in it) of a page's texts."""
-    found = set()
+    found, slots = set(), {}
     for path, event, text in walk(page, frequent):
         if event == "text" and (own := squeeze(text)):
-            slot = slot_mark(path)
-            found.add((slot, text_mark(slot, own)))
+            if path not in slots:
+                slots[path] = slot_mark(path)
+            found.add((slots[path], text_mark(slots[path], own)))
     return found
 
 
@@ -228,7 +229,7 @@ def empty() -> dict:
 
 def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
     """A page as a wrapper: nodes by key in page order, like neighbours folded into a repeated one."""
-    root = empty()
+    root, nodes = empty(), {}
     root["pages"] = 1
     for path, event, text in walk(page, frequent):
         if event != "text":
@@ -236,10 +237,16 @@ def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
         text = squeeze(text)
         if not text:
             continue
-        node = root
-        for key in path:
-            node = node["kids"].setdefault(key, empty())
-            node["pages"] = 1
+        node = nodes.get(path)
+        if node is None:
+            node = root
+            for key in path:
+                kid = node["kids"].get(key)
+                if kid is None:
+                    kid = node["kids"][key] = empty()
+                    kid["pages"] = 1
+                node = kid
+            nodes[path] = node
         own = node["slots"].get("text")
         n, mark = len(text.split()), xxhash.xxh64_hexdigest(text.encode("utf-8", "replace"))
         if own is None:
@@ -412,13 +419,17 @@ def kept_paths(wrapper: dict, shared: frozenset[int] = NOTHING) -> list[list[str
 
 def text_under(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None, shared: frozenset[int] = NOTHING) -> str:
     """The texts in the given slots, less the wrapper's constants (but headings), block by block."""
-    blocks, own = [], []
+    blocks, own, slots = [], [], {}
     for path, event, text in walk(page, frequent):
         if event == "break":
-            blocks.append("".join(own))
-            own = []
-        elif path in paths and not (shared and text_mark(slot_mark(path), squeeze(text)) in shared and not any(parts_of(k)[0] in HEADINGS for k in path)):
-            own.append(text)
+            if own:
+                blocks.append("".join(own))
+                own = []
+        elif path in paths:
+            if shared and path not in slots:
+                slots[path] = None if any(parts_of(k)[0] in HEADINGS for k in path) else slot_mark(path)
+            if not shared or slots[path] is None or text_mark(slots[path], squeeze(text)) not in shared:
+                own.append(text)
     return "\n".join(b for b in map(squeeze, [*blocks, "".join(own)]) if b)
 
 
