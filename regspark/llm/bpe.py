@@ -1,4 +1,4 @@
-"""Token ids of whole texts by the tokenizers library, with each distinct word encoded once per task.
+"""Token ids of whole texts by the tokenizers library, with each distinct word encoded once per worker.
 
 A byte-level BPE splits a text into words first and encodes each word by itself, so the ids of
 a text are the joined ids of its words. Real corpora repeat words far more often than texts;
@@ -55,7 +55,7 @@ def word_starts(points: np.ndarray, kind: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """encode(texts) -> one array of ids per text, the end id last. most_words bounds the memory of the
-    word table (some 50 bytes each). A task makes its own, so that nothing outlives it."""
+    word table (some 50 bytes each)."""
 
     def __init__(self, path: str, end_id: int, most_words: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -138,6 +138,21 @@ class Encoder:
         return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end_id], np.uint32)
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """One encoder per worker process; later tasks find its words again."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = Encoder(path, end_id)
+    return _encoders[path, end_id]
+
+
+def forget() -> None:
+    """Give the word tables' memory back, for tasks of operators that need much themselves."""
+    _encoders.clear()
+
+
 def portions(values: list[str], most_chars: int = 2_000_000):
     """(from, to) of consecutive texts with about most_chars together, to keep arrays small."""
     start = size = 0

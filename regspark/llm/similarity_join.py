@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import forget
 from .common import discard, materialise, prose, small
 from .components import connected_components
 from .words import mix, not_space, slices, word_hashes
@@ -100,6 +101,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int, whole: bool = False,
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
+        forget()
         for batch in slices(batches):
             sizes, classes, tokens = [], [], []
             for own in shingles(batch["text"].to_pylist(), words):
