@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .additive_ann import op1_additive_ann
 from .decontaminate import op10_decontamination
+from .filter_audit import op11_filter_audit
 from .language import op4_language_id
 from .packing import op5_best_fit_packing
 from .quality import op6_quality_ranking
@@ -18,6 +19,7 @@ QUERIES = {
     for f in (
         op1_additive_ann, op2_token_files, op3_html_wrappers, op4_language_id, op5_best_fit_packing,
         op6_quality_ranking, op7_secret_scan, op8_substring_dedup, op9_ngram_jaccard_join, op10_decontamination,
+        op11_filter_audit,
     )
 }
 
@@ -51,4 +53,20 @@ n1 AS MATERIALIZED (SELECT x.r, x.p, pr.* FROM pr JOIN dp x ON x.word = one),
 nr AS MATERIALIZED (SELECT n1.r, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_near FROM n1 JOIN dp y ON y.r = n1.r AND y.word = two WHERE abs(y.p - n1.p - apart) <= 3 AND (y.p <> n1.p OR apart = 0) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r) LEFT JOIN nr USING (r)""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS v),
+o AS (SELECT a.v || b.v || c.v || d.v || e.v AS filter_order FROM x a JOIN x b ON b.v <> a.v JOIN x c ON c.v NOT IN (a.v, b.v) JOIN x d ON d.v NOT IN (a.v, b.v, c.v) JOIN x e ON e.v NOT IN (a.v, b.v, c.v, d.v)),
+s AS (SELECT filter_order, step, filter_order[step] AS own, CASE WHEN step = 1 THEN '' ELSE filter_order[1:step - 1] END AS before FROM o, (SELECT unnest(range(1, 6)) AS step)),
+h AS (SELECT m.*, s.*, contains(fails, own) AS is_own, length(translate(before, fails, '')) < length(before) AS gone FROM m, s),
+g AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT is_own), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND is_own), 0) AS removed, coalesce(sum(n) FILTER (gone AND is_own), 0) AS redundant,
+  coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND is_own), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND is_own), 0) AS toxic_lost FROM h GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g""",
 }
