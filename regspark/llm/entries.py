@@ -10,6 +10,7 @@ from .packing import op5_best_fit_packing
 from .quality import op6_quality_ranking
 from .secrets import op7_secret_scan
 from .similarity_join import op9_ngram_jaccard_join
+from .spelling import op12_spelling_variants
 from .substring_dedup import op8_substring_dedup
 from .token_files import op2_token_files
 from .wrappers import op3_html_wrappers
@@ -19,7 +20,7 @@ QUERIES = {
     for f in (
         op1_additive_ann, op2_token_files, op3_html_wrappers, op4_language_id, op5_best_fit_packing,
         op6_quality_ranking, op7_secret_scan, op8_substring_dedup, op9_ngram_jaccard_join, op10_decontamination,
-        op11_filter_audit,
+        op11_filter_audit, op12_spelling_variants,
     )
 }
 
