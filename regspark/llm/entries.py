@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .additive_ann import op1_additive_ann
+from .cross_polytope import op13_embedding_near_dedup
 from .decontaminate import op10_decontamination
 from .filter_audit import op11_filter_audit
 from .language import op4_language_id
@@ -20,7 +21,7 @@ QUERIES = {
     for f in (
         op1_additive_ann, op2_token_files, op3_html_wrappers, op4_language_id, op5_best_fit_packing,
         op6_quality_ranking, op7_secret_scan, op8_substring_dedup, op9_ngram_jaccard_join, op10_decontamination,
-        op11_filter_audit, op12_spelling_variants,
+        op11_filter_audit, op12_spelling_variants, op13_embedding_near_dedup,
     )
 }
 
