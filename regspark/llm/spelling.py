@@ -5,8 +5,9 @@
    the vector of its letters' counts by group. Vectors make a trie, one group a level, commonest first.
 3. A word that is one edit away has at most one letter of a group more (surplus) and at most one of a group less
    (deficit). So a depth-first search takes, at each level, the child with the word's own count, and those
-   with one more or one less while that part of the budget of one each is left. It runs for arrays of words
-   at once. Words at the leaves that it reaches are verified letter by letter.
+   that spend the budget of one each while it lasts: first the surplus, then the deficit, so that of two words one
+   finds the other. It runs for arrays of words at once. Words at the leaves that it reaches are verified
+   letter by letter.
 4. Among machines the trie is cut: a node with more than ``cell`` words is split by its next group, one with
    fewer is a cell. The cut trie has at most ``most_split`` split nodes a level (cells are larger where there are
    more words), so that each task can search it: a word goes to its own cell as data and to every cell that its
@@ -50,6 +51,10 @@ def vocabulary(docs: DataFrame, shortest: int = 7, fewest: int = 2, one_in: int
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= fewest)
 
 
+#: Letters of the words that arrays hold; longer words are compared one by one.
+WIDTH = 48
+
+
 def near(a: str, b: str) -> bool:
     """Whether the words differ by exactly one inserted, deleted or replaced code point."""
     if len(a) > len(b):
@@ -60,14 +65,37 @@ def near(a: str, b: str) -> bool:
     return a[k + (len(a) == len(b)) :] == b[k + 1 :]
 
 
-def vectors(words: list[str], letters: str, groups: int) -> np.ndarray:
-    """Counts by group of letters: words x groups."""
-    of = np.full(0x110000, groups - 1, np.int32)
-    of[[ord(c) for c in letters]] = np.arange(len(letters))
-    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
-    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    out = np.bincount(row * groups + of[points], minlength=len(words) * groups)
-    return np.minimum(out, 255).astype(np.uint8).reshape(len(words), groups)
+class Spelled:
+    """Words as arrays: lengths, letters (zeros after the end), counts by group of letters."""
+
+    def __init__(self, words: list[str], letters: str, groups: int) -> None:
+        self.words, self.groups = words, groups
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        row = np.repeat(np.arange(len(words)), self.lengths)
+        of = np.full(max(int(points.max(initial=0)), *map(ord, letters), 0) + 1, groups - 1, np.int64)
+        of[[ord(c) for c in letters]] = np.arange(len(letters))
+        counts = np.bincount(row * groups + of[points], minlength=len(words) * groups)
+        self.vectors = np.minimum(counts, 255).astype(np.uint8).reshape(len(words), groups)
+        place = np.arange(len(points)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        short = place < WIDTH
+        self.letters = np.zeros((len(words), WIDTH), np.uint8 if len(of) <= 256 else np.uint32)
+        self.letters[row[short], place[short]] = points[short]
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """near() of pairs of words by number."""
+        less = self.lengths[i] < self.lengths[j]
+        i, j = np.where(less, j, i), np.where(less, i, j)  # i is not shorter
+        more = self.lengths[i] - self.lengths[j]
+        a, b = self.letters[i], self.letters[j]
+        differ = a != b
+        same = (more == 0) & (np.count_nonzero(differ, 1) == 1)
+        shifted = a[:, 1:] != b[:, :-1]
+        last = np.where(shifted.any(1), WIDTH - 2 - shifted[:, ::-1].argmax(1), -1)
+        good = same | (more == 1) & (last < differ.argmax(1))
+        for k in np.flatnonzero((self.lengths[i] > WIDTH) & (more <= 1)).tolist():
+            good[k] = near(self.words[i[k]], self.words[j[k]])
+        return good
 
 
 class Trie:
@@ -89,29 +117,28 @@ class Trie:
             self.levels.append((keys, ends))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, path, whether nothing was spent) of all paths that a query reaches with a surplus and a deficit of one."""
+        """(query, path, letters of the budget that were spent) of all paths that a query reaches. The surplus is spent first: of
+        two vectors that swap a letter, or of which one has a letter more, one finds the other."""
         q = np.arange(len(queries))
+        node, spent = np.zeros(len(q), np.int64), np.zeros(len(q), np.int8)
         if self.whole:
-            return q, np.zeros(len(q), np.int64), np.ones(len(q), bool)
-        node, more, less = np.zeros(len(q), np.int64), np.ones(len(q), bool), np.ones(len(q), bool)
+            return q, node, spent
         found = []
         for d, (keys, ends) in enumerate(self.levels):
             count = queries[q, d].astype(np.int64)
-            up, down = np.flatnonzero(more & (count < 255)), np.flatnonzero(less & (count > 0))
-            at = np.concatenate([np.arange(len(q)), up, down])
-            wanted = np.concatenate([count, count[up] + 1, count[down] - 1]) + node[at] * 256
-            more, less = more[at], less[at]
-            more[len(q) : len(q) + len(up)] = False
-            less[len(q) + len(up) :] = False
-            q = q[at]
-            node = np.searchsorted(keys, wanted)
-            there = keys[np.minimum(node, len(keys) - 1)] == wanted
-            q, node, more, less = (x[there] for x in (q, node, more, less))
+            less, more = np.flatnonzero((spent == 0) & (count > 0)), np.flatnonzero((spent == 1) & (count < 255))
+            at = np.concatenate([np.arange(len(q)), less, more])
+            wanted = np.concatenate([count, count[less] - 1, count[more] + 1]) + node[at] * 256
+            own = np.searchsorted(keys, wanted)
+            there = np.flatnonzero(keys[np.minimum(own, len(keys) - 1)] == wanted)
+            spent = spent[at[there]] + (there >= len(q)).astype(np.int8)
+            q, node = q[at[there]], own[there]
             path = ends[node]
             end = path >= 0
-            found.append((q[end], path[end], (more & less)[end]))
-            q, node, more, less = (x[~end] for x in (q, node, more, less))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (q[:0], q[:0], more[:0])
+            if end.any():
+                found.append((q[end], path[end], spent[end]))
+                q, node, spent = q[~end], node[~end], spent[~end]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (q[:0], q[:0], spent[:0])
 
 
 def halves(word: str) -> Iterator[tuple[int, bool, str]]:
@@ -121,52 +148,78 @@ def halves(word: str) -> Iterator[tuple[int, bool, str]]:
         yield n, False, word[len(word) - (n - n // 2) :]
 
 
-def near_between(queries: list[str], data: list[str]) -> Iterator[tuple[int, int]]:
-    """Which are near, by number; many words meet by their halves only."""
-    if len(queries) * len(data) <= 256:
-        yield from ((i, j) for i, a in enumerate(queries) for j, b in enumerate(data) if near(a, b))
-        return
+def by_halves(words: list[str], queries: list[int], data: list[int]) -> tuple[list[int], list[int]]:
+    """Pairs of numbers of words that share a half."""
     by = defaultdict(list)
-    for j, b in enumerate(data):
-        for k in halves(b):
+    for j in data:
+        for k in halves(words[j]):
             by[k].append(j)
-    for i, a in enumerate(queries):
-        yield from ((i, j) for j in {j for k in halves(a) for j in by.get(k, ())} if near(a, data[j]))
-
-
-def numbered(own: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
-    """The different rows as paths, and which rows have each."""
-    paths, which, sizes = np.unique(own, axis=0, return_inverse=True, return_counts=True)
-    order = np.argsort(which.ravel(), kind="stable")
-    return [p.tobytes() for p in paths], np.split(order, np.cumsum(sizes)[:-1])
-
-
-def search_cell(table: pa.Table) -> pa.Table:
-    """word, n_near, best_n, best of the queries of a cell that have near words among its data. ``part`` is the
-    half by which a leaf with too many words was dealt: a pair counts for one half, that of its shorter word's length."""
-    words, n, is_data = table["word"].to_pylist(), table["n"].to_pylist(), table["data"].to_numpy()
-    part = table["part"][0].as_py()
-    own = np.frombuffer(b"".join(table["vector"].to_pylist()), np.uint8).reshape(len(words), -1)
-    held = np.flatnonzero(is_data)
-    out: dict[int, list] = {}
-    if len(held):
-        paths, has = numbered(own[held])
-        asked, who = numbered(own)
-        query, leaf, _ = Trie(paths).search(np.frombuffer(b"".join(asked), np.uint8).reshape(len(asked), -1))
-        for a, b in zip(query.tolist(), leaf.tolist(), strict=True):
-            qs, ds = who[a].tolist(), held[has[b]].tolist()
-            for i, j in near_between([words[k] for k in qs], [words[k] for k in ds]):
-                one, two = qs[i], ds[j]
-                if part is not None and not counts_here(words[one], words[two], part):
-                    continue
-                best = (-n[two], words[two])
-                if one in out:
-                    out[one][0] += 1
-                    out[one][1] = min(out[one][1], best)
-                else:
-                    out[one] = [1, best]
-    rows = [(words[k], c, -best[0], best[1]) for k, (c, best) in out.items()]
-    return pa.table([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], ["word", "n_near", "best_n", "best"])
+    pairs = [(i, j) for i in queries for j in {j for k in halves(words[i]) for j in by.get(k, ())}]
+    return [i for i, _ in pairs], [j for _, j in pairs]
+
+
+def numbered(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different rows; all row numbers by them: order, starts, sizes."""
+    packed = np.ascontiguousarray(vectors).view(f"V{vectors.shape[1]}").ravel()
+    _, first, which, sizes = np.unique(packed, return_index=True, return_inverse=True, return_counts=True)
+    return vectors[first], np.argsort(which, kind="stable"), np.cumsum(sizes) - sizes, sizes
+
+
+def products(starts_a: np.ndarray, sizes_a: np.ndarray, starts_b: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places of each two stretches."""
+    n = sizes_a * sizes_b
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    width = np.repeat(sizes_b, n)
+    return np.repeat(starts_a, n) + within // width, np.repeat(starts_b, n) + within % width
+
+
+def candidates(own: Spelled, data: np.ndarray, most: int = 200_000, many: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, data) of numbers of words at leaves that queries reach, some ``most`` at once. Where ``many`` pairs and
+    more meet at a leaf, their halves decide."""
+    paths, data_order, data_starts, data_sizes = numbered(own.vectors[data])
+    asked, order, starts, sizes = numbered(own.vectors)
+    data_order = data[data_order]
+    query, leaf, _ = Trie([p.tobytes() for p in paths]).search(asked)
+    n = sizes[query] * data_sizes[leaf]
+    for k in np.flatnonzero(n >= many).tolist():
+        a, b = query[k], leaf[k]
+        i, j = by_halves(own.words, order[starts[a] : starts[a] + sizes[a]].tolist(), data_order[data_starts[b] : data_starts[b] + data_sizes[b]].tolist())
+        yield np.array(i, np.int64), np.array(j, np.int64)
+    query, leaf, n = query[n < many], leaf[n < many], n[n < many]
+    cuts = np.unique([0, *np.searchsorted(np.cumsum(n), np.arange(most, int(n.sum()), most)), len(n)])
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        a, b = query[low:high], leaf[low:high]
+        i, j = products(starts[a], sizes[a], data_starts[b], data_sizes[b])
+        yield order[i], data_order[j]
+
+
+def search_cell(table: pa.Table, letters: str, groups: int) -> pa.Table:
+    """word, n_near, best_n, best of words of a cell, queries and data. ``part`` is the half by which a leaf with too many
+    words was dealt: a pair counts for one half, that of its shorter word's length."""
+    words, part = table["word"].to_pylist(), table["part"][0].as_py()
+    n, data = table["n"].to_numpy(), np.flatnonzero(table["data"].to_numpy())
+    own = Spelled(words, letters, groups)
+    to, of = [], []
+    for i, j in candidates(own, data) if len(data) else ():
+        good = own.near(i, j)
+        i, j = i[good], j[good]
+        if part is not None:
+            here = np.array([counts_here(words[a], words[b], part) for a, b in zip(i.tolist(), j.tolist(), strict=True)], bool)
+            i, j = i[here], j[here]
+        once = (own.vectors[i] != own.vectors[j]).any(1)  # else each finds the other
+        to += [i, j[once]]
+        of += [j, i[once]]
+    to, of = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (to, of))
+    met = np.unique(of)
+    ranked = np.array(sorted(met.tolist(), key=lambda k: (-n[k], words[k])), np.int64)
+    rank = np.empty(len(words), np.int64)
+    rank[ranked] = np.arange(len(ranked))
+    best = np.full(len(words), len(ranked))
+    np.minimum.at(best, to, rank[of])
+    times = np.bincount(to, minlength=len(words))
+    has = np.flatnonzero(times)
+    chosen = ranked[best[has]]
+    return pa.table([table["word"].take(pa.array(has)), pa.array(times[has], pa.int64()), pa.array(n[chosen], pa.int64()), table["word"].take(pa.array(chosen))], ["word", "n_near", "best_n", "best"])
 
 
 def counts_here(a: str, b: str, part: str) -> bool:
@@ -174,11 +227,17 @@ def counts_here(a: str, b: str, part: str) -> bool:
     return part == next(half_name(k) for k in halves(a) if k[0] == min(len(a), len(b)) and k in set(halves(b)))
 
 
+def packed(vectors: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    ends = np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(vectors), [None, pa.py_buffer(ends), pa.py_buffer(vectors.tobytes())])
+
+
 def half_name(key: tuple[int, bool, str]) -> str:
     return f"{key[0]}{'<' if key[1] else '>'}{key[2]}"
 
 
-def near_words(words: DataFrame, groups: int = 20, cell: int = 1000, most_split: int = 16384) -> DataFrame:
+def near_words(words: DataFrame, groups: int = 20, cell: int = 20_000, most_split: int = 16384) -> DataFrame:
     """word, n_near, best_n, best for the words that have near ones; ``words`` is a stored table of word and n."""
     spark = small_batches(words).sparkSession
     total = words.count()
@@ -188,8 +247,8 @@ def near_words(words: DataFrame, groups: int = 20, cell: int = 1000, most_split:
 
     def add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = vectors(batch["word"].to_pylist(), letters, groups)
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array([v.tobytes() for v in own], pa.binary())], ["word", "n", "vector"])
+            own = Spelled(batch["word"].to_pylist(), letters, groups).vectors
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], packed(own)], ["word", "n", "vector"])
 
     rows = materialise(words.select("word", "n").mapInArrow(add_vectors, "word string, n long, vector binary"), "vectors")
     depth = F.explode(F.sequence(F.lit(0), F.lit(groups))).alias("d")
@@ -205,23 +264,24 @@ def near_words(words: DataFrame, groups: int = 20, cell: int = 1000, most_split:
             yield pa.RecordBatch.from_arrays([pa.array({cell_of(v) for v in batch["vector"].to_pylist()}, pa.binary())], ["cell"])
 
     paths = sorted(bytes(r["cell"]) for r in rows.select("vector").mapInArrow(cells, "cell binary").distinct().collect())  # children of split nodes
-    shared = spark.sparkContext.broadcast((Trie(paths), [p in full for p in paths]))
+    shared = spark.sparkContext.broadcast((Trie(paths), np.array([p in full for p in paths], bool)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, is_full = shared.value
         for batch in batches:
-            words, own = batch["word"].to_pylist(), batch["vector"].to_pylist()
-            query, cell, is_own = trie.search(np.frombuffer(b"".join(own), np.uint8).reshape(len(own), groups))
-            parts = [[half_name(k) for k in halves(words[q])] if is_full[c] else [None] for q, c in zip(query.tolist(), cell.tolist(), strict=True)]
-            times = [len(p) for p in parts]
-            at = pa.array(np.repeat(query, times))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(cell, times), pa.int32()), pa.array([p for own in parts for p in own], pa.string()), batch["word"].take(at), batch["n"].take(at), batch["vector"].take(at), pa.array(np.repeat(is_own, times))],
-                ["cell", "part", "word", "n", "vector", "data"],
-            )
-
-    dealt = rows.mapInArrow(deal, "cell int, part string, word string, n long, vector binary, data boolean")
-    found = dealt.groupBy("cell", "part").applyInArrow(search_cell, "word string, n_near long, best_n long, best string")
+            own = np.frombuffer(b"".join(batch["vector"].to_pylist()), np.uint8).reshape(batch.num_rows, groups)
+            query, cell, spent = trie.search(own)
+            full = is_full[cell]
+            for some, parts in ((~full, None), (full, [[half_name(k) for k in halves(w)] for w in batch["word"].take(pa.array(query[full])).to_pylist()])):
+                times = 1 if parts is None else [len(p) for p in parts]
+                at = pa.array(np.repeat(query[some], times))
+                part = pa.nulls(len(at), pa.string()) if parts is None else pa.array([p for own in parts for p in own], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(cell[some], times), pa.int32()), part, batch["word"].take(at), batch["n"].take(at), pa.array(np.repeat(spent[some] == 0, times))], ["cell", "part", "word", "n", "data"]
+                )
+
+    dealt = rows.mapInArrow(deal, "cell int, part string, word string, n long, data boolean")
+    found = dealt.groupBy("cell", "part").applyInArrow(lambda held: search_cell(held, letters, groups), "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("word"))).alias("best")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select("word", "n_near", (-F.col("best.n")).alias("best_n"), F.col("best.word").alias("best"))
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from regspark.llm.spelling import Trie, near, op12_spelling_variants, spelling_variants, vectors, vocabulary
+from regspark.llm.spelling import WIDTH, Spelled, Trie, near, op12_spelling_variants, spelling_variants, vocabulary
 
 COLUMNS = ("word", "form", "root", "n", "n_near", "form_n")
 
@@ -66,6 +66,10 @@ def test_near():
     for a in words:
         for b in words:
             assert near(a, b) == (a != b and differ_by_one(a, b)), (a, b)
+    long = "x" * (WIDTH - 2)
+    words += [long, long + "x", long + "xa", long + "xb", long + "xxa", long + "xxb", long + "xxab", long + "yxab"]
+    i, j = (x.ravel() for x in np.mgrid[: len(words), : len(words)])
+    assert Spelled(words, "ab", 3).near(i, j).tolist() == [near(words[a], words[b]) for a, b in zip(i, j, strict=True)]
 
 
 def test_trie_search_finds_exactly_what_the_budget_allows():
@@ -73,13 +77,15 @@ def test_trie_search_finds_exactly_what_the_budget_allows():
     own = np.unique(rng.integers(0, 3, (150, 4)).astype(np.uint8), axis=0)
     own = np.concatenate([own, np.array([[255, 0, 0, 0], [254, 0, 0, 0], [255, 0, 1, 0]], np.uint8)])
     own = np.unique(own, axis=0)
-    query, path, same = Trie([r.tobytes() for r in own]).search(own)
-    gap = own[:, None].astype(int) - own[None]
-    want = (np.maximum(gap, 0).sum(2) <= 1) & (np.maximum(-gap, 0).sum(2) <= 1)
-    assert sorted(zip(query.tolist(), path.tolist(), strict=True)) == sorted(map(tuple, np.argwhere(want).tolist()))
-    assert (same == (query == path)).all()
+    query, path, spent = Trie([r.tobytes() for r in own]).search(own)
+    gap = own[:, None].astype(int) - own[None]  # of query and path
+    within = (np.maximum(gap, 0).sum(2) <= 1) & (np.maximum(-gap, 0).sum(2) <= 1)
+    found = list(zip(query.tolist(), path.tolist(), strict=True))
+    assert len(found) == len(set(found)) == int(np.triu(within).sum())  # one of each two finds the other
+    assert {tuple(sorted(p)) for p in found} == {tuple(sorted(p)) for p in np.argwhere(within).tolist()}
+    assert spent.tolist() == np.abs(gap).sum(2)[query, path].tolist()
     assert Trie([b""]).search(own)[1].tolist() == [0] * len(own)
-    assert vectors(["abba", "", "xé"], "ab", 3).tolist() == [[2, 2, 0], [0, 0, 0], [0, 0, 2]]
+    assert Spelled(["abba", "", "xé"], "ab", 3).vectors.tolist() == [[2, 2, 0], [0, 0, 0], [0, 0, 2]]
 
 
 def test_words_of_odd_texts(spark):
