@@ -20,15 +20,18 @@ APOSTROPHES = "'’‘`´"
 CP1252 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 
 
+@cache
+def _decomposed(form: str) -> dict[str, str]:
+    """What characters are without marks, where that is something else. Syllables that are composed by rule
+    have no entry: they consist of letters that no search word has."""
+    own = (chr(p) for p in range(0x80, 0x110000) if unicodedata.decomposition(chr(p)) and unicodedata.category(chr(p))[0] != "M")
+    bases = ((c, "".join(x for x in unicodedata.normalize(form, c) if unicodedata.category(x)[0] != "M")) for c in own)
+    return {c: base for c, base in bases if base != c}
+
+
 def _bases(form: str) -> tuple[str, str]:
     """Characters that decompose to one base character and marks, and those base characters."""
-    pairs = []
-    for point in range(0x80, 0x20000):
-        if 0xD800 <= point < 0xE000 or unicodedata.category(chr(point))[0] == "M":
-            continue
-        base = [c for c in unicodedata.normalize(form, chr(point)) if unicodedata.category(c)[0] != "M"]
-        if len(base) == 1 and base[0] != chr(point):
-            pairs.append((chr(point), base[0]))
+    pairs = [(c, base) for c, base in _decomposed(form).items() if len(base) == 1]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
@@ -38,12 +41,7 @@ CANONICAL, COMPATIBLE = _bases("NFD"), _bases("NFKD")
 @cache
 def _expansions() -> dict[str, str]:
     """Characters that decompose to several, of which some are letters or digits of ASCII (such as ㎏ or Ⅷ)."""
-    out = {}
-    for point in range(0x80, 0x20000):
-        base = "".join(c for c in unicodedata.normalize("NFKD", chr(point)) if unicodedata.category(c)[0] != "M")
-        if len(base) > 1 and any(c.isascii() and c.isalnum() for c in base):
-            out[chr(point)] = base
-    return out
+    return {c: base for c, base in _decomposed("NFKD").items() if len(base) > 1 and any(x.isascii() and x.isalnum() for x in base)}
 
 
 def col(c: str | Column) -> Column:
@@ -86,14 +84,21 @@ def key(c: str | Column) -> Column:
     return F.regexp_replace(fold(out), "[^a-z0-9]", "")
 
 
+def _taken_apart(c: Column) -> Column:
+    """With characters that stand for several letters or digits spelled out. Most texts have none: ranges tell
+    that fast, translate looks closely."""
+    several = _expansions()
+    low = "".join(c for c in several if ord(c) < 0x100)
+    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    apart = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    has = c.rlike(rf"[{low}\x{{100}}-\x{{10ffff}}]") & (F.length(F.translate(c, "".join(several), "")) < F.length(c))
+    return F.when(has, apart).otherwise(c)
+
+
 def words(c: str | Column) -> Column:
     """The different search words of a name, in order: at least two characters, no stopwords, then
     the joined forms of hyphenated compounds."""
-    out, several = F.translate(col(c), APOSTROPHES, ""), _expansions()
-    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
-    apart = F.array_join(F.transform(F.split(out, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    out = F.when(out.rlike(f"[{''.join(several)}]"), apart).otherwise(out)
-    out = F.lower(strip_accents(out, compatible=True))
+    out = F.lower(strip_accents(_taken_apart(F.translate(col(c), APOSTROPHES, "")), compatible=True))
     compounds = F.transform(F.regexp_extract_all(out, F.lit("[a-z0-9]+(?:-[a-z0-9]+)+"), F.lit(0)), lambda w: F.replace(w, F.lit("-"), F.lit("")))
     each = F.concat(F.split(out, "[^a-z0-9]+"), compounds)
     return F.array_distinct(F.filter(each, lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS)))
