@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators.quality import rejects
+from ..operators.store import shared_folder
 from ..sources import dialect, pages, prices, sinks, substances
 from ..sources.spec import TableSpec
 from .registry import query
 from .table_queries import read
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the place that all machines share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def sql_text(column: str) -> str:
     return f"coalesce({column}, '')"
 
@@ -28,7 +21,7 @@ def sql_text(column: str) -> str:
 @query("dialect_roundtrip", "SELECT doc_id, source, coalesce(text, '') AS text FROM documents")
 def dialect_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     d = read(spark, sf, "documents")
-    path = scratch(spark, "dialect")
+    path = shared_folder(spark, "dialect")
     d.select(dialect.quoted_line(["doc_id", "text", "source"])).write.text(path)
     got = dialect.read_quoted(spark, f"{path}/*.txt", 3)
     return got.select(F.get("fields", F.lit(0)).cast("long").alias("doc_id"), F.get("fields", F.lit(2)).alias("source"), F.get("fields", F.lit(1)).alias("text"))
@@ -37,7 +30,7 @@ def dialect_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query("unquoted_roundtrip", "SELECT p_partkey, p_name || ' \"' || p_brand AS name, p_type FROM part")
 def unquoted_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     p = read(spark, sf, "part").select(F.concat_ws(";", F.col("p_partkey").cast("string"), F.concat("p_name", F.lit(' "'), "p_brand"), F.concat("p_type", F.lit("\r"))))
-    path = scratch(spark, "unquoted")
+    path = shared_folder(spark, "unquoted")
     p.write.text(path)
     f = lambda k: F.get("fields", F.lit(k))
     return dialect.read_unquoted(spark, path).select(f(0).cast("long").alias("p_partkey"), f(1).alias("name"), f(2).alias("p_type"))
@@ -52,14 +45,14 @@ def cp1252_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sorted_parquet", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
 def sorted_parquet(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "sorted")
+    path = shared_folder(spark, "sorted")
     sinks.write_sorted(read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), path, ["o_custkey", "o_orderkey"])
     return spark.read.parquet(path)
 
 
 @query("clean_csv", "SELECT c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segment FROM customer")
 def clean_csv(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "csv")
+    path = shared_folder(spark, "csv")
     c = read(spark, sf, "customer").select("c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("segment"))
     sinks.write_csv(c, path)
     return spark.read.schema("c_custkey long, c_name string, segment string").option("header", True).option("mode", "FAILFAST").csv(path)
@@ -67,7 +60,7 @@ def clean_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("bucket_files", "SELECT o_orderkey, CAST(o_orderkey % 10 AS INTEGER) AS bucket FROM orders")
 def bucket_files(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "buckets")
+    path = shared_folder(spark, "buckets")
     sinks.write_buckets(read(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 10).cast("int").alias("bucket")), path)
     return spark.read.schema("o_orderkey long, bucket int").parquet(path)
 
@@ -75,7 +68,7 @@ def bucket_files(spark: SparkSession, sf: str) -> DataFrame:
 @query("json_pages", "SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status FROM orders")
 def json_pages(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").select(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")).alias("row"), F.floor(F.col("o_orderkey") / 500).alias("number"))
-    path = scratch(spark, "pages")
+    path = shared_folder(spark, "pages")
     o.groupBy("number").agg(F.collect_list("row").alias("content")).withColumn("last", F.lit(False)).repartition("number").write.json(path)
     schema = "number long, last boolean, content array<struct<id:bigint,customer:bigint,status:string>>"
     return spark.read.schema(schema).json(path).select(F.inline("content"))
@@ -104,7 +97,7 @@ def header_drift(spark: SparkSession, sf: str) -> DataFrame:
     fields = {"KEY": F.col("o_orderkey").cast("string"), "STATUS": F.col("o_orderstatus"), "PRIORITY": F.concat("o_orderpriority", F.when(F.col("o_orderkey") % 97 == 0, ";x").otherwise(""))}
     out = []
     for name, order in (("as declared", list(spec.columns)), ("changed", ["STATUS", "KEY", "PRIORITY"])):
-        path = scratch(spark, "headers")
+        path = shared_folder(spark, "headers")
         lines = o.select(F.concat_ws(";", *(fields[c] for c in order)).alias("value"))
         header = spark.range(1).select(F.lit(";".join(order)).alias("value"))
         header.unionByName(lines).write.text(path)
@@ -138,7 +131,7 @@ def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
 @query("price_file_roundtrip", "SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name, CAST(round(p_retailprice * 100) AS INTEGER) AS pf_12, p_size % 5 = 0 AS marked FROM part")
 def price_file_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     shown = F.concat(F.translate(F.format_number("p_retailprice", 2), ",.", ".,"), F.when(F.col("p_size") % 5 == 0, "*").otherwise(""))
-    path = scratch(spark, "prices")
+    path = shared_folder(spark, "prices")
     read(spark, sf, "part").select(F.col("p_partkey").alias("Código"), F.col("p_name").alias(" produto"), shown.alias("PF 12 %"), F.lit("x").alias("obs")).write.option("sep", ";").option("header", True).csv(path)
     got = prices.read_wide(spark, path, {"CÓDIGO": "code", "PRODUTO": "name"}, r"PF ([0-9,]+)%( ALC)?", "pf", {"OBS"})
     return prices.priced(got, ["pf_12"], "marked")

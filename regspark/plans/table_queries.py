@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import typing as ty
 from ..operators import index, lists, merges, rows
+from ..operators.store import shared_folder
 from .registry import query
 
 
@@ -350,10 +351,8 @@ SELECT 'words' AS route, p_partkey FROM part WHERE regexp_matches(lower(p_name),
 UNION ALL SELECT 'company', p_partkey FROM part WHERE p_partkey % 40 = 7 UNION ALL SELECT 'number', p_partkey FROM part WHERE p_partkey = 123""")
 def index_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The index is written, then asked by each of its routes."""
-    from .source_queries import scratch
-
     p = read(spark, sf, "part").withColumn("company", F.lpad((F.col("p_partkey") % 40).cast("string"), 14, "0"))
-    folder = scratch(spark, "index")
+    folder = shared_folder(spark, "index")
     index.write_index(p, folder, "p_name", "company", "p_brand", ["p_partkey"], ["p_partkey"])
     asked = {"words": "Wid, ré", "company": "7".zfill(14), "number": "123"}
     found = [index.look_up(spark, folder, q, "p_partkey", "company").select(F.lit(route).alias("route"), F.col("p_partkey").cast("long")) for route, q in asked.items()]

@@ -1,12 +1,14 @@
 """CSV in two odd dialects.
 
 Quoted: values in quotes, quotes inside them not escaped, line ends allowed. A quote closes a value
-that is not the record's last only before the separator, and the last only before a line end or the end.
+that is not the record's last only before the separator, and the last only before a line end.
 Where that reads over a line end after a quote, the stretch is read again without knowing the width: if
 every record in it then is whole or cut short at a line end, that reading wins and the short ones are
-rejects; else the first stands. Unquoted: one record a line, quotes are ordinary.
+rejects; else the first stands. A record that has no end within ``most`` characters, as after a stray quote, is
+cut short at its line end too. Unquoted: one record a line, quotes are ordinary.
 
-The format cannot be entered in the middle, so a file is one task's; many files are read at once.
+Where a record ends follows from where it begins and from the ``most`` characters after that alone. So a file is
+read in ranges by many tasks (see ranges.py), although its format cannot be entered in the middle.
 """
 
 from __future__ import annotations
@@ -15,43 +17,60 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import CP1252
 
 WINDOWS = {0x80 + k: c for k, c in enumerate(CP1252)}
-SCHEMA = "path string, record long, fields array<string>"
+#: Characters that a record has at most.
+MOST = 4 << 20
+LINE_END = re.compile(r"\r?\n|\r")
+LAST_CLOSES = re.compile(r'"(?:\r?\n|\r)')
+LAST_BARE = re.compile(r'([^"\r\n]*)(?:\r?\n|\r)')
+OVER_LINE = re.compile(r'"\r?\n')
 
 
 @lru_cache
-def _patterns(separator: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+def _patterns(separator: str) -> tuple[re.Pattern, re.Pattern]:
+    """A bare value that is not the last; a value of any kind with what ends it."""
     s = re.escape(separator)
-    inner = re.compile(rf'"((?:[^"]|"(?!{s}))*)"{s}|([^"\r\n{s}]*){s}')
-    last = re.compile(r'"((?:[^"]|"(?!\r?\n|\r|\Z))*)"(\r?\n|\r|\Z)|([^"\r\n]*)(\r?\n|\r|\Z)')
-    blind = re.compile(rf'"((?:[^"]|"(?!{s}|\r?\n|\r|\Z))*)"({s}|\r?\n|\r|\Z)|([^"\r\n{s}]*)({s}|\r?\n|\r|\Z)')
-    return inner, last, blind
+    return re.compile(rf'([^"\r\n{s}]*){s}'), re.compile(rf'"((?:[^"]|"(?!{s}|\r?\n|\r))*)"({s}|\r?\n|\r)|([^"\r\n{s}]*)({s}|\r?\n|\r)')
 
 
-def _one(text: str, at: int, width: int, separator: str) -> tuple[list[str], int] | None:
-    inner, last, _ = _patterns(separator)
+def _one(text: str, at: int, width: int, separator: str, limit: int) -> tuple[list[str], int] | None:
+    """The record of the given width that begins at a place, and where it ends, before the limit."""
+    bare, _ = _patterns(separator)
     fields = []
     for k in range(width):
-        m = (last if k == width - 1 else inner).match(text, at)
-        if not m or m.end() == at:
-            return None
-        fields.append(m[1] if m[1] is not None else (m[3] if k == width - 1 else m[2]))
-        at = m.end()
+        last = k == width - 1
+        if text[at : at + 1] == '"' and at < limit:
+            if last:
+                m = LAST_CLOSES.search(text, at + 1, limit)
+                close, end = (m.start(), m.end()) if m else (-1, 0)
+            else:
+                close = text.find('"' + separator, at + 1, limit)
+                end = close + 1 + len(separator)
+            if close < 0:
+                return None
+            fields.append(text[at + 1 : close])
+            at = end
+        else:
+            m = (LAST_BARE if last else bare).match(text, at, limit)
+            if not m:
+                return None
+            fields.append(m[1])
+            at = m.end()
     return fields, at
 
 
 def _blind(text: str, separator: str) -> list[list[str]] | None:
-    _, _, pattern = _patterns(separator)
+    """The records of a text of whatever width; None if it cannot be read so."""
+    pattern = _patterns(separator)[1]
     records, fields, at = [], [], 0
     while at < len(text):
         m = pattern.match(text, at)
-        if not m or m.end() == at:
+        if not m:
             return None
         fields.append(m[1] if m[1] is not None else m[3])
         if (m[2] if m[2] is not None else m[4]) != separator:
@@ -61,30 +80,30 @@ def _blind(text: str, separator: str) -> list[list[str]] | None:
     return records if not fields else None
 
 
-def records(text: str, width: int, separator: str = ";") -> Iterator[list[str]]:
+def step(text: str, at: int, width: int, separator: str, most: int) -> tuple[list[list[str]], int]:
+    """The record that begins at a place (several, where a stretch is read again; none of an empty line) and where
+    the next one begins. The text ends with a line end."""
+    if text[at] in "\r\n":
+        return [], at + 1
+    found = _one(text, at, width, separator, min(len(text), at + most))
+    if not found:
+        end = LINE_END.search(text, at)
+        short = _blind(text[at : end.end()], separator)
+        return [short[0] if short else text[at : end.start()].split(separator)], end.end()
+    if any(OVER_LINE.search(f) for f in found[0]):
+        span = _blind(text[at : found[1]], separator)
+        if span and len(span) > 1 and all(len(r) <= width for r in span) and len(span[-1]) == width:
+            return span, found[1]
+    return [found[0]], found[1]
+
+
+def records(text: str, width: int, separator: str = ";", most: int = MOST) -> Iterator[list[str]]:
     """The records of a text; those of another width are cut short at their line end."""
     at = 0
+    text += "" if text.endswith(("\n", "\r")) else "\n"
     while at < len(text):
-        if text[at] in "\r\n":
-            at += 1
-            continue
-        found = _one(text, at, width, separator)
-        if found and not any(re.search(r'"\r?\n', f) for f in found[0]):
-            yield found[0]
-            at = found[1]
-            continue
-        if found:
-            span = _blind(text[at : found[1]], separator)
-            if span and len(span) > 1 and all(len(r) <= width for r in span) and len(span[-1]) == width:
-                yield from span
-            else:
-                yield found[0]
-            at = found[1]
-            continue
-        end = re.compile(r"\r?\n|\r|\Z").search(text, at)
-        short = _blind(text[at : end.end()], separator)
-        yield short[0] if short else text[at : end.start()].split(separator)
-        at = max(end.end(), at + 1)
+        found, at = step(text, at, width, separator, most)
+        yield from found
 
 
 def decoded(content: bytes, encoding: str) -> str:
@@ -94,22 +113,11 @@ def decoded(content: bytes, encoding: str) -> str:
     return text.removeprefix("\ufeff")
 
 
-def read_quoted(spark: SparkSession, path: str, width: int, separator: str = ";", encoding: str = "utf-8") -> DataFrame:
-    """path, record (from 1; the header is 1), fields."""
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                rows: list[list[str]] = []
-                n = 0
-                for r in records(decoded(content, encoding), width, separator):
-                    rows.append(r)
-                    if len(rows) == 5000:
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(range(n + 1, n + 1 + len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], ["path", "record", "fields"])
-                        n, rows = n + len(rows), []
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(range(n + 1, n + 1 + len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], ["path", "record", "fields"])
+def read_quoted(spark: SparkSession, path: str, width: int, separator: str = ";", encoding: str = "utf-8", **limits: int) -> DataFrame:
+    """path, record (from 1; the header is 1), fields; each file by as many tasks as it has ranges."""
+    from .ranges import read_ranges
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, SCHEMA)
+    return read_ranges(spark, path, width, separator, encoding, **limits)
 
 
 def read_unquoted(spark: SparkSession, path: str, separator: str = ";") -> DataFrame:
