@@ -63,8 +63,3 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key comes twice; at most ten are named."""
     guard(duplicate_keys(df, keys).withColumn("failed", F.lit(True)))
 
-
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows, xor and sum of row hashes: equal for equal rows in any order."""
-    h = F.xxhash64(*df.columns)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("bits"), F.sum(h.cast("decimal(20,0)")).alias("total"))

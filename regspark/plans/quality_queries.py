@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import typing as ty
-from ..operators import quality, refresh
+from ..operators import fingerprint, quality, refresh
+from ..operators.store import shared_folder
 from ..sources import manifest
+from ..sources.builds import Builds, Snapshot, Source
+from ..sources.spec import Catalogue, Derived, TableSpec
 from .registry import query
 from .table_queries import read
 
@@ -85,13 +91,90 @@ def disjoint_keys(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(b, "k", "left_semi").distinct().agg(F.count(F.lit(1)).alias("common"))
 
 
-@query("content_fingerprint")
+#: The columns of the tables whose kinds need more than a cast to text.
+DOUBLES = {"c_acctbal", "s_acctbal", "p_retailprice", "o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "value"}
+STAMPS = {"o_orderdate", "l_shipdate", "ts"}
+COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice", "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate", "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars", "embeddings": "vec_id embedding label", "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+
+
+def hash_sql(columns: str) -> str:
+    """A row's hash in SQL."""
+
+    def text(c: str) -> str:
+        if c == "embedding":
+            return f"'[' || array_to_string(list_transform({c}, lambda x: CASE WHEN x IS NULL THEN 'n' ELSE 'v' || CAST(CAST(CAST(x AS DOUBLE) AS DECIMAL(38, 9)) AS VARCHAR) END), ',') || ']'"
+        return f"CAST(CAST({c} AS DECIMAL(38, 9)) AS VARCHAR)" if c in DOUBLES else f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if c in STAMPS else f"CAST({c} AS VARCHAR)"
+
+    each = " || chr(31) || ".join(f"CASE WHEN {c} IS NULL THEN 'n' ELSE 'v' || {text(c)} END" for c in columns.split())
+    return f"CAST('0x' || substr(md5({each}), 1, 15) AS BIGINT)"
+
+
+@query("content_fingerprint", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, bit_xor(h) AS bits, CAST(sum(h) AS VARCHAR) AS total FROM (SELECT {hash_sql(columns)} AS h FROM {t})" for t, columns in COLUMNS.items()))
 def content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
-    prints = [quality.fingerprint(read(spark, sf, t)).select(F.lit(t).alias("name"), "rows", "bits", F.col("total").cast("string").alias("total")) for t in TABLES]
-    out = prints[0]
-    for p in prints[1:]:
-        out = out.unionByName(p)
-    return out
+    prints = [fingerprint.fingerprint(read(spark, sf, t)).select(F.lit(t).alias("name"), "rows", "bits", F.col("total").cast("string").alias("total")) for t in TABLES]
+    return reduce(DataFrame.unionByName, prints)
+
+
+@query("changed_ranges", f"""
+WITH a AS (SELECT o_orderkey AS k, {hash_sql(COLUMNS["orders"])} AS h FROM orders),
+b AS (SELECT o_orderkey AS k, {hash_sql(COLUMNS["orders"])} AS h FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 3331 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders WHERE o_orderkey % 2999 <> 7)),
+x AS (SELECT k >> 9 AS node, count(*) AS n, bit_xor(h) AS bits, sum(h) AS total FROM a GROUP BY 1), y AS (SELECT k >> 9 AS node, count(*) AS n, bit_xor(h) AS bits, sum(h) AS total FROM b GROUP BY 1)
+SELECT node << 9 AS low, (node << 9) + 511 AS high, coalesce(x.n, 0) AS rows_before, coalesce(y.n, 0) AS rows_after FROM x FULL JOIN y USING (node) WHERE (x.n, x.bits, x.total) IS DISTINCT FROM (y.n, y.bits, y.total)""")
+def changed_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    o = read(spark, sf, "orders")
+    status = F.when(F.col("o_orderkey") % 3331 == 0, "X").otherwise(F.col("o_orderstatus"))
+    now = o.filter("o_orderkey % 2999 <> 7").withColumn("o_orderstatus", status)
+    before, after = (fingerprint.digests(x, "o_orderkey", leaf_bits=9) for x in (o, now))
+    return fingerprint.changed_ranges(before, after, leaf_bits=9)
+
+
+ORDERS = TableSpec("orders", {"ORDER": "int", "CUSTOMER": "int", "PRIORITY": "string", "DAY": "date"}, sort=("CUSTOMER", "ORDER"), loaded="DAY")
+CUSTOMERS = TableSpec("customers", {"CUSTOMER": "int", "SEGMENT": "string"}, sort=("CUSTOMER",))
+
+
+def _per_segment(have: dict[str, DataFrame]) -> DataFrame:
+    both = have["orders"].join(have["customers"], "customer")
+    return both.groupBy("segment").agg(F.count(F.lit(1)).alias("orders"), F.max("day").alias("latest"))
+
+
+def _published(spark: SparkSession, sf: str) -> Snapshot:
+    """Two builds: of orders until some day and customers; then of all orders, while customers cannot be opened."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    when = F.when(k % 97 == 0, "31/02/2020").otherwise(F.date_format(day, "d/M/yyyy"))
+    fields = F.array(k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderpriority"), when)
+    o = read(spark, sf, "orders").select(F.when(k % 2003 == 0, F.array_append(fields, "x")).otherwise(fields).alias("fields"), day.alias("_day"))
+    c = read(spark, sf, "customer").select(F.array(F.col("c_custkey").cast("string"), F.col("c_mktsegment")).alias("fields"))
+
+    def closed() -> Source:
+        raise OSError("403")
+
+    catalogue = Catalogue(ORDERS, CUSTOMERS, Derived("per_segment", ("orders", "customers"), _per_segment, ("segment",)))
+    builds = Builds(spark, shared_folder(spark, "builds"))
+    builds.publish(catalogue, {"orders": lambda: Source(o.filter("_day < '2001-07-01'"), "1"), "customers": lambda: Source(c, "1")}, dt.datetime(2024, 1, 1))
+    builds.publish(catalogue, {"orders": lambda: Source(o, "2"), "customers": closed}, dt.datetime(2024, 1, 2))
+    return builds.live()
+
+
+@query("published_build", """
+SELECT 'orders' AS name, 'built' AS action, count(*) FILTER (o_orderkey % 2003 <> 0) AS rows, count(*) FILTER (o_orderkey % 97 = 0 AND o_orderkey % 2003 <> 0) AS lost, count(*) FILTER (o_orderkey % 2003 = 0) AS rejected,
+  CAST(max(o_orderdate) FILTER (o_orderkey % 97 <> 0 AND o_orderkey % 2003 <> 0) AS DATE) AS loaded, NULL AS error FROM orders
+UNION ALL SELECT 'customers', 'kept', count(*), 0, 0, NULL, 'OSError: 403' FROM customer
+UNION ALL SELECT 'per_segment', 'built', count(DISTINCT c_mktsegment), 0, 0, (SELECT CAST(max(o_orderdate) FILTER (o_orderkey % 97 <> 0 AND o_orderkey % 2003 <> 0) AS DATE) FROM orders), NULL
+  FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderkey % 2003 <> 0""")
+def published_build(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _published(spark, sf).manifest()
+    return rows.select("name", "action", "rows", F.coalesce(F.try_element_at("nulls_added", F.lit("day")), F.lit(0)).alias("lost"), "rejected", F.col("loaded").cast("date").alias("loaded"), "error")
+
+
+@query("published_tables", """
+SELECT c_mktsegment AS segment, count(*) AS orders, CAST(max(o_orderdate) FILTER (o_orderkey % 97 <> 0) AS DATE) AS latest FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderkey % 2003 <> 0 GROUP BY 1""")
+def published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return _published(spark, sf).read("per_segment")
 
 
 @query("incremental_refresh", """

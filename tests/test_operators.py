@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from regspark.functions import text as tx
 from regspark.functions import typing as ty
 from regspark.operators import index, lists, merges, quality, refresh, rows
+from regspark.operators.fingerprint import fingerprint
 from regspark.plans import derive
 
 
@@ -82,7 +83,7 @@ def test_guards(spark):
         quality.guard(p)
     quality.guard(p.filter("name = 'b'"))
     a = spark.createDataFrame([(1, "x"), (2, None)], "i int, s string")
-    assert quality.fingerprint(a).collect() == quality.fingerprint(a.orderBy(F.desc("i"))).collect() != quality.fingerprint(a.limit(1)).collect()
+    assert fingerprint(a).collect() == fingerprint(a.orderBy(F.desc("i"))).collect() != fingerprint(a.limit(1)).collect()
 
 
 def test_refresh_keeps_going_after_a_failure():
