@@ -9,9 +9,11 @@ page alone is a wrapper of itself, so inference is the same step from two pages
 1. Names are counted per host and place: one that fewer than 2 % of a host's pages have there (the id of a
    heading, say, or a hash) gives way to its tag, so that a wrapper's size depends on the template, not
    on the number of pages. Below ``DEEPEST`` levels nodes count as their parents.
-2. Texts are counted per host, place and text over different pages. A slot whose texts mostly recur (on three
-   pages or more: menus, rotating adverts, footers) is a slot of the template; a text that most pages have
-   is a constant of the wrapper.
+2. Texts are counted per host, place and text over different stories. Pages whose longest text (but for those that
+   nearly all pages have) is the same are one story: revisions of an article do not make it a template. A slot whose
+   texts mostly recur (in three stories or more: menus, rotating adverts, footers) is a slot of the template; a
+   text that nearly all pages and stories have is a constant of the wrapper. Where constants would take more than a
+   third of what a host's articles hold, they are its articles.
 3. Each task folds the pages of a host that it reads into one wrapper; wrappers of a host are folded in
    salted groups, then once more. What moves is wrappers, counts and digests; no group of pages is collected.
 4. The wrapper decides: the main text is what fills the content slots under the article (or main) tag or, without
@@ -208,14 +210,16 @@ def text_mark(slot: int, text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"), slot + (1 << 63)) - (1 << 63)
 
 
-def texts_of(page: str, frequent: frozenset[int] | None) -> set[tuple[int, int]]:
-    """(slot, text in it) of a page's texts."""
-    found, slots = set(), {}
+def texts_of(page: str, frequent: frozenset[int] | None) -> dict[tuple[int, int], tuple[int, bool]]:
+    """(slot, text in it) of a page's texts: (words, whether it is an article's own, headings apart)."""
+    found, slots = {}, {}
     for path, event, text in walk(page, frequent):
         if event == "text" and (own := squeeze(text)):
             if path not in slots:
-                slots[path] = slot_mark(path)
-            found.add((slots[path], text_mark(slots[path], own)))
+                tags = [parts_of(k)[0] for k in path]
+                slots[path] = slot_mark(path), ("article" in tags or "main" in tags) and not HEADINGS.intersection(tags)
+            slot, inside = slots[path]
+            found[slot, text_mark(slot, own)] = len(own.split()), inside
     return found
 
 
@@ -413,8 +417,14 @@ def has_heading(node: dict) -> bool:
     return any(parts_of(key)[0] in HEADINGS or has_heading(kid) for key, kid in node["kids"].items())
 
 
+def settled(wrapper: dict, shared: frozenset[int] = NOTHING) -> tuple[list[list[str]], frozenset[int]]:
+    """Paths of the content slots, and the marks that still count (none where pages are copies of each other)."""
+    own = Rules(wrapper, shared)
+    return own.kept_paths(), own.shared
+
+
 def kept_paths(wrapper: dict, shared: frozenset[int] = NOTHING) -> list[list[str]]:
-    return Rules(wrapper, shared).kept_paths()
+    return settled(wrapper, shared)[0]
 
 
 def text_under(page: str, paths: set[tuple[str, ...]], frequent: frozenset[int] | None = None, shared: frozenset[int] = NOTHING) -> str:
@@ -519,46 +529,62 @@ def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
     return some.repartition("host").mapInArrow(fold_with(["host"]), "host string, wrapper string")
 
 
-def shared_marks(pages: DataFrame, least_pages: int = 4, recurs: int = 3) -> DataFrame:
+def shared_marks(pages: DataFrame, least_stories: int = 4, recurs: int = 3, nearly_all: int = 90) -> DataFrame:
     """host, shared (marks as bytes): template slots and constant texts of the hosts (host, html, frequent) that
-    have at least least_pages different pages."""
+    have at least least_stories different stories."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, frozenset] = {}
+        types = {"host": pa.string(), "page": pa.int64(), "slot": pa.int64(), "text": pa.int64(), "words": pa.int32(), "inside": pa.bool_()}
         for batch in slices(batches):
             rows = []
             for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
                 own = xxhash.xxh3_64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)
-                rows += [(host, *m, own) for m in texts_of(page, marks_in(names, known))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "slot", "text", "page"])
+                rows += [(host, own, *m, *about) for m, about in texts_of(page, marks_in(names, known)).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types.values())], list(types))
 
     # pages that are equal count once
-    counts = materialise(pages.mapInArrow(count, "host string, slot long, text long, page long").distinct().groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n")), "texts")
+    places = materialise(pages.mapInArrow(places_of, "host string, page long, slot long, text long, words int, inside boolean").distinct(), "places")
+    text = ["host", "slot", "text"]
+    seen = materialise(places.groupBy(*text).agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words"), F.first("inside").alias("inside")), "texts")
     hosts = materialise(pages.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "pages-of-hosts")
-    large = small(hosts.filter(F.col("pages") >= least_pages), 100_000)
+    large = small(hosts.filter(F.col("pages") >= least_stories), 100_000)
+    # at most a page's texts a host
+    constant = materialise(seen.join(large, "host").filter(F.col("n") * 100 >= F.col("pages") * nearly_all).select(*text, "words", "inside", "n"), "constants")
+    held = seen.filter("inside").groupBy("host").agg(F.sum(F.col("n") * F.col("words")).alias("held"))
+    taken = constant.filter("inside").groupBy("host").agg(F.sum(F.col("n") * F.col("words")).alias("taken"))
+    revisions = taken.join(held, "host").filter(F.col("taken") * 3 > F.col("held")).select("host")
+    rated = places.join(constant.select(*text, F.lit(True).alias("lasts")), text, "left").groupBy("host", "page").agg(F.max(F.when(F.col("lasts").isNull(), F.struct("words", "text"))).alias("longest"))
+    stories = materialise(rated.select("host", "page", F.coalesce("longest.text", "page").alias("story")), "stories")
+    several = materialise(stories.groupBy("host").agg(F.count_distinct("story").alias("stories")).filter(F.col("stories") >= least_stories), "several-stories")
+    several = small(several, 100_000)
+    told = places.join(several, "host", "left_semi").join(stories, ["host", "page"]).groupBy(*text, "story").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(told.groupBy(*text).agg(F.count(F.lit(1)).alias("n")), "texts-of-stories")
     slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") >= recurs, F.col("n"))).alias("again"))
-    template = slots.filter(F.col("again") * 2 > F.col("all")).join(large, "host").select("host", F.col("slot").alias("mark"))
-    # at most twice the texts of a page
-    constant = counts.filter(F.col("n") >= recurs).join(large, "host").filter(F.col("n") * 2 > F.col("pages")).select("host", F.col("text").alias("mark"))
-    every = template.unionByName(constant).groupBy("host").agg(F.collect_list("mark").alias("marks"))
+    template = slots.filter(F.col("again") * 2 > F.col("all")).select("host", F.col("slot").alias("mark"))
+    lasting = counts.join(several, "host").filter(F.col("n") * 100 >= F.col("stories") * nearly_all).select(*text)
+    lasting = lasting.join(constant.select(*text, "inside"), text)
+    lasting = lasting.join(revisions.withColumn("revised", F.lit(True)), "host", "left").filter(~(F.col("inside") & F.col("revised").isNotNull())).select("host", F.col("text").alias("mark"))
+    every = template.unionByName(lasting).groupBy("host").agg(F.collect_list("mark").alias("marks"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch["host"], pa.array([np.array(m, np.int64).tobytes() for m in batch["marks"].to_pylist()], pa.binary())], ["host", "shared"])
 
     out = materialise(every.mapInArrow(pack, "host string, shared binary"), "shared-marks")
-    discard(counts, hosts)
+    discard(places, seen, hosts, constant, stories, counts)
     return out
 
 
 def rules(wrappers: DataFrame, shared: DataFrame) -> DataFrame:
-    """host, paths (JSON) of the content slots, shared."""
+    """host, paths (JSON) of the content slots, shared (the marks that count)."""
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, frozenset] = {}
         for batch in slices(batches):
-            paths = [json.dumps(kept_paths(json.loads(w), marks_in(s, known) or NOTHING)) for w, s in zip(batch["wrapper"].to_pylist(), batch["shared"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(paths, pa.string()), batch["shared"]], ["host", "paths", "shared"])
+            found = [settled(json.loads(w), marks_in(s, known) or NOTHING) for w, s in zip(batch["wrapper"].to_pylist(), batch["shared"].to_pylist(), strict=True)]
+            marks = pa.array([own if counts else None for (_, counts), own in zip(found, batch["shared"].to_pylist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array([json.dumps(paths) for paths, _ in found], pa.string()), marks], ["host", "paths", "shared"])
 
     return wrappers.join(shared, "host", "left").mapInArrow(decide, "host string, paths string, shared binary")
 

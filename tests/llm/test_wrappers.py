@@ -1,6 +1,9 @@
+from collections import Counter
+
+import numpy as np
 import pyarrow.parquet as pq
 
-from regspark.llm.wrappers import align, expression, frequent_names, infer, kept_paths, main_text, main_texts, op3_html_wrappers, wrapper_of
+from regspark.llm.wrappers import align, expression, frequent_names, infer, kept_paths, main_text, main_texts, op3_html_wrappers, shared_marks, texts_of, wrapper_of
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p><article>no</article>";</script></head><body class="home">
 <header><a href="/">Site</a></header><nav><ul><li><a href="/x">menu {0}</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
@@ -107,6 +110,53 @@ def test_articles_that_recur_stay(spark):
     assert got == {k: f"Title {k % 3}\nThe long text of story {k % 3}\nAnd its end {k % 3}" for k in range(12)}
 
 
+def revisions(n):
+    """Three revisions of one story, then other stories of the same host."""
+    page = "<body><nav><a>m{0}</a></nav><article><h1>Title {0}</h1><p>own words of page {0} stand here alone</p>{1}</article></body>"
+    both = "<p>The first paragraph that all revisions hold</p><p>And a second one, word by word</p>"
+    return [page.format(k, both if k < 3 else f"<p>Other text {k}</p>") for k in range(n)]
+
+
+def test_revisions_lose_nothing(spark):
+    """Whatever the number of a host's other pages."""
+    for n in (3, 4, 5, 8, 30):
+        rows = [(k, "http://a/x", p) for k, p in enumerate(revisions(n))]
+        got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        for k in range(3):
+            assert got[k] == f"Title {k}\nown words of page {k} stand here alone\nThe first paragraph that all revisions hold\nAnd a second one, word by word"
+    page = "<body><article><h1>Title {0}</h1><p>mine {0}</p><p>A paragraph that is the same in all revisions</p></article></body>"
+    rows = [(k, "http://a/x", page.format(k)) for k in range(9)]  # nothing but revisions
+    got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k}\nmine {k}\nA paragraph that is the same in all revisions" for k in range(9)}
+
+
+def brute_shared(pages, least_stories=4, recurs=3, nearly_all=90):
+    """Template slots and constants of one host by plain sets."""
+    own = {p: texts_of(p, None) for p in pages}
+    n = Counter(m for texts in own.values() for m in texts)
+    constants = {m for m in n if len(own) >= least_stories and n[m] * 100 >= len(own) * nearly_all}
+    about = {m: a for texts in own.values() for m, a in texts.items()}
+    size = lambda some: sum(n[m] * about[m][0] for m in some if about[m][1])
+    revised = 3 * size(constants) > size(n)
+    longest = {p: max(((about[m][0], m[1]) for m in texts if m not in constants), default=(0, p))[1] for p, texts in own.items()}
+    if len(set(longest.values())) < least_stories:
+        return set()
+    stories = Counter(m for m, _ in {(m, longest[p]) for p, texts in own.items() for m in texts})
+    slots = {slot for slot, _ in stories}
+    template = {s for s in slots if 2 * sum(c for m, c in stories.items() if m[0] == s and c >= recurs) > sum(c for m, c in stories.items() if m[0] == s)}
+    return template | {m[1] for m in constants if stories[m] * 100 >= len(set(longest.values())) * nearly_all and not (revised and about[m][1])}
+
+
+def test_slots_and_constants_against_plain_sets(spark):
+    body = "<body><article><h1>Title {0}</h1><h2>Abstract</h2><p>Text {0} here</p><p>Subscribe to our letter now</p><p>More {0}</p></article></body>"
+    hosts = {"plain": plain_pages(12), "few": plain_pages(3), "constants": [body.format(k) for k in range(8)], **{f"revisions{n}": revisions(n) for n in (3, 4, 9, 30)}}
+    rows = [(h, p, None) for h, pages in hosts.items() for p in [*pages, pages[0]]]
+    got = {r["host"]: set(np.frombuffer(r["shared"], np.int64).tolist()) for r in shared_marks(spark.createDataFrame(rows, "host string, html string, frequent binary")).collect()}
+    want = {h: brute_shared(pages) for h, pages in hosts.items()}
+    assert got == {h: m for h, m in want.items() if m}
+    assert want["plain"] and want["constants"] and not want["few"]
+
+
 def test_names_inside_an_article():
     ids = ("related-work", "search-methods", "legal-framework", "share-prices", "discussion")
     own = "".join(f"<section id='{i}'><h2>{i}</h2><p>On {i} {{0}}</p></section>" for i in ids)
