@@ -1,22 +1,22 @@
 """Operator 8. Repeated passages by content-defined chunks of a gear rolling hash, then exact comparison.
 
-``repeated_passages`` does the job: every passage of ``least_words`` (15) whole words or more that two documents
-share, letter by letter with the white space between its words, is found whole.
-
-1. A gear hash over words, h = 2^s h + G[word] in 64 bits, depends on the last k (8) words only. Of every
-   ``least_words - k + 1`` neighbouring positions, the one with the least hash (the last of equals) ends a
-   chunk of k words, so any ``least_words`` words have a chunk wherever they stand: two documents with
-   the same ``least_words`` words have an equal digest. This also holds for repeated phrases and lines.
-2. Chunks find candidates only. Digests that more than one document has go back to their documents, and each
-   window of ``least_words`` words whose chunk is among them is compared by a digest of its own text.
-   Overlapping and adjoining repeated windows form a span, which thus ends at the exact word.
-
-The first document (smallest doc_id) that has a window keeps it. Digests have 64 bits; two different
-windows of the corpus share one with a chance of 2^-64.
-
-``repeated_spans`` is the coarser search by byte chunks alone: its hash h = 2h + G[byte], of 16 bits, depends on the
-last 16 bytes, a chunk ends where its top five bits are zero, and whole chunks with at least ``least_words``
-words form a span. It loses part chunks at both ends of a passage, and so some passages; no query uses it.
+``repeated_passages`` finds every passage of ``least_words`` (15) whole words or more that two documents
+share, letter by letter with the white space between its words, whole.
+
+1. A gear hash over words, h = 2^s h + G[word] in 64 bits, depends on the last k words only. Where it is the least
+   (the last of equals) of ``reach`` neighbouring places, the text is cut. A chunk runs from one cut to the
+   next, ``reach`` words at most; an insertion moves the cuts within its reach only, all others stay on
+   their words. A chunk's digest is of its words and of the k words before, which made the cut.
+2. Chunks are deduplicated by digest: each digest has a first document. Of any ``least_words`` words,
+   wherever they stand, two cuts and the chunk between them depend on these words alone (2 reach + k - 1
+   <= least_words), and so two documents that share them share that chunk.
+3. Digests that more than one document has go back to their documents. There a repeated chunk is extended word by
+   word: of the windows of ``least_words`` words whose chunk it is, those that are repeated letter by letter are told
+   by a digest of their own text; those that overlap or adjoin form a span, which thus ends at the exact word.
+
+The first document (smallest doc_id) that has a window keeps it. Digests of windows have 64 bits; two different
+windows of the corpus share one with a chance of 2^-64. Digests of chunks have 48: one that is shared by
+chance costs a comparison.
 
 Defined cases: null and empty texts have no chunks; a row without doc_id takes no part; equal rows
 of one doc_id are one document; repeats inside one document do not count; of documents with one passage
@@ -38,86 +38,34 @@ from pyspark.sql import functions as F
 from .common import discard, materialise, private, prose, small
 from .words import slices
 
-#: The gear: a random 16-bit number for each byte.
-GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 20) & 0xFFFF for b in range(256)], np.uint16)
 #: White space of ASCII, as bytes.split() has it.
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
-def cuts(data: np.ndarray, bits: int = 5) -> np.ndarray:
-    """The ends (in bytes) of the chunks of a UTF-8 text."""
-    if not len(data):
-        return np.empty(0, np.int64)
-    h = GEAR[data]
-    for step in (1, 2, 4, 8):  # after all steps each hash covers 16 bytes
-        h[step:] += h[:-step] << np.uint16(step)
-    starts = (data[1:] & 0xC0) != 0x80  # never inside a character
-    ends = np.flatnonzero((h[:-1] >> np.uint16(16 - bits) == 0) & starts) + 1
-    return np.append(ends, len(data))
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of doc_id and text), digests, ends (code points), words (that begin in the chunk)."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            digests, ends, words = [], [], []
-            for text in batch["text"].to_pylist():
-                raw = text.encode("utf-8", "replace")
-                data = np.frombuffer(raw, np.uint8)
-                at = cuts(data)
-                edges = [0, *at.tolist()]
-                digests.append(np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(edges, edges[1:], strict=False)], np.uint64).view(np.int64))
-                ends.append(np.cumsum((data & 0xC0) != 0x80)[at - 1])
-                space = (data <= 32).astype(np.int8)
-                begun = np.cumsum(np.diff(space, prepend=1) == -1)[at - 1] if len(at) else at
-                words.append(np.diff(begun, prepend=0))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.array(digests, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.int32()))], ["doc_id", "key", "digests", "ends", "words"])
-
-    own = prose(docs).filter("doc_id is not null and text <> ''").withColumn("key", F.xxhash64("doc_id", "text"))
-    return own.mapInArrow(cut, "doc_id long, key long, digests array<bigint>, ends array<int>, words array<int>")
-
-
-def repeated_spans(docs: DataFrame, least_words: int = 15) -> DataFrame:
-    """doc_id, key, start, end, n_words, first_doc_id, kept: the repeated spans of each document, cut
-    where the part that this document keeps (it has those chunks first) begins or ends."""
-    cut = materialise(chunks(docs), "chunks")
-    each = cut.select(F.explode("digests").alias("digest"), "doc_id").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    repeated = materialise(each.filter(F.col("first") < F.col("last")).select("digest", "first"), "repeated")
-    places = cut.select("key", F.posexplode("digests").alias("i", "digest")).join(repeated, "digest").select("key", "i", "first")
-    # the documents' own chunks again, with a mark on the repeated ones; a document is one row
-    marks = places.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("i", "first"))).alias("marks"))
-    found = marks.join(cut.drop("digests").dropDuplicates(["key"]), "key")
-    one = found.select("doc_id", "key", "ends", "words", F.explode("marks").alias("m")).select(
-        "doc_id", "key", "m.i", "m.first", F.when(F.col("m.i") > 0, F.get("ends", F.col("m.i") - 1)).otherwise(0).alias("start"), F.get("ends", F.col("m.i")).alias("end"), F.get("words", F.col("m.i")).alias("w")
-    )
-    run = F.col("i") - F.row_number().over(Window.partitionBy("key").orderBy("i"))
-    spans = one.withColumn("run", run).groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("w").cast("int").alias("n_words"), F.min("first").alias("first_doc_id"),
-        F.sort_array(F.collect_list(F.when(F.col("first") < F.col("doc_id"), F.struct("start", "end")))).alias("removed"),
-    )
-    return spans.filter(F.col("n_words") >= least_words).drop("run")
+def cuts(gear: np.ndarray, k: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a text of words is cut, given a random number for each word: (the first of the k words that made each cut, and
+    for each ``reach`` places in a row which of these it is). The cut is after the k-th word."""
+    h = gear[k - 1 :].copy()  # of the k words from each word on
+    for t in range(1, k):
+        h += gear[k - 1 - t : len(gear) - t] << np.uint64(64 // k * t)
+    least = np.arange(reach - 1, len(h)) - np.lib.stride_tricks.sliding_window_view(h, reach)[:, ::-1].argmin(1)
+    return np.unique(least, return_inverse=True)
 
 
 def word_chunks(raw: bytes, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """Starts and ends (bytes) of the words, for each window of least_words words which chunk it has, and
-    the chunks' digests. None if there is no window."""
+    """Starts and ends (bytes) of the words, for each window of least_words words which chunk is its first whole
+    one, and the chunks' digests. None if there is no window."""
     words = raw.split()
     if len(words) < least_words:
         return None
     space = SPACE[np.frombuffer(raw, np.uint8)]
     edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
-    k = min(8, (least_words + 1) // 2)
-    gear = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    h = gear[k - 1 :].copy()  # of the k words from each word on
-    for t in range(1, k):
-        h += gear[k - 1 - t : len(gear) - t] << np.uint64(64 // k * t)
-    width = least_words - k + 1
-    at = np.arange(width - 1, len(h)) - np.lib.stride_tricks.sliding_window_view(h, width)[:, ::-1].argmin(1)
-    firsts, which = np.unique(at, return_inverse=True)
-    digests = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[firsts].tolist(), ends[firsts + k - 1].tolist(), strict=True)], np.uint64)
-    return starts, ends, which, digests.view(np.int64)
+    k = max(1, min(2, (least_words + 1) // 3))
+    reach = (least_words - k + 1) // 2
+    at, which = cuts(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64), k, reach)
+    digests = [xxhash.xxh3_64_intdigest(raw[a:b]) >> 16 for a, b in zip(starts[at[:-1]].tolist(), ends[at[1:] + k - 1].tolist(), strict=True)]
+    return starts, ends, which[: len(words) - least_words + 1], np.array(digests, np.int64)
 
 
 def repeated_digests(table: DataFrame, name: str) -> DataFrame:
@@ -135,6 +83,8 @@ def joined(at: np.ndarray, length: int) -> list[tuple[int, int]]:
 def repeated_passages(docs: DataFrame, least_words: int = 15) -> DataFrame:
     """doc_id, key, start, end, n_words, first_doc_id, removed: the passages of least_words words or more that
     other documents have as well; removed lists the parts that an earlier document has."""
+    if least_words < 2:
+        raise ValueError("a passage has two words at least")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

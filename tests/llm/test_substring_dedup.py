@@ -3,71 +3,58 @@ import re
 
 import numpy as np
 
-from regspark.llm.substring_dedup import GEAR, cuts, repeated_passages, repeated_spans, without_repeats
+from regspark.llm.substring_dedup import cuts, repeated_passages, without_repeats, word_chunks
 
 
-def brute_cuts(raw):
-    h, out = 0, []
-    for i, b in enumerate(raw):
-        h = ((h << 1) + int(GEAR[b])) & 0xFFFF
-        if h >> 11 == 0 and i + 1 < len(raw) and raw[i + 1] & 0xC0 != 0x80:
-            out.append(i + 1)
-    return [*out, len(raw)] if raw else []
+def test_chunks_run_from_cut_to_cut():
+    """Cuts are the least hashes of any neighbours; chunks tile the text between them and are short."""
+    rng = np.random.default_rng(1)
+    for k, reach in ((1, 3), (2, 7), (4, 5)):
+        gear = rng.integers(0, 2**63, 400).astype(np.uint64)
+        gear[100:200] = gear[100]  # one word again and again
+        h = [sum(int(gear[p + k - 1 - t]) << (64 // k * t) for t in range(k)) % 2**64 for p in range(400 - k + 1)]
+        want = {max(range(p, p + reach), key=lambda q: (-h[q], q)) for p in range(len(h) - reach + 1)}
+        at, which = cuts(gear, k, reach)
+        assert at.tolist() == sorted(want) and np.diff(at).max() <= reach
+        assert at[which].tolist() == [max(range(p, p + reach), key=lambda q: (-h[q], q)) for p in range(len(h) - reach + 1)]
 
 
-def test_cuts_are_the_rolling_hash():
-    rng = random.Random(1)
-    for _ in range(50):
-        raw = "".join(rng.choices("abcdé😀 \n", k=rng.randrange(0, 400))).encode()
-        assert cuts(np.frombuffer(raw, np.uint8)).tolist() == brute_cuts(raw)
+def test_an_insertion_moves_no_other_cut():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
+    before = word_chunks(" ".join(words).encode(), 15)[3].tolist()
+    after = word_chunks(" ".join([*words[:150], "one", "two", *words[150:]]).encode(), 15)[3].tolist()
+    assert len(set(before) - set(after)) <= 6 and len(before) > 60
+    assert len({len(w) for w in (before, after)}) <= 2
 
 
-def brute_spans(docs, least):
-    """Chunk by chunk, with plain sets."""
-    own, where = {}, {}
-    for doc_id, text in docs:
-        if doc_id is None or not text:
-            continue
-        raw, at, parts = text.encode(), 0, []
-        for e in brute_cuts(raw):
-            parts.append((len(raw[:at].decode()), len(raw[:e].decode()), raw[at:e], sum(raw[k] > 32 and (k == 0 or raw[k - 1] <= 32) for k in range(at, e))))
-            at = e
-        own[doc_id, text] = parts
-        for p in parts:
-            where.setdefault(p[2], set()).add(doc_id)
-    out = set()
-    for (doc_id, _), parts in own.items():
-        run = []
-        for p in [*parts, (0, 0, None, 0)]:
-            if p[2] is not None and len(where[p[2]]) > 1:
-                run.append(p)
-            else:
-                if sum(r[3] for r in run) >= least:
-                    out.add((doc_id, run[0][0], run[-1][1]))
-                run = []
-    return out
+def text_of(rng, words):
+    return lambda n: " ".join(rng.choices(words, k=n) + [str(rng.random())])
 
 
-def test_brute_force_and_insertions(spark):
+def test_copies_keep_the_first(spark):
     rng = random.Random(4)
-    words = [f"{a}{b}" for a in "kltr" for b in ("ab", "éno", "iru", "osta", "u", "ytter")]
-    text = lambda n: " ".join(rng.choices(words, k=n) + [str(rng.random())])
+    text = text_of(rng, [f"{a}{b}" for a in "kltr" for b in ("ab", "éno", "iru", "osta", "u", "ytter")])
     passage = text(60)
     docs = [(k, f"{text(rng.randrange(5, 80))} {passage} {text(rng.randrange(5, 80))}") for k in range(12)]
     docs += [(k, text(100)) for k in range(20, 40)] + [(50, docs[0][1]), (51, docs[0][1]), (51, docs[0][1]), (60, text(400) * 2), (None, docs[0][1]), (61, None), (62, "")]
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, key string")
-    rows = repeated_spans(df).collect()
-    assert {(r["doc_id"], r["start"], r["end"]) for r in rows} == brute_spans(docs, 15)
-    assert {r["doc_id"] for r in rows} == {*range(12), 50, 51}
-    for r in rows:
-        assert r["first_doc_id"] == 0
+    rows = repeated_passages(df).collect()
+    own = dict(d for d in docs if d[0] is not None)
+    for k in [*range(12), 50, 51]:
+        at = own[k].index(passage)
+        assert any(r["doc_id"] == k and r["start"] <= at and at + len(passage) <= r["end"] and r["first_doc_id"] == 0 for r in rows)
     kept = {r["doc_id"]: r["text"] for r in without_repeats(df).collect() if r["doc_id"] is not None}
     assert kept[0] == docs[0][1] and kept[50] == "" and kept[61] is None and kept[25] == docs[17][1]
-    assert all(len(kept[k]) < len(dict(docs)[k]) - 60 for k in range(1, 12))
+    assert all(passage not in kept[k] and len(kept[k]) < len(own[k]) - len(passage) + 1 for k in range(1, 12))
 
 
-def test_empty_table(spark):
-    assert repeated_spans(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+def test_a_very_long_text(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400_000)]
+    docs = [(1, " ".join(words)), (2, "before " + " ".join(words[200_000:200_040]) + " after"), (3, "x" * 1_000_000)]
+    rows = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["first_doc_id"]) for r in rows) == [(1, 40, 1), (2, 40, 1)]
 
 
 def brute_passages(docs, least):
