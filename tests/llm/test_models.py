@@ -68,6 +68,31 @@ def test_recall_on_the_given_table(spark):
     assert hits >= 0.97 * 10 * len(got)
 
 
+def test_rows_outside_the_sample(spark):
+    """Books that are fitted to a tenth of the rows: the others are found as well, by few candidates."""
+    vectors = ann.materialise(ann.valid_vectors(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")), "vectors")
+    queries = vectors.filter("vec_id % 40 = 3")
+    pairs = ann.candidate_pairs(vectors, queries, 10, 48, 256, 4, 200, 1024)
+    held = {r["vec_id"]: np.array(r["v"]) for r in vectors.collect()}
+    ids, x = np.array(list(held)), np.stack(list(held.values()))
+    found = {}
+    for r in pairs.collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q, own in found.items():
+        d = ((x - held[q]) ** 2).sum(1)
+        hits += len(own & set([k for k in ids[np.lexsort((ids, d))].tolist() if k != q][:10]))
+    assert len(found) == 50 and hits >= 0.97 * 500
+    assert sum(map(len, found.values())) < 0.15 * 2000 * len(found)
+
+
+def test_books_do_not_learn_the_sample_by_heart():
+    x = np.random.default_rng(3).normal(size=(2000, 32)).astype(np.float32)
+    books, _ = ann.fit(x[:150], 12, 256, 4)
+    left = [((x - sum(b[ann.encode(x, books, 4)[0][:, k]] for k, b in enumerate(books))) ** 2).sum(1)]
+    assert left[0][150:].mean() < 3 * left[0][:150].mean() and left[0][150:].mean() < 0.15 * 32
+
+
 def test_bounded_samples(spark):
     df = spark.range(5000).selectExpr("id", "'x' as c")
     for claimed in (5000, 50_000, 10**7, 10**12):  # as if the table were larger: a tiny share of the hashes
@@ -80,7 +105,7 @@ def test_bounded_samples(spark):
 def test_beam_is_never_worse_than_one_path():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8)).astype(np.float32)
-    books = ann.fit(x, 3, 16, 4)
+    books, _ = ann.fit(x, 3, 16, 4)
     error = lambda beam: ((x - sum(b[ann.encode(x, books, beam)[0][:, k]] for k, b in enumerate(books))) ** 2).sum()
     assert error(8) <= error(1)
 
