@@ -68,10 +68,3 @@ def search(df: DataFrame, equals: dict | None = None, contains: dict | None = No
     for k, v in parts.items():
         df = df.filter(fold(F.coalesce(F.col(k), F.lit(""))).contains(fold(F.lit(v))))
     return df
-
-
-def page(df: DataFrame, number: int, size: int, order: Sequence[Column]) -> DataFrame:
-    """One page (from 1) of an ordered result."""
-    if number < 1 or size < 1:
-        raise ValueError("pages are numbered from 1 and hold at least one row")
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)

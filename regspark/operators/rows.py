@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,11 +22,23 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, r
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
+def running_count(df: DataFrame, keys: Sequence[str], order: str, counts: Column, name: str) -> DataFrame:
+    """How many rows of its key up to each one count, by ranges of (keys, order): each range counts its own rows and hands on
+    its total for the key that goes over into the next. A key with any number of rows is many tasks' work."""
+    part, own, total, before = "_part", "_own", "_total", "_before"
+    dealt = cut(df.withColumn(own, counts.cast("int")).repartitionByRange(*keys, order).withColumn(part, F.spark_partition_id()))
+    within = dealt.withColumn(own, F.sum(own).over(Window.partitionBy(part, *keys).orderBy(order)))
+    totals = dealt.groupBy(part, *keys).agg(F.coalesce(F.sum(own), F.lit(0)).alias(total))  # a row a key and range
+    carried = totals.withColumn(before, F.coalesce(F.sum(total).over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    handed = carried.select(F.col(part).alias("_of"), *(F.col(k).alias(f"_of_{n}") for n, k in enumerate(keys)), before)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{n}")) for n, k in enumerate(keys)), F.col(part) == F.col("_of"))
+    return within.join(handed, same).withColumn(name, F.coalesce(own, F.lit(0)) + F.col(before)).select(*df.columns, name)
+
+
 def merge_continuations(df: DataFrame, keys: Sequence[str], order: str, starts: Column, note: str, separator: str = " | ") -> DataFrame:
     """Rows that start nothing add their note to the entry before them (entry 0: before the first).
     Columns: keys, entry, first (the order value), the notes joined, rows."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    numbered = df.withColumn("entry", F.sum(starts.cast("int")).over(w))
+    numbered = running_count(df, keys, order, starts, "entry")
     own = F.transform(F.sort_array(F.collect_list(F.when(F.col(note) != "", F.struct(order, note)))), lambda x: x[note])
     return numbered.groupBy(*keys, "entry").agg(F.min(order).alias("first"), F.array_join(own, separator).alias("notes"), F.count(F.lit(1)).alias("rows"))
 
@@ -55,3 +68,20 @@ def running_sum(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
     totals = dealt.groupBy("_p").agg(F.sum(value).alias("_t"))
     before = totals.select("_p", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return own.join(F.broadcast(before), "_p").withColumn(name, F.col("_own") + F.col("_before")).drop("_p", "_own", "_before")
+
+
+def numbered_page(df: DataFrame, number: int, size: int, order: Sequence[Column]) -> DataFrame:
+    """One page (from 1) of an ordered result, with total, pages and last (whether it is the last page). The result is dealt
+    by ranges of the order; the sizes of the ranges tell which of them the page lies in, and only those are sorted."""
+    if number < 1 or size < 1:
+        raise ValueError("pages are numbered from 1 and hold at least one row")
+    part, place, before, n = "_part", "_place", "_before", "_n"
+    dealt = cut(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    sizes = dealt.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    everything = Window.orderBy(part)  # a row a range
+    sizes = sizes.select(part, n, (F.sum(n).over(everything) - F.col(n)).alias(before), F.sum(n).over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    first, end = (number - 1) * size, number * size
+    inside = sizes.filter((F.col(before) < end) & (F.col(before) + F.col(n) > first))
+    rows = dealt.join(F.broadcast(inside), part).withColumn(place, F.row_number().over(Window.partitionBy(part).orderBy(*order)) + F.col(before))
+    rows = rows.filter((F.col(place) > first) & (F.col(place) <= end))
+    return rows.select(*df.columns, "total", F.ceil(F.col("total") / size).alias("pages"), (F.col("total") <= end).alias("last"))

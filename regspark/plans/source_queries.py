@@ -50,6 +50,16 @@ def sorted_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("clustered_parquet", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_custkey BETWEEN 10 AND 40 OR o_orderdate < TIMESTAMP '1999-02-01'")
+def clustered_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    """Written along a curve through both columns; asked by either."""
+    path = shared_folder(spark, "clustered")
+    sinks.write_clustered(read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), path, ["o_custkey", "o_orderdate"])
+    o = spark.read.parquet(path)
+    one = o.filter("o_custkey between 10 and 40")
+    return one.unionByName(o.filter("o_orderdate < '1999-02-01' and not coalesce(o_custkey between 10 and 40, false)"))
+
+
 @query("clean_csv", "SELECT c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segment FROM customer")
 def clean_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "csv")
@@ -65,13 +75,29 @@ def bucket_files(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("o_orderkey long, bucket int").parquet(path)
 
 
-@query("json_pages", "SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status FROM orders")
+@query("json_pages", """
+SELECT o_orderkey AS id, o_custkey AS customer, o_orderstatus AS status FROM orders WHERE CASE o_orderstatus WHEN 'F' THEN o_orderkey // 500 <= 5 WHEN 'O' THEN o_orderkey // 500 < 7 ELSE true END""")
 def json_pages(spark: SparkSession, sf: str) -> DataFrame:
-    o = read(spark, sf, "orders").select(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")).alias("row"), F.floor(F.col("o_orderkey") / 500).alias("number"))
+    """One folder of pages a status, one file a page. One folder has a page that says it is the last, another an empty one;
+    what follows them is there and does not count."""
+    o = read(spark, sf, "orders").select(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")).alias("row"), F.col("o_orderstatus").alias("of"), F.floor(F.col("o_orderkey") / 500).cast("int").alias("page"))
+    made = o.groupBy("of", "page").agg(F.collect_list("row").alias("content"))
+    empty = (F.col("of") == "O") & (F.col("page") == 7)
+    made = made.select("of", "page", F.when(empty, F.slice("content", 1, 0)).otherwise(F.col("content")).alias("content"), ((F.col("of") == "F") & (F.col("page") == 5)).alias("last"), F.lit(0).alias("number"))
     path = shared_folder(spark, "pages")
-    o.groupBy("number").agg(F.collect_list("row").alias("content")).withColumn("last", F.lit(False)).repartition("number").write.json(path)
+    made.write.partitionBy("of", "page").json(path)
     schema = "number long, last boolean, content array<struct<id:bigint,customer:bigint,status:string>>"
-    return spark.read.schema(schema).json(path).select(F.inline("content"))
+    return pages.read_pages(spark, f"{path}/*/*", schema, place=F.regexp_extract("path", "page=([0-9]+)", 1).cast("long"), folder=F.regexp_extract("path", "of=([^/]*)", 1))
+
+
+@query("json_arrays", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer WHERE c_nationkey IS NOT NULL")
+def json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that are one array each, over several lines."""
+    c = read(spark, sf, "customer").filter("c_nationkey is not null")
+    own = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    path = shared_folder(spark, "arrays")
+    c.groupBy("c_nationkey").agg(F.regexp_replace(F.to_json(F.collect_list(own)), r"\},\{", "},\n{").alias("value")).write.partitionBy("c_nationkey").text(path)
+    return pages.read_array(spark, f"{path}/*", "id long, name string, balance double")
 
 
 @query("nested_flatten", """
@@ -146,6 +172,9 @@ def cell_grid_entries(spark: SparkSession, sf: str) -> DataFrame:
     starts = F.col("p_partkey") % 3 != 2
     rows = p.select(F.col("p_brand").alias("sheet"), (F.col("p_partkey") + 1).alias("row_no"), F.array(cell(F.when(starts, F.concat("p_partkey", F.lit(".0")))), cell(F.when(starts, F.col("p_name"))), cell(F.col("p_type"))).alias("cells"))
     heads = p.select("p_brand").distinct().select(F.col("p_brand").alias("sheet"), F.lit(0).cast("long").alias("row_no"), F.array(*(cell(F.lit(t)) for t in ("No", "Name", "Note"))).alias("cells"))
-    body = substances.after_header(rows.unionByName(heads), "sheet", 3)
+    # what comes before a sheet's first entry continues nothing; such rows are drift, and left out here
+    begins = rows.filter(starts).groupBy("sheet").agg(F.min("row_no").alias("begin"))
+    rows = rows.join(begins, "sheet").filter(F.col("row_no") >= F.col("begin")).drop("begin")
+    body = substances.after_header(rows.unionByName(heads.join(begins.select("sheet"), "sheet", "left_semi")), "sheet", 3)
     out = substances.named_entries(body, "sheet", ["number", "name"], 2)
     return out.select("sheet", substances.whole_number(F.col("number")).alias("number"), "name", "notes", "rows")

@@ -254,10 +254,12 @@ def search_contains(spark: SparkSession, sf: str) -> DataFrame:
     return merges.search(read(spark, sf, "documents"), equals={"lang": "fr", "source": None}, contains={"text": "ÉMENT"}).select("doc_id")
 
 
-@query("search_page", "SELECT p_partkey, p_name, (SELECT count(*) FROM part WHERE contains(lower(p_name), 'ring')) AS total FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_retailprice DESC, p_partkey LIMIT 20 OFFSET 20")
+@query("search_page", """
+WITH f AS (SELECT *, count(*) OVER () AS total FROM part WHERE contains(lower(p_name), 'ring'))
+SELECT p_partkey, p_name, total, CAST(ceil(total / 20) AS BIGINT) AS pages, total <= 40 AS last FROM f ORDER BY p_retailprice DESC, p_partkey LIMIT 20 OFFSET 20""")
 def search_page(spark: SparkSession, sf: str) -> DataFrame:
     found = merges.search(read(spark, sf, "part"), contains={"p_name": "RING"})
-    return merges.page(found, 2, 20, [F.desc("p_retailprice"), F.asc("p_partkey")]).select("p_partkey", "p_name").withColumn("total", F.lit(found.count()))
+    return rows.numbered_page(found, 2, 20, [F.desc("p_retailprice"), F.asc("p_partkey")]).select("p_partkey", "p_name", "total", "pages", "last")
 
 
 @query("string_functions", """
@@ -346,14 +348,32 @@ def number_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return index.number_buckets(read(spark, sf, "orders"), ["o_orderkey", "o_custkey"])
 
 
+def _part_index(spark: SparkSession, sf: str) -> str:
+    p = read(spark, sf, "part").withColumn("company", F.lpad((F.col("p_partkey") % 40).cast("string"), 14, "0"))
+    folder = shared_folder(spark, "index")
+    index.write_index(p, folder, "p_name", "company", "p_brand", ["p_partkey"], ["p_partkey"])
+    return folder
+
+
 @query("index_lookup", """
 SELECT 'words' AS route, p_partkey FROM part WHERE regexp_matches(lower(p_name), '(^| )wid') AND regexp_matches(lower(p_name), '(^| )re')
 UNION ALL SELECT 'company', p_partkey FROM part WHERE p_partkey % 40 = 7 UNION ALL SELECT 'number', p_partkey FROM part WHERE p_partkey = 123""")
 def index_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The index is written, then asked by each of its routes."""
-    p = read(spark, sf, "part").withColumn("company", F.lpad((F.col("p_partkey") % 40).cast("string"), 14, "0"))
-    folder = shared_folder(spark, "index")
-    index.write_index(p, folder, "p_name", "company", "p_brand", ["p_partkey"], ["p_partkey"])
-    asked = {"words": "Wid, ré", "company": "7".zfill(14), "number": "123"}
-    found = [index.look_up(spark, folder, q, "p_partkey", "company").select(F.lit(route).alias("route"), F.col("p_partkey").cast("long")) for route, q in asked.items()]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    asked = spark.createDataFrame([("words", "Wid, ré"), ("company", "7".zfill(14)), ("number", "123")], "query string, text string")
+    return index.look_up_all(spark, _part_index(spark, sf), asked, "p_partkey", "company").withColumnRenamed("query", "route")
+
+
+@query("bulk_lookup", """
+WITH w AS (SELECT p_partkey, lower(p_name) AS name FROM part),
+q AS (SELECT DISTINCT name AS query, left(split_part(name, ' ', 1), 4) AS a, left(split_part(name, ' ', 2), 3) AS b FROM w)
+SELECT query, w.p_partkey FROM q JOIN w ON (starts_with(name, a) OR contains(name, ' ' || a)) AND (starts_with(name, b) OR contains(name, ' ' || b))
+UNION ALL SELECT 'c' || a.p_partkey, b.p_partkey FROM part a JOIN part b ON a.p_partkey < 40 AND b.p_partkey % 40 = a.p_partkey
+UNION ALL SELECT 'k' || p_partkey, p_partkey FROM part""")
+def bulk_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Each name, each number and some companies are asked at once."""
+    p, k = read(spark, sf, "part"), F.col("p_partkey").cast("string")
+    w = F.split("p_name", " ")
+    asked = p.select(F.lower("p_name").alias("query"), F.concat_ws(" ", F.left(w[0], F.lit(4)), F.left(w[1], F.lit(3))).alias("text"))
+    asked = asked.unionByName(p.filter("p_partkey < 40").select(F.concat(F.lit("c"), k).alias("query"), F.lpad(k, 14, "0").alias("text"))).unionByName(p.select(F.concat(F.lit("k"), k).alias("query"), k.alias("text")))
+    return index.look_up_all(spark, _part_index(spark, sf), asked, "p_partkey", "company")

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_pages(spark: SparkSession, path: str, schema: str | None = None, rows: str = "content") -> DataFrame:
-    """The rows of all pages; page numbers in the files are not trusted."""
+def read_pages(spark: SparkSession, path: str, schema: str | None = None, rows: str = "content", last: str = "last", place: Column | None = None, folder: Column | None = None) -> DataFrame:
+    """The rows of the pages of each folder, one file a page, up to the first page that says it is the last, or is empty;
+    files after it are left over from a longer answer. A page's place is the last number in its file's name (or ``place``,
+    of the column path); page numbers inside the files are not trusted."""
     reader = spark.read.option("multiLine", True)
-    pages = (reader.schema(schema) if schema else reader).json(path)
-    return pages.filter(F.size(rows) > 0).select(F.inline(rows))
+    found = (reader.schema(schema) if schema else reader).json(path).withColumn("path", F.col("_metadata.file_path"))
+    place = F.regexp_extract("path", r"([0-9]+)[^0-9/]*\z", 1).cast("long") if place is None else place
+    folder = F.regexp_extract("path", r"\A(.*)/", 1) if folder is None else folder
+    own = found.withColumns({"_place": place, "_folder": folder})
+    empty = F.coalesce(F.size(rows), F.lit(0)) <= 0
+    ends = own.filter(F.coalesce(F.col(last), F.lit(False)) | empty if last in own.columns else empty).groupBy("_folder").agg(F.min("_place").alias("_end"))
+    return own.join(ends, "_folder", "left").filter(F.col("_end").isNull() | (F.col("_place") <= F.col("_end"))).filter(~empty).select(F.inline(rows))
 
 
 def read_array(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import squeeze
 from ..operators.rows import merge_continuations
+from ..operators.store import cut
 from .spec import SchemaDrift
 
 #: Hyphens that look like the ASCII one; how a reference is written, white space squeezed.
@@ -39,12 +40,15 @@ def registry_number(c: Column, is_date: Column) -> tuple[Column, Column]:
 
 
 def after_header(grid: DataFrame, sheet: str, width: int, least: int = 3) -> DataFrame:
-    """The rows below each sheet's header, its first row with at least so many values. Values beyond width
-    columns are drift."""
+    """The rows below each sheet's header, its first row with at least so many values. A sheet without one, and values
+    beyond width columns, are drift."""
     filled = F.size(F.filter("cells", lambda c: F.coalesce(c["text"], F.lit("")) != ""))
-    heads = grid.filter(filled >= least).groupBy(sheet).agg(F.min("row_no").alias("_head"))
+    heads = grid.groupBy(sheet).agg(F.min(F.when(filled >= least, F.col("row_no"))).alias("_head"))
+    bare = [str(r[sheet]) for r in heads.filter("_head is null").limit(10).collect()]
+    if bare:
+        raise SchemaDrift(f"no header in {', '.join(bare)}")
     rows = grid.join(heads, sheet).filter(F.col("row_no") > F.col("_head")).drop("_head")
-    beyond = F.exists(F.slice("cells", width + 1, 1000), lambda c: F.coalesce(c["text"], F.lit("")) != "")
+    beyond = F.exists(F.slice("cells", F.lit(width + 1), F.greatest(F.size("cells") - width, F.lit(0))), lambda c: F.coalesce(c["text"], F.lit("")) != "")
     if not rows.filter(beyond).isEmpty():
         raise SchemaDrift(f"values beyond column {width}")
     return rows
@@ -58,6 +62,10 @@ def entries(grid: DataFrame, sheet: str, note_column: int, separator: str = " |
 
 
 def named_entries(grid: DataFrame, sheet: str, names: Sequence[str], note_column: int) -> DataFrame:
-    """Entries with the cells of their first row under names."""
+    """Entries with the cells of their first row under names. A row that continues no entry is drift."""
+    found = cut(entries(grid, sheet, note_column))
+    orphans = [f"row {r['first']} of {r[sheet]}" for r in found.filter("entry = 0").limit(10).collect()]
+    if orphans:
+        raise SchemaDrift(f"nothing to continue in {', '.join(orphans)}")
     first = grid.select(F.col(sheet), F.col("row_no").alias("first"), *(cell(k).alias(n) for k, n in enumerate(names)))
-    return entries(grid, sheet, note_column).join(first, [sheet, "first"]).filter("entry > 0")
+    return found.join(first, [sheet, "first"])

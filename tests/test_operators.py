@@ -59,7 +59,7 @@ def test_search_needs_a_filter(spark):
         merges.search(df, equals={"t": None})
     assert merges.search(df, contains={"t": "EA"}).count() == 1
     with pytest.raises(ValueError):
-        merges.page(df, 0, 5, [F.asc("t")])
+        rows.numbered_page(df, 0, 5, [F.asc("t")])
 
 
 def test_label_summary(spark):
