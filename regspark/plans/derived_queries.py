@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import key
+from ..functions import sql
 from ..functions.typing import surrogate_id
 from ..operators import lists
 from ..sources.spec import Catalogue, Derived
@@ -209,7 +209,9 @@ def sql_surface(spark: SparkSession, sf: str) -> DataFrame:
     """A derived table declared with its sources; its definition is SQL over temporary views."""
 
     def by_brand(have: dict[str, DataFrame]) -> DataFrame:
-        return spark.sql("SELECT p_brand AS brand, count(*) AS lines, CAST(round(sum(l_quantity)) AS BIGINT) AS quantity FROM {part} JOIN {lineitem} ON l_partkey = p_partkey GROUP BY p_brand", **have).withColumn("key", key("brand"))
+        return spark.sql("SELECT p_brand AS brand, join_key(p_brand) AS key, count(*) AS lines, CAST(round(sum(l_quantity)) AS BIGINT) AS quantity FROM {part} JOIN {lineitem} ON l_partkey = p_partkey GROUP BY p_brand", **have)
+
+    sql.register(spark)
 
     catalogue = Catalogue(Derived("by_brand", ("part", "lineitem"), by_brand))
     return catalogue.derive("by_brand", {t: read(spark, sf, t) for t in ("part", "lineitem")})

@@ -14,6 +14,7 @@ written: its source is read once.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -98,11 +99,11 @@ class Builds:
 
     def live(self) -> Snapshot | None:
         """The newest published build; a build that has no row here does not exist for readers."""
-        published = self._rows("live", "build string")
-        newest = published.agg(F.max("build").alias("b")).head()["b"] if published else None
+        published = self._rows("live", "build string, manifest string")
+        newest = published.agg(F.max_by(F.struct("build", "manifest"), "build").alias("b")).head()["b"] if published else None
         if newest is None:
             return None
-        return Snapshot(self.spark, newest, self._rows(f"manifests/{newest}", MANIFEST).collect())  # a row a table
+        return Snapshot(self.spark, newest["build"], self._rows(f"manifests/{newest['manifest']}", MANIFEST).collect())  # a row a table
 
     def publish(
         self,
@@ -111,13 +112,14 @@ class Builds:
         now: dt.datetime,
         code: str = "",
         limits: Limits = Limits(),
-        flip: Callable[[str], None] | None = None,
+        flip: Callable[[str, str], None] | None = None,
     ) -> Outcome:
         """Build the tables of a catalogue. ``code`` stands for the makers: another one builds all tables anew. ``flip``
         is how a build is made live (tests stop before it)."""
         before = self.live()
         former = before.rows if before else {}
-        build = f"{now:%Y%m%dT%H%M%SZ}"
+        build, attempt = f"{now:%Y%m%dT%H%M%SZ}", uuid.uuid4().hex[:8]  # what an attempt that failed has left is in no other's way
+        folder = lambda name: build_path(self.root, f"{name}-{attempt}", now)
         if before and build <= before.build:
             raise BuildError(f"build {build} is not after the live build {before.build}")
         specs = [t for t in catalogue.tables.values() if isinstance(t, TableSpec)]
@@ -142,7 +144,7 @@ class Builds:
             if spec.name in kept or spec.name in unchanged:
                 rows[spec.name] = {**self._former(former, spec), "action": "kept" if spec.name in kept else "carried", "error": kept.get(spec.name)}
             else:
-                row = self._source_table(spec, opened[spec.name], stamp(spec.name), build_path(self.root, spec.name, now))
+                row = self._source_table(spec, opened[spec.name], stamp(spec.name), folder(spec.name))
                 self._check(row, former.get(spec.name), limits)
                 rows[spec.name] = {**row, "action": "built", "build": build}
         for t in catalogue.tables.values():
@@ -151,17 +153,17 @@ class Builds:
                 if own:
                     rows[t.name] = {**self._former(former, t), "action": "carried", "error": None}
                 else:
-                    rows[t.name] = {**self._derived_table(t, rows, f"{code}|", build_path(self.root, t.name, now)), "action": "built", "build": build}
+                    rows[t.name] = {**self._derived_table(t, rows, f"{code}|", folder(t.name)), "action": "built", "build": build}
         for row in rows.values():
             if row["action"] == "built":
                 self._verify(row)
-        self.spark.createDataFrame([tuple(r.get(c) for c in self._columns()) for r in rows.values()], MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifests/{build}")
-        (flip or self._flip)(build)
+        self.spark.createDataFrame([tuple(r.get(c) for c in self._columns()) for r in rows.values()], MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifests/{build}-{attempt}")
+        (flip or self._flip)(build, f"{build}-{attempt}")
         return Outcome(build, kept)
 
-    def _flip(self, build: str) -> None:
+    def _flip(self, build: str, manifest: str) -> None:
         """One row in one file, which Spark's committer moves into place once it is whole."""
-        self.spark.createDataFrame([(build,)], "build string").coalesce(1).write.mode("append").parquet(f"{self.root}/live")
+        self.spark.createDataFrame([(build, manifest)], "build string, manifest string").coalesce(1).write.mode("append").parquet(f"{self.root}/live")
 
     @staticmethod
     def _former(former: dict, t: TableSpec | Derived) -> dict:
