@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 import pandas as pd
@@ -95,13 +96,25 @@ def _taken_apart(c: Column) -> Column:
     return F.when(has, apart).otherwise(c)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(c: str | Column) -> Column:
     """The different search words of a name, in order: at least two characters, no stopwords, then
-    the joined forms of hyphenated compounds."""
-    out = F.lower(strip_accents(_taken_apart(F.translate(col(c), APOSTROPHES, "")), compatible=True))
-    compounds = F.transform(F.regexp_extract_all(out, F.lit("[a-z0-9]+(?:-[a-z0-9]+)+"), F.lit(0)), lambda w: F.replace(w, F.lit("-"), F.lit("")))
-    each = F.concat(F.split(out, "[^a-z0-9]+"), compounds)
-    return F.array_distinct(F.filter(each, lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS)))
+    the joined forms of hyphenated compounds. What few texts need is asked for before it is done."""
+
+    def split(out: Column) -> Column:
+        compounds = F.transform(F.regexp_extract_all(out, F.lit("[a-z0-9]+(?:-[a-z0-9]+)+"), F.lit(0)), lambda w: F.replace(w, F.lit("-"), F.lit("")))
+        each = F.split(out, "[^a-z0-9]+")
+        each = F.array_distinct(F.when(out.contains("-"), F.concat(each, compounds)).otherwise(each))
+        return F.filter(each, lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS))
+
+    plain = _let(col(c), lambda x: F.when(x.rlike(f"[{APOSTROPHES}]"), F.translate(x, APOSTROPHES, "")).otherwise(x))
+    apart = _let(plain, _taken_apart)
+    bare = _let(apart, lambda x: F.when(x.rlike(r"[^\x00-\x7f]"), strip_accents(x, compatible=True)).otherwise(x))
+    return _let(F.lower(bare), split)
 
 
 def decode_cp1252(c: str | Column) -> Column:

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_or_null, words
-from .rows import running_sum
+from .rows import running_sum, spread
 from .store import cut
 
 
 def postings(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
     """A row per different word of a row's name, with the given columns."""
-    return df.select(*columns, F.explode(words(name)).alias("word"))
+    return spread(df).select(*columns, F.explode(words(name)).alias("word"))
 
 
 def vocabulary(posted: DataFrame) -> DataFrame:
@@ -137,14 +137,16 @@ def write_index(df: DataFrame, folder: str, name: str, company: str, company_nam
     if missing:
         raise ValueError(f"the index needs the columns {', '.join(sorted(missing))}")
     keep = list(dict.fromkeys([*columns, company]))
+    # a file a bucket: what costs is the number of files, so that small tables are written by all cores too
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
     posted = cut(postings(df, name, keep))
     by_word = cut(packed(vocabulary(posted), "word", target))
     by_company = cut(packed(df.filter(F.col(company).isNotNull()).groupBy(company).agg(F.count(F.lit(1)).alias("n")), company, target))
     part = F.pmod(F.xxhash64(*keep), F.ceil(F.col("n") / part_rows)).alias("_part")
     for path, rows, of, key in (("words", posted, by_word, "word"), ("companies", df.select(*keep), by_company, company)):
         parts = rows.join(of.select(key, "n", "bucket"), key).select(*rows.columns, "bucket", part)
-        parts.repartition("bucket", "_part").drop("_part").sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(f"{folder}/{path}")
-    number_buckets(df, numbers, keep=keep).repartition("bucket").sortWithinPartitions("bucket", "number").write.partitionBy("bucket").parquet(f"{folder}/numbers")
+        parts.repartition(tasks, "bucket", "_part").drop("_part").sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(f"{folder}/{path}")
+    number_buckets(df, numbers, keep=keep).repartition(tasks, "bucket").sortWithinPartitions("bucket", "number").write.partitionBy("bucket").parquet(f"{folder}/numbers")
     index_table(by_word, "word", "word").unionByName(index_table(by_company, company, "company")).write.parquet(f"{folder}/buckets")
     keys = by_word.select(F.lit("word").alias("kind"), F.col("word").alias("key"), "n", "bucket").unionByName(by_company.select(F.lit("company").alias("kind"), F.col(company).cast("string").alias("key"), "n", "bucket"))
     keys.repartitionByRange("kind", "key").sortWithinPartitions("kind", "key").write.parquet(f"{folder}/keys")

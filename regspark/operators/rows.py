@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from .store import cut
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores, if it has fewer: for costly work on rows of a small table in a
+    file or two. Larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key; give a total order, so that the choice is the same each time."""
     w = Window.partitionBy(*keys).orderBy(*order)
