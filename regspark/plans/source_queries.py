@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators.merges import merge_by_precedence
 from ..operators.quality import rejects
 from ..operators.store import shared_folder
 from ..sources import dialect, pages, prices, sinks, substances
@@ -163,6 +164,34 @@ def price_file_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return prices.priced(got, ["pf_12"], "marked")
 
 
+LAYOUT = prices.WideLayout({"CÓDIGO": "code", "PRODUTO": "name"}, ("PF", "PMC", "PMVG"), ("0", "12", "17,5"), yearly={"COMERCIALIZAÇÃO": "sold"}, ignored=("DESTINAÇÃO",))
+
+
+@query("price_blocks", """
+WITH c AS (SELECT *, CAST(round(p_retailprice * 100) AS INTEGER) AS cents, p_size % 5 = 0 AS star FROM part WHERE p_partkey % 3 > 0)
+SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name, cents AS pf_sem_impostos, cents + 1 AS pf_0, cents + 4 AS pf_17_5, cents + 105 AS pmc_17_5_alc, CASE WHEN p_partkey % 3 = 2 THEN cents + 203 END AS pmvg_12_alc,
+  star AS marked, p_partkey % 2 = 0 AS sold, '2023' AS sold_year FROM c""")
+def price_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files: one with the first two blocks of prices for all products, one with the first and the third for some."""
+    p = read(spark, sf, "part").filter("p_partkey % 3 > 0")
+    spelled = ("Sem Impostos", "0 %", "12 %", "12 %  ALC", "17,5 %", "17,5% ALC")
+    star = F.when(F.col("p_size") % 5 == 0, "*").otherwise("")
+
+    def write(rows: DataFrame, blocks: tuple[str, ...]) -> DataFrame:
+        shown = lambda more: F.concat(F.translate(F.format_number(F.col("p_retailprice") + more / 100, 2), ",.", ".,"), star)
+        own = {f"{b} {s}": shown(100 * LAYOUT.blocks.index(b) + k) for b in blocks for k, s in enumerate(spelled)}
+        path = shared_folder(spark, "price-blocks")
+        rows.select(F.col("p_partkey").alias("Código"), F.col("p_name").alias(" produto"), *(c.alias(h) for h, c in own.items()), F.when(F.col("p_partkey") % 2 == 0, "Sim").otherwise("Não").alias("Comercialização  2023"), F.lit("x").alias("Destinação comercial")).write.option("sep", ";").option("header", True).csv(path)
+        return LAYOUT.read(spark, path)
+
+    first, second = write(p, ("PF", "PMC")), write(p.filter("p_partkey % 3 = 2"), ("PF", "PMVG"))
+    columns = {b: LAYOUT.price_columns(b) for b in LAYOUT.blocks}
+    of = lambda df, *blocks: df.select("code", "name", "sold", "sold_year", *(c for b in blocks for c in columns[b]))
+    both = merge_by_precedence(of(first, "PF", "PMC"), of(second, "PMVG"), "code", ["name", "sold", "sold_year"], [*columns["PF"], *columns["PMC"]], columns["PMVG"])
+    out = prices.priced(both, [*columns["PF"], *columns["PMC"], *columns["PMVG"]], "marked")
+    return out.select("code", "name", "pf_sem_impostos", "pf_0", "pf_17_5", "pmc_17_5_alc", "pmvg_12_alc", "marked", (F.col("sold") == "Sim").alias("sold"), "sold_year")
+
+
 @query("cell_grid_entries", """
 WITH n AS (SELECT *, sum(CASE WHEN p_partkey % 3 <> 2 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS e FROM part)
 SELECT p_brand AS sheet, CAST(min(p_partkey) AS INTEGER) AS number, arg_min(p_name, p_partkey) AS name, string_agg(p_type, ' | ' ORDER BY p_partkey) AS notes, count(*) AS rows FROM n WHERE e > 0 GROUP BY p_brand, e""")

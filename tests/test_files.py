@@ -41,3 +41,13 @@ def test_cell_grid(spark):
     one = spark.createDataFrame(cells, "c string, d boolean")
     number, reference = substances.registry_number(F.col("c"), F.col("d"))
     assert [tuple(r) for r in one.select(number, reference).collect()] == [("7758-11-4", None), ("1972-08-3", None), ("50-00-0", None), (None, 7), (None, 11), ("see Ref. 2", None), (None, None)]
+
+
+def test_headers_of_a_layout():
+    layout = prices.WideLayout({"CÓDIGO": "code"}, ("PF", "PMC"), ("0", "12", "17,5"), yearly={"COMERCIALIZAÇÃO": "sold"}, ignored=("OBS",))
+    assert layout.price_columns("PF") == ["pf_sem_impostos", "pf_0", "pf_12", "pf_12_alc", "pf_17_5", "pf_17_5_alc"]
+    got, years = layout.columns(["﻿Código", "PF Sem  Impostos", "pf 0%", "PMC 17,5 %  ALC", "Comercialização 2024", "Observação"])
+    assert list(got.values()) == ["code", "pf_sem_impostos", "pf_0", "pmc_17_5_alc", "sold"] and years == {"sold": "2024"}
+    for bad in (["PF 23 %"], ["PF 0 % ALC"], ["PF 12"], ["PF"], ["PMX 12 %"], ["Comercialização"], ["Comercialização 24"], ["Código", "código "], ["PF 12 %", "PF  12%"]):
+        with pytest.raises(SchemaDrift):
+            layout.columns(bad)
