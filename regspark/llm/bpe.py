@@ -8,10 +8,13 @@ looking a word up costs a fraction of merging its bytes again. Words are found a
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from .words import HashTable, code_points, span_hashes
 
@@ -149,8 +152,14 @@ def encoder(path: str, end_id: int) -> Encoder:
 
 
 def forget() -> None:
-    """Give the word tables' memory back, for tasks of operators that need much themselves."""
+    """Give the memory of word tables and of earlier tasks' arrays back to the system, for tasks of operators that
+    need much themselves: a worker serves one task after another and else keeps what it has once had."""
     _encoders.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
 
 
 def portions(values: list[str], most_chars: int = 2_000_000):

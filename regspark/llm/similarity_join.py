@@ -102,7 +102,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int, whole: bool = False,
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
         forget()
-        for batch in slices(batches):
+        for batch in slices(batches, 2_000_000):  # arrays of some 50 times the texts live at once
             sizes, classes, tokens = [], [], []
             for own in shingles(batch["text"].to_pylist(), words):
                 n, key = len(own), None
