@@ -2,12 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from regspark.operators.determinism import OTHER_WAYS, dealt, differing
-from regspark.plans import registry
-
-
-@pytest.mark.parametrize("name", sorted(registry.queries()))
-def test_query_is_the_same_however_it_is_dealt(spark, sf_dir, name):
-    assert differing(spark, lambda: registry.queries()[name](spark, sf_dir), OTHER_WAYS[:1]) == []
 
 
 def test_what_depends_on_partitions_is_found(spark):
