@@ -210,16 +210,26 @@ def text_mark(slot: int, text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"), slot + (1 << 63)) - (1 << 63)
 
 
-def texts_of(page: str, frequent: frozenset[int] | None) -> dict[tuple[int, int], tuple[int, bool]]:
-    """(slot, text in it) of a page's texts: (words, whether it is an article's own, headings apart)."""
-    found, slots = {}, {}
+def spoken(page: str, frequent: frozenset[int] | None) -> list[tuple[tuple[str, ...], int, int, int]]:
+    """(path, its slot, words, the text's mark) of a page's texts, in order."""
+    found, slots = [], {}
     for path, event, text in walk(page, frequent):
         if event == "text" and (own := squeeze(text)):
-            if path not in slots:
-                tags = [parts_of(k)[0] for k in path]
-                slots[path] = slot_mark(path), ("article" in tags or "main" in tags) and not HEADINGS.intersection(tags)
-            slot, inside = slots[path]
-            found[slot, text_mark(slot, own)] = len(own.split()), inside
+            slot = slots.get(path)
+            if slot is None:
+                slot = slots[path] = slot_mark(path)
+            found.append((path, slot, own.count(" ") + 1, text_mark(slot, own)))
+    return found
+
+
+def texts_of(texts: list[tuple[tuple[str, ...], int, int, int]]) -> dict[tuple[int, int], tuple[int, bool]]:
+    """(slot, text in it) of a page's texts: (words, whether it is an article's own, headings apart)."""
+    found, inside = {}, {}
+    for path, slot, words, mark in texts:
+        if slot not in inside:
+            tags = [parts_of(k)[0] for k in path]
+            inside[slot] = ("article" in tags or "main" in tags) and not HEADINGS.intersection(tags)
+        found[slot, mark] = words, inside[slot]
     return found
 
 
@@ -233,16 +243,15 @@ def empty() -> dict:
 
 def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
     """A page as a wrapper: nodes by key in page order, like neighbours folded into a repeated one."""
+    return wrapper_from(spoken(page, frequent))
+
+
+def wrapper_from(texts: list[tuple[tuple[str, ...], int, int, int]]) -> dict:
     root, nodes = empty(), {}
     root["pages"] = 1
-    for path, event, text in walk(page, frequent):
-        if event != "text":
-            continue
-        text = squeeze(text)
-        if not text:
-            continue
-        node = nodes.get(path)
-        if node is None:
+    for path, _, n, mark in texts:
+        known = nodes.get(path)
+        if known is None:
             node = root
             for key in path:
                 kid = node["kids"].get(key)
@@ -250,9 +259,9 @@ def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
                     kid = node["kids"][key] = empty()
                     kid["pages"] = 1
                 node = kid
-            nodes[path] = node
+            known = nodes[path] = node, any(k == "a" or k.startswith("a.") for k in path)
+        node, is_link = known
         own = node["slots"].get("text")
-        n, mark = len(text.split()), xxhash.xxh64_hexdigest(text.encode("utf-8", "replace"))
         if own is None:
             own = node["slots"]["text"] = {"fixed": mark, "words": 0, "links": 0, "n": 0}
         else:
@@ -261,7 +270,7 @@ def wrapper_of(page: str, frequent: frozenset[int] | None = None) -> dict:
                 own["fixed"] = None
         own["words"] += n
         own["n"] += 1
-        if any(k == "a" or k.startswith("a.") for k in path):
+        if is_link:
             own["links"] += n
     return root
 
@@ -501,21 +510,41 @@ def marks_in(packed: bytes | None, known: dict) -> frozenset[int] | None:
     return known[packed]
 
 
-def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
-    """host, wrapper (a tree as JSON) of all pages (host, html, frequent)."""
+#: What one pass over the pages tells: each task's wrapper of a host, and the texts of each page.
+TOLD = "host string, salt int, wrapper string, page long, slot long, text long, words int, inside boolean"
+
+
+def tell(pages: DataFrame, salts: int = 16) -> DataFrame:
+    """TOLD of all pages (host, html, frequent): rows with a wrapper (a tree as JSON), and rows with a text."""
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         held: dict[str, dict] = {}
         known: dict[bytes, frozenset] = {}
+        types = {"page": pa.int64(), "slot": pa.int64(), "text": pa.int64(), "words": pa.int32(), "inside": pa.bool_()}
+        columns = ["host", "salt", "wrapper", *types]
         for batch in slices(batches):
+            hosts, rows = [], []
             for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
-                own = wrapper_of(page, marks_in(names, known))
+                texts = spoken(page, marks_in(names, known))
+                own = wrapper_from(texts)
                 held[host] = align(held[host], own) if host in held else own
+                digest = xxhash.xxh3_64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)
+                found = texts_of(texts)
+                hosts += [host] * len(found)
+                rows += [(digest, *m, *about) for m, about in found.items()]
+            nothing = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *nothing, *(pa.array([r[c] for r in rows], t) for c, t in enumerate(types.values()))], columns)
         salt = TaskContext.get().partitionId() % salts
-        rows = [(h, salt, json.dumps(w)) for h, w in held.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int32(), pa.string()))], ["host", "salt", "wrapper"])
+        own = [pa.array(list(held), pa.string()), pa.array([salt] * len(held), pa.int32()), pa.array([json.dumps(w) for w in held.values()], pa.string())]
+        yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(held), t) for t in types.values())], columns)
+
+    return pages.mapInArrow(of_task, TOLD)
+
+
+def infer(told: DataFrame) -> DataFrame:
+    """host, wrapper of all pages that were told of."""
 
     def fold_with(group: list[str]):
         def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -524,27 +553,17 @@ def infer(pages: DataFrame, salts: int = 16) -> DataFrame:
 
         return fold
 
-    parts = pages.mapInArrow(of_task, "host string, salt int, wrapper string")
+    parts = told.filter("wrapper is not null").select("host", "salt", "wrapper")
     some = parts.repartition("host", "salt").mapInArrow(fold_with(["host", "salt"]), "host string, salt int, wrapper string")
     return some.repartition("host").mapInArrow(fold_with(["host"]), "host string, wrapper string")
 
 
-def shared_marks(pages: DataFrame, least_stories: int = 4, recurs: int = 3, nearly_all: int = 90) -> DataFrame:
-    """host, shared (marks as bytes): template slots and constant texts of the hosts (host, html, frequent) that
-    have at least least_stories different stories."""
-
-    def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, frozenset] = {}
-        types = {"host": pa.string(), "page": pa.int64(), "slot": pa.int64(), "text": pa.int64(), "words": pa.int32(), "inside": pa.bool_()}
-        for batch in slices(batches):
-            rows = []
-            for host, page, names in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), batch["frequent"].to_pylist(), strict=True):
-                own = xxhash.xxh3_64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)
-                rows += [(host, own, *m, *about) for m, about in texts_of(page, marks_in(names, known)).items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types.values())], list(types))
+def shared_marks(told: DataFrame, pages: DataFrame, least_stories: int = 4, recurs: int = 3, nearly_all: int = 90) -> DataFrame:
+    """host, shared (marks as bytes): template slots and constant texts of the hosts that have at least least_stories
+    different stories, of what was told of all pages (host, html)."""
 
     # pages that are equal count once
-    places = materialise(pages.mapInArrow(places_of, "host string, page long, slot long, text long, words int, inside boolean").distinct(), "places")
+    places = materialise(told.filter("wrapper is null").select("host", "page", "slot", "text", "words", "inside").distinct(), "places")
     text = ["host", "slot", "text"]
     seen = materialise(places.groupBy(*text).agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words"), F.first("inside").alias("inside")), "texts")
     hosts = materialise(pages.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "pages-of-hosts")
@@ -595,7 +614,9 @@ def main_texts(pages: DataFrame, most_broadcast: int = 5_000) -> DataFrame:
     names = frequent_names(own.select("host", "html"))
     own = own.join(small(names, most_broadcast), "host", "left")
     seen = own.select("host", "html", "frequent")
-    learned = materialise(rules(infer(seen), shared_marks(seen)), "wrapper-rules")
+    told = materialise(tell(seen), "told")
+    learned = materialise(rules(infer(told), shared_marks(told, seen)), "wrapper-rules")
+    discard(told)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}

@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 import pyarrow.parquet as pq
 
-from regspark.llm.wrappers import align, expression, frequent_names, infer, kept_paths, main_text, main_texts, op3_html_wrappers, shared_marks, texts_of, wrapper_of
+from regspark.llm.wrappers import align, expression, frequent_names, infer, kept_paths, main_text, main_texts, op3_html_wrappers, shared_marks, spoken, tell, texts_of, wrapper_of
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p><article>no</article>";</script></head><body class="home">
 <header><a href="/">Site</a></header><nav><ul><li><a href="/x">menu {0}</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
@@ -132,7 +132,7 @@ def test_revisions_lose_nothing(spark):
 
 def brute_shared(pages, least_stories=4, recurs=3, nearly_all=90):
     """Template slots and constants of one host by plain sets."""
-    own = {p: texts_of(p, None) for p in pages}
+    own = {p: texts_of(spoken(p, None)) for p in pages}
     n = Counter(m for texts in own.values() for m in texts)
     constants = {m for m in n if len(own) >= least_stories and n[m] * 100 >= len(own) * nearly_all}
     about = {m: a for texts in own.values() for m, a in texts.items()}
@@ -150,8 +150,8 @@ def brute_shared(pages, least_stories=4, recurs=3, nearly_all=90):
 def test_slots_and_constants_against_plain_sets(spark):
     body = "<body><article><h1>Title {0}</h1><h2>Abstract</h2><p>Text {0} here</p><p>Subscribe to our letter now</p><p>More {0}</p></article></body>"
     hosts = {"plain": plain_pages(12), "few": plain_pages(3), "constants": [body.format(k) for k in range(8)], **{f"revisions{n}": revisions(n) for n in (3, 4, 9, 30)}}
-    rows = [(h, p, None) for h, pages in hosts.items() for p in [*pages, pages[0]]]
-    got = {r["host"]: set(np.frombuffer(r["shared"], np.int64).tolist()) for r in shared_marks(spark.createDataFrame(rows, "host string, html string, frequent binary")).collect()}
+    df = spark.createDataFrame([(h, p, None) for h, pages in hosts.items() for p in [*pages, pages[0]]], "host string, html string, frequent binary")
+    got = {r["host"]: set(np.frombuffer(r["shared"], np.int64).tolist()) for r in shared_marks(tell(df), df).collect()}
     want = {h: brute_shared(pages) for h, pages in hosts.items()}
     assert got == {h: m for h, m in want.items() if m}
     assert want["plain"] and want["constants"] and not want["few"]
@@ -179,6 +179,6 @@ def test_wrappers_do_not_grow_with_the_pages(spark):
     assert got == {k: f"Title {k}\nOn {k}\nText {k}" for k in range(n)} | {n: "deep"}
     pages = df.filter(df["page_id"] < n).selectExpr("'a' as host", "html")
     pages = pages.join(frequent_names(pages), "host", "left")
-    (w,) = infer(pages).collect()
+    (w,) = infer(tell(pages)).collect()
     count = lambda node: 1 + sum(map(count, node["kids"].values()))
     assert count(json.loads(w["wrapper"])) < 20
