@@ -23,9 +23,3 @@ def dictionary(entry_rows: DataFrame) -> DataFrame:
     """name, column, type, description."""
     each = entry_rows.select("name", F.explode("columns").alias("c"))
     return each.select("name", F.col("c.name").alias("column"), "c.type", "c.description")
-
-
-def derived_loaded(entry_rows: DataFrame, derived: DataFrame) -> DataFrame:
-    """name, loaded of derived tables (name, source): the latest of their sources."""
-    e = entry_rows.select(F.col("name").alias("source"), "loaded")
-    return derived.join(e, "source").groupBy("name").agg(F.max("loaded").alias("loaded"))
