@@ -1,16 +1,15 @@
-"""Text as columns: accents, join keys, search words, white space. Python runs on the executors for HTML entities alone."""
+"""Text as columns: accents, join keys, search words, white space, HTML entities. No Python runs on the executors."""
 
 from __future__ import annotations
 
-import html
+import html.entities
+import json
 import unicodedata
 from collections.abc import Callable
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Characters that a join key keeps as letters or digits.
 KEY_LETTERS = {"º": "o", "ª": "a", "™": "tm", "²": "2", "³": "3"}
@@ -122,29 +121,57 @@ def decode_cp1252(c: str | Column) -> Column:
     return F.translate(F.decode(col(c), "ISO-8859-1"), "".join(map(chr, range(0x80, 0xA0))), CP1252)
 
 
-def _is_entity(name: str) -> bool:
-    """Whether & name ; is one: a name of ASCII letters and digits, or a number."""
-    if name.startswith(("#x", "#X")):
-        return bool(name[2:]) and all(c in "0123456789abcdefABCDEF" for c in name[2:])
-    body = name.removeprefix("#")
-    return name.removeprefix("#").isascii() and (body.isdigit() if name != body else name.isalnum() and name[0].isalpha())
+#: Numbers that stand for another character than their own, and those that stand for none.
+MOVED = {0: "\ufffd", 0x0D: "\r", **{0x80 + k: c for k, c in enumerate(CP1252)}}
+NO_CHARACTER = (*range(0x1, 0x9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0), *(plane + k for plane in range(0, 0x110000, 0x10000) for k in (0xFFFE, 0xFFFF)))
+#: Names that browsers also know without a semicolon; none is the beginning of another.
+WITHOUT_SEMICOLON = tuple(n for n in html.entities.html5 if not n.endswith(";"))
 
 
-def _decoded(text: str) -> str:
-    first, *rest = text.split("&")
-    out = [first]
-    for piece in rest:
-        name, semicolon, after = piece.partition(";")
-        out.append(html.unescape(f"&{name};") + after if semicolon and _is_entity(name) else f"&{piece}")
-    return "".join(out)
+@cache
+def _names() -> str:
+    """HTML's names with what they stand for, by first letter, so that a search goes through few of them."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, value in html.entities.html5.items():
+        by_letter.setdefault(name[0], {})[name] = value
+    return json.dumps(by_letter)
+
+
+def _named(name: Column) -> Column:
+    table = F.from_json(F.lit(_names()), "map<string,map<string,string>>")  # a constant: Spark reads it once a query
+    return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
+
+
+def _character(number: Column) -> Column:
+    """The character that a number stands for: U+FFFD for half a pair and beyond Unicode."""
+    four = lambda n: F.lpad(F.hex(n), 4, "0")
+    over = number - 0x10000
+    units = F.when(over < 0, four(number)).otherwise(F.concat(four(F.shiftright(over, 10) + 0xD800), four(over.bitwiseAND(0x3FF) + 0xDC00)))
+    moved = F.create_map(*(F.lit(x) for pair in MOVED.items() for x in pair))
+    own = F.when(number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd").when(number.isin(*NO_CHARACTER), "").otherwise(F.decode(F.unhex(units), "UTF-16BE"))
+    return F.coalesce(F.try_element_at(moved, number), own)
+
+
+def _numbered(digits: Column, base: int) -> Column:
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    return _let(F.when(F.length(short) > 7, 0x110000).otherwise(F.conv(short, base, 10).cast("int")), _character)
+
+
+def _after_ampersand(piece: Column) -> Column:
+    """A text's piece from an ampersand (not included) to the next, decoded."""
+    rest = lambda c, begin: F.substring(c, begin, F.length(c))
 
+    def decoded(name: Column) -> Column:
+        known = F.nullif(F.regexp_extract(name, rf"\A(?:{'|'.join(WITHOUT_SEMICOLON)})", 0), F.lit(""))
+        begun = _let(known, lambda k: F.concat(_named(k), rest(name, F.length(k) + 1), F.lit(";")))
+        value = F.when(name.rlike(r"\A[A-Za-z][A-Za-z0-9]*\z"), F.coalesce(_named(F.concat(name, F.lit(";"))), begun)).when(name.rlike(r"\A#[0-9]+\z"), _numbered(rest(name, F.lit(2)), 10)).when(name.rlike(r"\A#[xX][0-9a-fA-F]+\z"), _numbered(rest(name, F.lit(3)), 16))
+        return F.coalesce(F.when(F.length(name) < F.length(piece), F.concat(value, rest(piece, F.length(name) + 2))), F.concat(F.lit("&"), piece))
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _decoded(t))
+    return _let(F.substring_index(piece, ";", 1), decoded)
 
 
 def unescape(c: str | Column) -> Column:
-    """HTML entities that end with a semicolon as characters; the others stay. Only texts with an
-    ampersand go through Python, in Arrow batches."""
-    return F.when(col(c).contains("&"), _unescape(F.when(col(c).contains("&"), col(c)))).otherwise(col(c))
+    """HTML entities that end with a semicolon as characters, each once; the others stay. A name that is unknown but
+    begins with a known one that needs no semicolon is decoded so far, as browsers do."""
+    pieces = F.transform(F.split(col(c), "&"), lambda piece, k: F.when(k == 0, piece).otherwise(_after_ampersand(piece)))
+    return F.when(col(c).contains("&"), F.array_join(pieces, "")).otherwise(col(c))

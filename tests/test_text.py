@@ -1,5 +1,7 @@
 """Keys and search words: the agreed cases."""
 
+import html
+
 import pytest
 
 from regspark.functions import text as tx
@@ -95,3 +97,15 @@ def test_windows_bytes_and_entities(spark):
     assert raw.select(tx.decode_cp1252("b")).head()[0] == "CORAÇÃO – 5’ MARK™ \x81"
     rows = [("Tom &amp; D&apos;Or &quot;Y&quot;; &#233;&#xE9;",), ("R&notícia & D&B &lt &#12a; &#x; &1;",), (None,)]
     assert [r[0] for r in spark.createDataFrame(rows, "a string").select(tx.unescape("a")).collect()] == ["Tom & D'Or \"Y\"; éé", "R&notícia & D&B &lt &#12a; &#x; &1;", None]
+
+
+def test_entities_as_html_has_them_without_python(spark):
+    names = [n.rstrip(";") for n in html.entities.html5]
+    cases = [f"a&{n};b" for n in names] + [f"&{n}more;" for n in tx.WITHOUT_SEMICOLON] + [f"&Q{n};" for n in tx.WITHOUT_SEMICOLON]
+    numbers = [*range(0x300), *range(0xD7FE, 0xE002), *range(0xFDCE, 0xFDF2), 0xFEFF, *range(0xFFFC, 0x10002), 0x1F600, *range(0x1FFFC, 0x20002), *range(0x10FFFC, 0x110002), 2**31, 2**64]
+    cases += [e for n in numbers for e in (f"&#{n};", f"&#x{n:x};", f"&#X00{n:X};")]
+    df = spark.createDataFrame([(c,) for c in cases], "a string").select("a", tx.unescape("a").alias("b"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [(r["a"], r["b"]) for r in df.collect()] == [(c, html.unescape(c)) for c in cases]
+    more = [("&amp;lt; &amp;amp;", "&lt; &amp;"), ("&&amp;;&;", "&&;&;"), ("&é; &copy é;", "&é; &copy é;"), ("&#" + "9" * 5000 + ";", "�"), ("", "")]
+    assert [r["b"] for r in spark.createDataFrame(more, "a string, b string").select(tx.unescape("a").alias("b")).collect()] == [b for _, b in more]
