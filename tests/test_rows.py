@@ -84,6 +84,23 @@ def test_json_pages_stop(spark, tmp_path):
     assert sorted(r["v"] for r in got) == [1, 2, 3, 5, 6, 8]
 
 
+def test_json_pages_in_lines(spark, tmp_path):
+    """Many pages a file, out of order, some of a folder in another file; the numbers that answers hold are wrong."""
+    import json
+
+    for folder, own in {"x": [[1, 2], [3], [], [4]], "y": [[5], [6], [7]], "z": [[8], None, [9]]}.items():
+        (tmp_path / folder).mkdir()
+        lines = [json.dumps({"asked": k + 8, "number": 99 - k, "last": folder == "y" and k == 1, "content": content and [{"v": v} for v in content]}) for k, content in enumerate(own)]
+        (tmp_path / folder / "a.json").write_text("\n".join(lines[:0:-1]))
+        (tmp_path / folder / "b.json").write_text(lines[0] + "\n")
+    schema = "asked long, number long, last boolean, content array<struct<v:int>>"
+    got = pages.read_pages(spark, str(tmp_path / "*"), schema, place=F.col("asked"), in_lines=True)
+    assert not any(str(tmp_path) in f for f in got.inputFiles())  # files are not opened a second time
+    assert sorted(r["v"] for r in got.collect()) == [1, 2, 3, 5, 6, 8]
+    with pytest.raises(ValueError, match="place"):
+        pages.read_pages(spark, str(tmp_path / "*"), schema, in_lines=True)
+
+
 def test_a_filter_on_either_column_skips_row_groups(spark, tmp_path):
     n = 40_000
     df = spark.range(n).select("id", F.pmod(F.hash("id"), F.lit(1000)).alias("a"), F.expr("date_add(date'2000-01-01', cast(pmod(xxhash64(id), 900) as int))").alias("d"), F.concat(F.lit("k"), F.pmod(F.hash("id", F.lit(2)), F.lit(1000)).cast("string")).alias("s"))
