@@ -1,4 +1,4 @@
-"""Derived tables, as functions of their sources; each is a plan that Spark runs as one."""
+"""Derived tables, as functions of their sources; each is a plan that Spark runs as one, but for maker_keys, which needs what it joined twice."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import digits, fold, key
 from ..operators import lists, merges
+from ..operators.store import cut
 
 
 def label_summary(df: DataFrame, product: str, labels: str, notes: str) -> DataFrame:
@@ -80,18 +81,21 @@ def maker_links(holders: DataFrame, items: str, root: int = 8) -> DataFrame:
     return out.withColumn("link", link).drop("by_name")
 
 
-def maker_keys(df: DataFrame, home: str) -> DataFrame:
-    """(holder, holder_name, product, maker, country, active) to one row per holder, maker key and country, with the
-    commonest spelling; a maker without country is left out."""
-    known = df.filter(F.col("maker").isNotNull() & F.col("country").isNotNull())
-    once = known.groupBy("holder", "holder_name", "product", "maker", "country").agg(F.bool_or("active").alias("active"), F.count(F.lit(1)).alias("n"))
-    keyed = once.withColumn("key", key("maker"))
-    spelled = keyed.groupBy("key", "country", "maker").agg(F.sum("n").alias("n"))
-    spelling = spelled.groupBy("key", "country").agg(F.min_by("maker", F.struct(-F.col("n"), "maker")).alias("spelling"))
-    by_product = keyed.groupBy("holder", "key", "country", "product").agg(F.bool_or("active").alias("active"), F.min(key("holder_name")).alias("own_key"))
+def maker_keys(rows: DataFrame, products: DataFrame, makers: DataFrame, home: str) -> DataFrame:
+    """rows (product, maker_id, active), products (product, holder, holder_name) and makers (maker_id, maker, country) to one
+    row per holder, maker key and country, with the commonest spelling; a maker without country is left out. Names are
+    folded once a product or maker, never once a row; rows take part as numbers and are joined once."""
+    known = makers.filter(F.col("maker").isNotNull() & F.col("country").isNotNull()).withColumn("key", key("maker"))
+    groups = cut(known.select("key", "country").distinct().withColumn("group", F.monotonically_increasing_id()))
+    known = cut(known.join(groups, ["key", "country"]).select("maker_id", "maker", "group"))
+    holders = products.select("product", "holder", key("holder_name").alias("own_key"))
+    told = cut(rows.join(holders, "product").join(known.select("maker_id", "group").distinct(), "maker_id").select("holder", "own_key", "product", "group", "maker_id", "active"))
+    spelled = told.groupBy("group", "maker_id").agg(F.count(F.lit(1)).alias("n")).join(known, ["group", "maker_id"]).groupBy("group", "maker").agg(F.sum("n").alias("n"))
+    spelling = spelled.groupBy("group").agg(F.min_by("maker", F.struct(-F.col("n"), "maker")).alias("maker"))
+    by_product = told.groupBy("holder", "group", "product").agg(F.bool_or("active").alias("active"), F.min("own_key").alias("own_key"))
+    out = by_product.groupBy("holder", "group").agg(F.count("product").cast("int").alias("products"), F.count(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.min("own_key").alias("_own"))
     link = F.when(F.col("country") != home, "abroad").when(F.col("key") == F.col("_own"), "own").otherwise("other")
-    out = by_product.groupBy("holder", "key", "country").agg(F.count("product").cast("int").alias("products"), F.count(F.when(F.col("active"), F.col("product"))).cast("int").alias("active_products"), F.min("own_key").alias("_own"))
-    out = out.join(spelling.withColumnRenamed("spelling", "maker"), ["key", "country"])
+    out = out.join(groups.join(spelling, "group"), "group")
     return out.withColumn("link", link).select("holder", "key", "country", "maker", "products", "active_products", "link")
 
 

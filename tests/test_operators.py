@@ -136,3 +136,16 @@ def test_index_files_and_lookup(spark, tmp_path):
     assert find("00000000000001") == [1, 4] and find("777") == [2] and find("123") == [] and find("555123") == [1]
     with pytest.raises(ValueError, match="nothing"):
         index.write_index(df, folder, "name", "company", "company_name", ["nothing"], ["id"])
+
+
+def test_maker_keys(spark, sf_dir):
+    """Spellings by their rows, products once, own by the least of a holder's keys; copies of makers and products count as in a join."""
+    from regspark.plans import derive, registry
+
+    makers = spark.createDataFrame([(1, "Acme", "X"), (2, "ACME", "X"), (3, "ácme", "Y"), (4, "Hold", "Y"), (5, None, "Y"), (6, "No", None), (7, "Two", "Y"), (7, "two", "Y")], "maker_id long, maker string, country string")
+    products = spark.createDataFrame([(10, "h", "HOLD"), (11, "h", "HOLD"), (12, "i", "other"), (12, "i", "Acme")], "product long, holder string, holder_name string")
+    rows = spark.createDataFrame([(10, 1, True), (10, 2, False), (11, 2, False), (10, 3, None), (11, 4, True), (10, 5, True), (10, 6, True), (12, 3, True), (99, 1, True), (10, 7, False), (12, None, True), (None, 1, True)], "product long, maker_id long, active boolean")
+    got = sorted(tuple(r) for r in derive.maker_keys(rows, products, makers, "Y").collect())
+    assert got == [("h", "acme", "X", "ACME", 2, 1, "abroad"), ("h", "acme", "Y", "ácme", 1, 0, "other"), ("h", "hold", "Y", "Hold", 1, 1, "own"), ("h", "two", "Y", "Two", 1, 0, "other"), ("i", "acme", "Y", "ácme", 1, 1, "own")]
+    read = registry.queries()["maker_key_links"](spark, sf_dir).inputFiles()
+    assert not any("lineitem" in f for f in read)  # joined once; both counts are made from that
