@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.store import BATCHES, small_batches  # noqa: F401
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir. Only a local session may lack it."""
@@ -54,21 +56,6 @@ def crc_mod(column: str | Column, modulus: int) -> Column:
     return F.crc32(value.cast("string").cast("binary")) % F.lit(modulus)
 
 
-#: Rows and bytes that go to Python at once: what a task holds of texts, on either side.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """df, once its session hands batches of bounded size to Python. The setting stays: it changes no
-    result, and smaller settings are left alone."""
-    conf = df.sparkSession.conf
-    for name, most in BATCHES.items():
-        own = conf.get(name).rstrip("bB")
-        if not own.isdigit() or not 0 < int(own) <= int(most):
-            conf.set(name, most)
-    return df
-
-
 def prose(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id and text (null: empty) and no other column, so that clashing names do no harm."""
     small_batches(docs)

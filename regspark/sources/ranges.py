@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.store import cut, forget
+from ..operators.store import cut, forget, small_batches
 from .dialect import MOST, decoded, step
 
+#: Characters of a range after which its records are handed on: they are held twice until then.
+OUT_CHARS = 1 << 20
 LINE_START = re.compile("(?<=[\\r\\n])")
 
 
@@ -66,15 +68,18 @@ def lines_as_ranges(lines: DataFrame, encoding: str, range_chars: int) -> DataFr
         place, part, held, size = None, 0, [], 0
 
         def out() -> pa.RecordBatch:
-            content = b"\n".join([*held, b""])
-            text = decoded(content, encoding) if place[1] == 0 and part == 0 else decoded(b"\n" + content, encoding)[1:]  # a mark is one at the start alone
+            held.append(b"")
+            content = b"\n".join(held)
+            held.clear()
+            text = decoded(content, encoding, place[1] == 0 and part == 0)
+            del content
             return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in ((place[0], pa.string()), (place[1], pa.int64()), (part, pa.int32()), (text, pa.string()))], ["path", "block", "part", "content"])
 
         for batch in batches:
-            for own, line in zip(zip(batch["path"].to_pylist(), batch["block"].to_pylist(), strict=True), batch["line"].to_pylist(), strict=True):
+            for own, line in zip(zip(batch["path"].to_pylist(), batch["block"].to_pylist(), strict=True), (x.as_py() for x in batch["line"]), strict=True):
                 if held and (own != place or size >= range_chars):
                     yield out()
-                    held, size, part = [], 0, part + 1
+                    size, part = 0, part + 1
                 if own != place:
                     place, part = own, 0
                 held.append(line)
@@ -104,7 +109,7 @@ def ahead(ranges: pd.DataFrame, most: int) -> pd.DataFrame:
 def read_ranges(spark: SparkSession, path: str, width: int, separator: str, encoding: str, most: int = MOST, range_chars: int = 4 * MOST, most_broadcast: int = 200_000) -> DataFrame:
     """path, record, fields. ``most`` is part of what a record is; range_chars changes no result."""
     lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
-    ranges = cut(lines_as_ranges(lines, encoding, range_chars))
+    ranges = cut(lines_as_ranges(small_batches(lines), encoding, range_chars))
     sizes = ranges.select("path", "block", "part", F.length("content").alias("size"))
     needs = sizes.groupBy("path").applyInPandas(lambda own: ahead(own, most), "path string, block long, part int, of int, is_own boolean")
     text = F.when(F.col("is_own"), F.col("content")).otherwise(F.substring("content", F.lit(1), F.lit(most)))
@@ -128,16 +133,16 @@ def read_ranges(spark: SparkSession, path: str, width: int, separator: str, enco
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch[c][k].as_py() for c in ("path", "of", "size", "text", "entry")}
-                at, place, rows = row["entry"], 0, []
+                at, place, rows, begin = row["entry"], 0, [], row["entry"]
                 while at < row["size"]:
                     found, at = step(row["text"], at, width, separator, most)
                     rows += found
-                    if len(rows) >= 5000 or at >= row["size"]:
+                    if len(rows) >= 5000 or at - begin >= OUT_CHARS or at >= row["size"]:
                         n = len(rows)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([row["path"]] * n, pa.string()), pa.array([row["of"]] * n, pa.int32()), pa.array(range(place + 1, place + n + 1), pa.int64()), pa.array(rows, pa.list_(pa.string()))], ["path", "of", "place", "fields"]
                         )
-                        place, rows = place + n, []
+                        place, rows, begin = place + n, [], at
 
     maps = units.mapInArrow(with_maps, "path string, of int, size int, starts array<long>, ends array<long>")
     entered = cut(maps.groupBy("path").applyInPandas(follow, "path string, of int, entry int"))

@@ -85,3 +85,18 @@ def test_files(spark, tmp_path, limits):
     for name, want in own.items():
         assert [(r["record"], r["fields"]) for r in sorted(got, key=lambda r: r["record"]) if r["name"] == name] == list(enumerate(want, 1))
     assert any(len(r["fields"]) != 3 for r in got)  # rejects and what is read again are among them
+
+
+def test_what_a_worker_holds_is_bounded(spark, tmp_path, monkeypatch):
+    """Rows of whole ranges go to Python in small batches, records come back in small ones, numbered as before."""
+    from regspark.operators.store import BATCHES
+    from regspark.sources import ranges
+
+    for name in BATCHES:
+        spark.conf.unset(name)
+    monkeypatch.setattr(ranges, "OUT_CHARS", 40)
+    want = [[str(k), "é\n" * (k % 30), "z"] for k in range(300)]
+    (tmp_path / "a.csv").write_bytes(("﻿" + "".join(";".join(f'"{v}"' for v in r) + "\n" for r in want)).encode())
+    got = dialect.read_quoted(spark, str(tmp_path / "a.csv"), 3, range_chars=2000, most=400).collect()
+    assert [(r["record"], r["fields"]) for r in sorted(got, key=lambda r: r["record"])] == list(enumerate(want, 1))
+    assert all(int(spark.conf.get(name).rstrip("bB")) <= int(most) for name, most in BATCHES.items())
