@@ -14,6 +14,10 @@ share, letter by letter with the white space between its words, whole.
    word: of the windows of ``least_words`` words whose chunk it is, those that are repeated letter by letter are told
    by a digest of their own text; those that overlap or adjoin form a span, which thus ends at the exact word.
 
+Digests are dealt once each time. A batch of documents asks for a digest that several of them have with the
+smallest and the greatest of their doc_ids only, so that a passage of all documents is two rows a batch. Windows go
+out and come back by batch: their places stay behind, as gaps.
+
 The first document (smallest doc_id) that has a window keeps it. Digests of windows have 64 bits; two different
 windows of the corpus share one with a chance of 2^-64. Digests of chunks have 48: one that is shared by
 chance costs a comparison.
@@ -68,10 +72,19 @@ def word_chunks(raw: bytes, least_words: int) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, which[: len(words) - least_words + 1], np.array(digests, np.int64)
 
 
-def repeated_digests(table: DataFrame, name: str) -> DataFrame:
-    """digest, first: of the digests that more than one document has."""
-    each = table.select(F.explode("digests").alias("digest"), "doc_id").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return materialise(each.filter(F.col("first") < F.col("last")).select("digest", "first"), name)
+def groups(digests: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Equal digests side by side, by doc_id: their order, the first and last place of each group in it, and whether
+    several documents have the digest."""
+    order = np.lexsort((doc_ids, digests))
+    own = digests[order]
+    first, last = np.flatnonzero(np.diff(own, prepend=~own[:1])), np.flatnonzero(np.diff(own, append=~own[-1:]))
+    return order, first, last, doc_ids[order[first]] < doc_ids[order[last]]
+
+
+def repeated(asked: DataFrame) -> DataFrame:
+    """The rows of asked (digest, doc_id and others) whose digest more than one document has, with the first of these."""
+    same = Window.partitionBy("digest")
+    return asked.withColumns({"first": F.min("doc_id").over(same), "last": F.max("doc_id").over(same)}).filter("first < last").drop("last")
 
 
 def joined(at: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -89,55 +102,82 @@ def repeated_passages(docs: DataFrame, least_words: int = 15) -> DataFrame:
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [word_chunks(text.encode("utf-8", "replace"), least_words) for text in batch["text"].to_pylist()]
-            digests = pa.array([np.unique(x[3]) if x else [] for x in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], digests], ["doc_id", "key", "digests"])
+            lists = [np.unique(x[3]) if x else np.empty(0, np.int64) for x in found]
+            edges, digests = np.cumsum([0, *map(len, lists)]), np.concatenate(lists)
+            order, first, last, several = groups(digests, np.repeat(batch["doc_id"].to_numpy(), np.diff(edges)))
+            known = np.empty(len(digests), bool)
+            known[order] = np.repeat(several, last - first + 1)
+            asked = ~known
+            asked[order[first]] = asked[order[last]] = True
+            dealt = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(x))[edges], pa.int32()), pa.array(digests[x], pa.int64())) for x in (asked, known)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *dealt], ["doc_id", "asked", "known"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 500_000):
             lists: tuple[list, ...] = ([], [], [], [])
             for text, hits in zip(batch["text"].to_pylist(), batch["hits"], strict=True):
                 raw = text.encode("utf-8", "replace")
-                starts, ends, which, digests = word_chunks(raw, least_words)
+                # another text of the same doc_id may be the one with hits
+                starts, ends, which, digests = word_chunks(raw, least_words) or [np.empty(0, np.int64)] * 4
                 at = np.flatnonzero(np.isin(digests, hits.values.to_numpy())[which])
                 a, b = starts[at], ends[at + least_words - 1]
                 own = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.uint64)
                 points = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
                 for held, x in zip(lists, (own.view(np.int64), at, points[a] - 1, points[b - 1]), strict=True):
                     held.append(x)
-            arrays = [pa.array(x, pa.list_(t)) for x, t in zip(lists, (pa.int64(), *[pa.int32()] * 3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], *arrays], ["doc_id", "key", "digests", "at", "starts", "ends"])
+            n = np.array([len(x) for x in lists[0]])
+            digests, at, starts, ends = (np.concatenate(x) for x in lists)
+            doc_ids = np.repeat(batch["doc_id"].to_numpy(), n)
+            order, first, last, several = groups(digests, doc_ids)
+            by = np.argsort(order[first])
+            number = np.empty(len(digests), np.int64)
+            number[order] = np.repeat(np.argsort(by), last - first + 1)
+            ask = order[np.concatenate([first[by], last[several]])]
+            windows = pa.StructArray.from_arrays([pa.array(x[ask], pa.int64()) for x in (digests, doc_ids)], ["digest", "doc_id"])
+            gaps = [np.diff(x, prepend=0) for x in (at, starts, number)]
+            arrays = [pa.array(x, t) for x, t in zip((n, *gaps, ends - starts), [pa.int32()] * 5, strict=True)]
+            arrays = [batch["doc_id"], batch["key"], *arrays, windows]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays], ["doc_ids", "keys", "n", "at", "starts", "number", "lengths", "windows"])
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for row in (batch.slice(k, 1) for batch in batches for k in range(batch.num_rows)):
+            own = {c: row[c][0].values for c in row.schema.names}
+            doc_ids, keys, n, at, starts, number, lengths = (own[c].to_numpy() for c in ("doc_ids", "keys", "n", "at", "starts", "number", "lengths"))
+            at, starts, number = (np.cumsum(x, dtype=np.int64) for x in (at, starts, number))
+            ends = starts + lengths
+            i, first = own["marks"].field("i").to_numpy(), own["marks"].field("first").to_numpy()
+            firsts, marked = np.zeros(max(i.max(), number.max()) + 1, np.int64), np.zeros(max(i.max(), number.max()) + 1, bool)
+            firsts[i], marked[i] = first, True
             rows = []
-            for k in range(batch.num_rows):
-                doc_id, key = batch["doc_id"][k].as_py(), batch["key"][k].as_py()
-                at, starts, ends = (batch[c][k].values.to_numpy() for c in ("at", "starts", "ends"))
-                marks = batch["marks"][k].values
-                i, first = marks.field("i").to_numpy(), marks.field("first").to_numpy()
-                at, starts, ends = at[i], starts[i], ends[i]
-                for x, y in joined(at, least_words):
-                    own = slice(x, y + 1)
-                    gone = np.flatnonzero(first[own] < doc_id) + x
-                    removed = [{"start": int(starts[gone[a]]), "end": int(ends[gone[b]])} for a, b in joined(at[gone], least_words)] if len(gone) else []
-                    rows.append((doc_id, key, int(starts[x]), int(ends[y]), int(at[y] - at[x]) + least_words, int(first[own].min()), removed))
+            for doc_id, key, end, m in zip(doc_ids.tolist(), keys.tolist(), np.cumsum(n).tolist(), n.tolist(), strict=True):
+                held = np.flatnonzero(marked[number[end - m : end]]) + end - m
+                rows += passages(doc_id, key, at[held], starts[held], ends[held], firsts[number[held]])
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["doc_id", "key", "start", "end", "n_words", "first_doc_id", "removed"])
 
-    own = prose(docs).filter("doc_id is not null and text <> ''").withColumn("key", F.xxhash64("doc_id", "text"))
-    sampled = materialise(own.mapInArrow(sample, "doc_id long, key long, digests array<bigint>"), "chunks")
-    repeated = repeated_digests(sampled, "repeated-chunks")
-    places = sampled.select("key", F.explode("digests").alias("digest")).join(repeated.select("digest"), "digest")
-    hits = materialise(places.groupBy("key").agg(F.collect_set("digest").alias("hits")), "hits")
-    discard(sampled, repeated)
-    # a document is one row from here on
-    windows = materialise(own.join(hits, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "hits").mapInArrow(compare, "doc_id long, key long, digests array<bigint>, at array<int>, starts array<int>, ends array<int>"), "windows")
+    def passages(doc_id: int, key: int, at: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        for x, y in joined(at, least_words) if len(at) else []:
+            own = slice(x, y + 1)
+            gone = np.flatnonzero(first[own] < doc_id) + x
+            removed = [{"start": int(starts[gone[a]]), "end": int(ends[gone[b]])} for a, b in joined(at[gone], least_words)] if len(gone) else []
+            yield doc_id, key, int(starts[x]), int(ends[y]), int(at[y] - at[x]) + least_words, int(first[own].min()), removed
+
+    own = prose(docs).filter("doc_id is not null and text <> ''")
+    sampled = materialise(own.mapInArrow(sample, "doc_id long, asked array<bigint>, known array<bigint>"), "chunks")
+    told = repeated(sampled.select(F.explode("asked").alias("digest"), "doc_id")).select("doc_id", "digest")
+    both = told.union(sampled.select("doc_id", F.explode("known")))
+    hits = materialise(both.groupBy("doc_id").agg(F.collect_set("digest").alias("hits")), "hits")
+    discard(sampled)
+    # equal rows of a document are one row from here on
+    texts = own.join(hits, "doc_id").withColumn("key", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "key"])
+    schema = "doc_ids array<bigint>, keys array<bigint>, n array<int>, at array<int>, starts array<int>, number array<int>, lengths array<int>, windows array<struct<digest:bigint,doc_id:bigint>>"
+    batches = texts.select("doc_id", "key", "text", "hits").mapInArrow(compare, schema).withColumn("batch", F.monotonically_increasing_id())
+    windows = materialise(batches, "windows")
     discard(hits)
-    repeated = repeated_digests(windows, "repeated-windows")
-    places = windows.select("key", F.posexplode("digests").alias("i", "digest")).join(repeated, "digest").select("key", "i", "first")
-    marks = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("marks"))
+    asked = windows.select("batch", F.posexplode("windows").alias("i", "w")).select("batch", "i", "w.digest", "w.doc_id")
+    marks = repeated(asked).groupBy("batch").agg(F.collect_list(F.struct("i", "first")).alias("marks"))
     schema = "doc_id long, key long, start int, end int, n_words int, first_doc_id long, removed array<struct<start:int,end:int>>"
-    return marks.join(windows.drop("digests"), "key").select("doc_id", "key", "at", "starts", "ends", "marks").mapInArrow(spans, schema)
+    return marks.join(windows.drop("windows"), "batch").drop("batch").mapInArrow(spans, schema)
 
 
 def without_repeats(docs: DataFrame, least_words: int = 15) -> DataFrame:

@@ -1,8 +1,10 @@
+import os
 import random
 import re
 
 import numpy as np
 
+from regspark.llm import substring_dedup
 from regspark.llm.substring_dedup import cuts, repeated_passages, without_repeats, word_chunks
 
 
@@ -100,3 +102,59 @@ def test_every_shared_passage_is_found_whole(spark):
 def test_passages_of_no_documents(spark):
     assert repeated_passages(spark.createDataFrame([(1, None), (2, ""), (3, "one"), (None, "x " * 40), (4, "x " * 40)], "doc_id long, text string")).collect() == []
     assert repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def stages(spark):
+    sc, jvm = spark.sparkContext._jsc.sc(), spark._jvm
+    sc.listenerBus().waitUntilEmpty()
+    found = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return [found.apply(k) for k in range(found.size())]
+
+
+def shuffled(spark, run):
+    """Bytes that the stages of run() write for shuffles."""
+    before = max((s.stageId() for s in stages(spark)), default=-1)
+    run()
+    return sum(s.shuffleWriteBytes() for s in stages(spark) if s.stageId() > before)
+
+
+def test_shuffles_stay_under_five_times_the_input(spark):
+    """With no table small enough for a broadcast, as it is at size."""
+    path, name = "/root/testdata/sf0.01/documents.parquet", "spark.sql.autoBroadcastJoinThreshold"
+    before, docs = spark.conf.get(name), spark.read.parquet(path)
+    try:
+        spark.conf.set(name, "-1")
+        moved = shuffled(spark, lambda: repeated_passages(docs).write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set(name, before)
+    assert 0 < moved < 5 * os.path.getsize(path)
+
+
+def test_batches_change_nothing(spark):
+    """Documents share passages within batches and between them; a doc_id has several texts."""
+    rng = random.Random(12)
+    many = ["".join(rng.choices("abcdé", k=rng.randrange(1, 8))) for _ in range(3000)]
+    text = lambda n: " ".join(rng.choices(many, k=n))
+    common, some = text(40), [text(30) for _ in range(8)]
+    docs = [(rng.randrange(-40, 60), f"{text(20)} {common} {text(9)} {some[k % 8]} {text(rng.randrange(30))}") for k in range(90)]
+    docs += [docs[3], docs[3], (docs[4][0], docs[3][1]), (7_000_000_000, docs[5][1]), (-7_000_000_000, docs[6][1] + " end")]
+    docs += [(docs[0][0], "short"), (docs[1][0], text(14)), (docs[2][0], text(60)), (docs[3][0], " \n")]
+    want = brute_passages(set(docs), 15)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for parts, rows in ((1, 2000), (1, 4), (7, 1), (5, 3)):
+            spark.conf.set(name, rows)
+            rows = repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)).collect()
+            assert sorted((r["doc_id"], r["start"], r["end"], r["n_words"], r["first_doc_id"]) for r in rows) == sorted(want)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_batch_asks_for_a_common_passage_twice(spark, monkeypatch):
+    passage = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(k, f"own{k} {passage}") for k in range(300)], "doc_id long, text string").coalesce(1)
+    asked, repeated = [], substring_dedup.repeated
+    monkeypatch.setattr(substring_dedup, "repeated", lambda table: asked.append(table.groupBy("digest").count().agg({"count": "max"}).first()[0]) or repeated(table))
+    assert repeated_passages(docs).count() == 300
+    assert asked == [2, 2]
