@@ -99,7 +99,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, ids, more])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of some millions of characters at most; see portions()."""
+        """Ids of some hundred thousand characters at most; see portions()."""
         odd = [SPECIAL in t or "\0" in t for t in texts]
         points = code_points(["" if o else t for t, o in zip(texts, odd, strict=True)], "\0")
         kind = self.kinds[np.minimum(points, 0x2100)]
@@ -162,8 +162,8 @@ def forget() -> None:
         trim(0)
 
 
-def portions(values: list[str], most_chars: int = 2_000_000):
-    """(from, to) of consecutive texts with about most_chars together, to keep arrays small."""
+def portions(values: list[str], most_chars: int = 500_000):
+    """(from, to) of consecutive texts with about most_chars together, to keep arrays small (some 60 bytes a character)."""
     start = size = 0
     for k, v in enumerate(values):
         size += len(v)

@@ -28,12 +28,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors
-    cost nothing that was finished before."""
+    cost nothing that was finished before. options: for the writer."""
     spark, schema = df.sparkSession, df.schema
     path = fresh_path(spark, name)
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.options(**{"compression": "zstd", **(options or {})})
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

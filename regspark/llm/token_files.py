@@ -12,7 +12,8 @@ File format (a folder):
 
 Shards ascend in doc_id, and so do documents in a shard. Parquet is only the container: it puts
 the blocks into any store that Spark reaches, with Spark's commit of finished tasks, so a lost
-executor costs its unfinished tasks. Nothing but ranks (bounded by the vocabulary) and shard
+executor costs its unfinished tasks. Blocks are large rows, which Parquet would hold a task's worth of at
+once, on either side; so row groups end after some 2 M ids. Nothing but ranks (bounded by the vocabulary) and shard
 totals (one per partition) comes to the driver.
 
 Defined cases: null text is empty (only the end id); rows with the same doc_id are kept all,
@@ -23,14 +24,14 @@ its size; an empty table gives empty files; other columns are ignored, whatever
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, encoder, portions
+from .bpe import default_vocabulary, encoder, forget, portions
 from .common import discard, fresh_path, materialise, prose
 from .words import slices
 
@@ -62,6 +63,36 @@ def unpack_ints(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """The ids (at least one) with two bytes each if all fit, else with four."""
+    return ids.astype("<u2" if ids.max() <= 0xFFFF else "<u4").tobytes()
+
+
+def widths(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """What narrow() was given, for each row of a batch with n_tokens and ids."""
+    for n, ids in zip(batch["n_tokens"].to_pylist(), batch["ids"], strict=True):
+        yield np.frombuffer(ids.as_buffer(), f"<u{len(ids.as_buffer()) // n}")
+
+
+def row_groups(block_tokens: int, most_tokens: int = 2_000_000) -> dict[str, str]:
+    """Writer options for tables of blocks: Parquet looks at a row group's size after a hundred rows at first, which
+    are all that a task has, so rows are counted. Blocks differ; dictionaries would only cost memory."""
+    return {"parquet.block.row.count.limit": str(max(1, most_tokens // block_tokens)), "parquet.enable.dictionary": "false"}
+
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(work: Work) -> Work:
+    """work without the word table that an earlier task left in this worker: encoding is over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from work(batches)
+
+    return run
+
+
 def token_blocks(docs: DataFrame, vocabulary: str, end_id: int, block_tokens: int) -> DataFrame:
     """Documents in ascending order, tokenised, whole documents to a block."""
 
@@ -70,7 +101,7 @@ def token_blocks(docs: DataFrame, vocabulary: str, end_id: int, block_tokens: in
 
         def full() -> pa.RecordBatch:
             lengths = [len(x) for x in held]
-            row = [[shard], [block], [offset], [size], [names], [lengths], [np.concatenate(held).astype("<u4").tobytes()]]
+            row = [[shard], [block], [offset], [size], [names], [lengths], [narrow(np.concatenate(held))]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()), strict=True)], ["shard", "block", "offset", "n_tokens", "doc_ids", "doc_lengths", "ids"])
 
         for batch in slices(batches):
@@ -99,20 +130,20 @@ def id_counts(blocks: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                n = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+            for ids in widths(batch):
+                n = np.bincount(ids)
                 total = np.pad(total, (0, max(0, len(n) - len(total))))
                 total[: len(n)] += n
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["id", "n"])
 
-    return blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return blocks.select("n_tokens", "ids").mapInArrow(lean(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2, block_tokens: int = 262_144) -> None:
     """Encode every whole text and write the format above to the folder path."""
     spark = docs.sparkSession
-    blocks = materialise(token_blocks(docs, vocabulary or default_vocabulary(), end_id, block_tokens), "tokens")
+    blocks = materialise(token_blocks(docs, vocabulary or default_vocabulary(), end_id, block_tokens), "tokens", options=row_groups(block_tokens))
     ranked = id_counts(blocks).orderBy(F.desc("n"), "id").collect()  # at most one row per id of the vocabulary
     ids = np.array([r["id"] for r in ranked], np.int64)
     rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
@@ -121,12 +152,13 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
+            for k, ids in enumerate(widths(batch)):
                 one = batch.slice(k, 1)
-                control, data = pack_ints(ranks.value[np.frombuffer(one["ids"][0].as_buffer(), "<u4")])
+                control, data = pack_ints(ranks.value[ids])
                 yield pa.RecordBatch.from_arrays([*(one[c] for c in range(6)), pa.array([control], pa.binary()), pa.array([data], pa.binary())], [*one.schema.names[:6], "control", "data"])
 
-    blocks.mapInArrow(compress, BLOCKS + ", control binary, data binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
+    coded = blocks.mapInArrow(lean(compress), BLOCKS + ", control binary, data binary")
+    coded.write.options(compression="zstd", **row_groups(block_tokens)).parquet(f"{path}/blocks")
     spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     start, starts = 0, []
     for shard, n in sorted((r["shard"], r["n"]) for r in blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()):
@@ -155,7 +187,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     blocks = spark.read.parquet(f"{path}/blocks").join(spark.read.parquet(f"{path}/shards"), "shard")
-    return blocks.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return blocks.mapInArrow(lean(decode), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

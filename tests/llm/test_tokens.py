@@ -1,18 +1,23 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 from itertools import pairwise
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from regspark.llm.bpe import WORDS, Encoder, default_vocabulary, kinds, word_starts
+from regspark.llm import bpe
+from regspark.llm.bpe import WORDS, Encoder, default_vocabulary, encoder, kinds, portions, word_starts
 from regspark.llm.common import fresh_path
 from regspark.llm.packing import cut, op5_best_fit_packing, pack, pack_documents, plan
-from regspark.llm.token_files import op2_token_files, pack_ints, read_token_files, unpack_ints, write_token_files
+from regspark.llm.token_files import lean, narrow, op2_token_files, pack_ints, read_token_files, token_blocks, unpack_ints, widths, write_token_files
 from regspark.llm.words import HashTable, code_points
 
 ODD = "doc_id long, text string, n_tokens string, start int"
@@ -160,3 +165,38 @@ def test_packing_one_hot_length(spark):
     got = pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), 7, least_salts=4, salt_pieces=5).collect()
     assert len(got) == 1001 and len({(r["sequence_id"], r["offset"]) for r in got}) == 1001
     assert len({r["sequence_id"] for r in got}) == 500
+
+
+def test_encoding_takes_little_memory():
+    enc, texts = Encoder(default_vocabulary(), 2), ["one two three four five " * 1000] * 160
+    enc.encode(texts[:1])
+    tracemalloc.start()
+    for a, b in portions(texts):
+        enc.encode(texts[a:b])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+
+
+def test_ids_are_stored_narrow(spark):
+    rows = token_blocks(odd_rows(spark), default_vocabulary(), 2, 50).select("n_tokens", "ids").collect()
+    assert all(len(r["ids"]) == 2 * r["n_tokens"] for r in rows)
+    for ids in ([0], [65535, 3], [65536, 3], [2**32 - 1]):
+        batch = pa.RecordBatch.from_pydict({"n_tokens": [len(ids)] * 2, "ids": [narrow(np.array(ids, np.uint32))] * 2})
+        assert [x.tolist() for x in widths(batch)] == [ids, ids]
+
+
+def test_blocks_go_in_small_row_groups(spark):
+    path = fresh_path(spark, "t")
+    docs = spark.range(120).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b c d e f g h "), 12_500).alias("text"))
+    write_token_files(docs, path)
+    sizes = []
+    for file in Path(path.removeprefix("file://"), "blocks").glob("*.parquet"):
+        found = pq.ParquetFile(file).metadata
+        sizes.append([found.row_group(k).total_byte_size for k in range(found.num_row_groups)])
+    assert max(map(sum, sizes)) > 8e6 > 6e6 > max(map(max, sizes))
+
+
+def test_lean_work_begins_without_word_tables():
+    encoder(default_vocabulary(), 2)
+    assert list(lean(lambda batches: iter([len(bpe._encoders)]))(iter([]))) == [0]
